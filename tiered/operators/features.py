@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tiered import specs
 from tiered.functions.exprs import is_missing, ratio_half_up
+from tiered.operators.lineage import cut_lineage
 from tiered.operators.quantiles import exact_quantiles
 
 CLUSTERS = 20
@@ -297,19 +298,17 @@ class FeatureModel:
         A column seen at fit time and absent here counts as 0.
         """
         ready = with_city_features(engineer(df), self.cities)
-        return self.stages.transform(
-            _as_doubles(ready, self._numeric_inputs(), self._text_inputs(), keep)
-        ).select(*keep, "features")
+        return self.vectorize(stage_inputs(ready, self._numeric(), list(self._coded()), keep), keep)
 
-    def _indexed(self) -> dict[str, str]:
-        return dict(zip(self.stages.stages[0].getInputCols(),
-                        self.stages.stages[0].getOutputCols()))
+    def vectorize(self, inputs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        return self.stages.transform(inputs).select(*keep, "features")
 
-    def _text_inputs(self) -> list[str]:
-        return list(self._indexed())
+    def _coded(self) -> dict[str, str]:
+        indexer = self.stages.stages[0]
+        return dict(zip(indexer.getInputCols(), indexer.getOutputCols()))
 
-    def _numeric_inputs(self) -> list[str]:
-        made = set(self._indexed().values()) | {"coord_cluster"}
+    def _numeric(self) -> list[str]:
+        made = {*self._coded().values(), "coord_cluster"}
         return [c for c in self.columns if c not in made]
 
     def save(self, path: str) -> None:
@@ -320,16 +319,19 @@ class FeatureModel:
     def load(cls, spark: SparkSession, path: str) -> FeatureModel:
         stages = PipelineModel.load(f"{path}/stages")
         assembler = stages.stages[-2]
-        columns = [c.removesuffix("__filled") for c in assembler.getInputCols()]
+        columns = [c.removesuffix(FILLED) for c in assembler.getInputCols()]
         return cls(stages, spark.read.parquet(f"{path}/cities"), columns)
 
 
-def _as_doubles(
-    df: DataFrame, numeric: Sequence[str], text: Sequence[str], keep: Sequence[str]
+FILLED = "__filled"
+
+
+def stage_inputs(
+    df: DataFrame, numeric: Sequence[str], text: Sequence[str], keep: Sequence[str] = ()
 ) -> DataFrame:
-    have = {c for c in df.columns}
-    cols = [F.col(c) for c in keep]
-    cols += [F.col(c) for c in text if c not in keep]
+    """The columns the stages read: kept ones, labels, numbers as doubles."""
+    have = set(df.columns)
+    cols = [F.col(c) for c in dict.fromkeys([*keep, *text])]
     cols += [
         (F.col(c).cast("double") if c in have else F.lit(0.0)).alias(c)
         for c in numeric
@@ -354,32 +356,39 @@ def fit_clusters(df: DataFrame) -> PipelineModel:
     return Pipeline(stages=cluster_stages()).fit(df)
 
 
-def fit_features(df: DataFrame, leaky: bool = False) -> FeatureModel:
-    """Fit encoders, clusters, medians and scaling on the given rows only.
+def feature_pipeline(numeric: Sequence[str], encoded: Mapping) -> tuple[Pipeline, list[str]]:
+    """Index labels, cluster coordinates, impute, assemble, scale."""
+    codes = [name for name, _ in encoded.values()]
+    columns = [*numeric, *codes, "coord_cluster"]
+    filled = [c + FILLED for c in columns]
+    stages = [
+        StringIndexer(
+            inputCols=list(encoded), outputCols=codes,
+            stringOrderType="alphabetAsc", handleInvalid="keep",
+        ),
+        *cluster_stages(),
+        Imputer(inputCols=columns, outputCols=filled, strategy="median", relativeError=0.001),
+        VectorAssembler(inputCols=filled, outputCol="__raw"),
+        StandardScaler(inputCol="__raw", outputCol="features", withMean=True, withStd=True),
+    ]
+    return Pipeline(stages=stages), columns
+
 
-    ``leaky`` adds the encoded severity label, which is the target in other
-    words; it exists to compare numbers and is off.
+def fit_features(
+    df: DataFrame, fit_on: Column, keep: Sequence[str], leaky: bool = False
+) -> tuple[FeatureModel, DataFrame]:
+    """Fit encoders, clusters, medians and scaling on the rows of ``fit_on``.
+
+    Returns the model and the stage inputs of all rows. The inputs are cut
+    from their lineage: every stage, and every round of the clustering, reads
+    them. ``leaky`` adds the encoded severity label, which is the target in
+    other words; it exists to compare numbers and is off.
     """
     encoded = {**ENCODED, **(LEAKY_ENCODED if leaky else {})}
     encoded = {c: v for c, v in encoded.items() if c in df.columns}
-    cities = city_lookup(df)
+    cities = cut_lineage(city_lookup(df.filter(fit_on)))
     ready = with_city_features(engineer(df), cities)
-    numeric = numeric_feature_columns(ready)
-    indexer = StringIndexer(
-        inputCols=list(encoded),
-        outputCols=[name for name, _ in encoded.values()],
-        stringOrderType="alphabetAsc",
-        handleInvalid="keep",
-    )
-    columns = numeric + [name for name, _ in encoded.values()] + ["coord_cluster"]
-    filled = [f"{c}__filled" for c in columns]
-    imputer = Imputer(
-        inputCols=columns, outputCols=filled, strategy="median", relativeError=0.001
-    )
-    assembler = VectorAssembler(inputCols=filled, outputCol="__raw")
-    scaler = StandardScaler(
-        inputCol="__raw", outputCol="features", withMean=True, withStd=True
-    )
-    pipeline = Pipeline(stages=[indexer, *cluster_stages(), imputer, assembler, scaler])
-    inputs = _as_doubles(ready, numeric, list(encoded), ())
-    return FeatureModel(pipeline.fit(inputs), cities, columns)
+    numeric = numeric_feature_columns(ready, [*EXCLUDED, *keep])
+    inputs = cut_lineage(stage_inputs(ready, numeric, list(encoded), keep))
+    pipeline, columns = feature_pipeline(numeric, encoded)
+    return FeatureModel(pipeline.fit(inputs.filter(fit_on)), cities, columns), inputs

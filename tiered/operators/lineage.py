@@ -3,24 +3,31 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared folder; a temporary one only on a local master."""
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; a temporary one only on a local master."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        shared = tempfile.mkdtemp(prefix="checkpoints-")
-    sc.setCheckpointDir(shared)
+    if sc.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+            shared = tempfile.mkdtemp(prefix="checkpoints-")
+        sc.setCheckpointDir(shared)
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise a frame that several jobs read; survives executor loss."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a frame that several jobs read as a table in the shared folder.
+
+    A lost executor costs a re-read. Unlike a checkpointed RDD the plan runs
+    once, and readers take only the columns they use.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -66,17 +66,17 @@ def calendar_parts(ts: Column) -> dict[str, Column]:
 def weather_table(clean: DataFrame) -> DataFrame:
     measures = available(clean, [r.target for r in specs.RANGES])
     tail = available(clean, ["Weather_Condition", "Wind_Direction", "ingestion_date"])
-    category = weather_category(F.col("Weather_Condition"))
+    # The score is a second step: in one step the category, with its patterns,
+    # would be evaluated again for every branch of the score.
     return clean.select(
         specs.KEY,
         "State",
         F.col("Start_Time").alias("Timestamp"),
         *measures,
         *tail,
-        category.alias("Weather_Category"),
+        weather_category(F.col("Weather_Condition")).alias("Weather_Category"),
         temperature_category(F.col("Temperature_F")).alias("Temperature_Category"),
-        weather_score(category).alias("Weather_Severity_Score"),
-    )
+    ).withColumn("Weather_Severity_Score", weather_score(F.col("Weather_Category")))
 
 
 def location_table(clean: DataFrame) -> DataFrame:
@@ -96,10 +96,9 @@ def location_table(clean: DataFrame) -> DataFrame:
 
 
 def accidents_table(clean: DataFrame) -> DataFrame:
-    start = F.col("Start_Time")
+    parts = calendar_parts(F.col("Start_Time"))
     score = flag_sum(available(clean, specs.COMPLEXITY_FLAGS))
-    parts = calendar_parts(start)
-    return clean.select(
+    base = clean.select(
         specs.KEY,
         "Source",
         "Severity",
@@ -112,10 +111,14 @@ def accidents_table(clean: DataFrame) -> DataFrame:
         *available(clean, specs.FLAGS),
         *available(clean, ["ingestion_date"]),
         *[c.alias(n) for n, c in parts.items()],
-        time_period(parts["Hour_of_Day"]).alias("Time_Period"),
-        severity_label(F.col("Severity")).alias("Severity_Category"),
         score.alias("Road_Complexity_Score"),
-        complexity_label(score).alias("Road_Complexity_Category"),
+    )
+    return base.withColumns(
+        {
+            "Time_Period": time_period(F.col("Hour_of_Day")),
+            "Severity_Category": severity_label(F.col("Severity")),
+            "Road_Complexity_Category": complexity_label(F.col("Road_Complexity_Score")),
+        }
     )
 
 

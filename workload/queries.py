@@ -273,8 +273,10 @@ def temperature_category(spark, d):
 
 @query
 def weather_score(spark, d):
-    category = subjects.weather_category(F.col("Weather_Condition"))
-    return raw(spark, d).select("ID", subjects.weather_score(category).alias("score"))
+    rows = raw(spark, d).select(
+        "ID", subjects.weather_category(F.col("Weather_Condition")).alias("category")
+    )
+    return rows.select("ID", subjects.weather_score(F.col("category")).alias("score"))
 
 
 @query
