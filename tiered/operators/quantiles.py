@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 ACCURACY = 10_000
 MARGIN = 2 / ACCURACY
+# Up to this many values the whole range is the bracket; beyond it the margin
+# is worth at least ten ranks more than the sketch's error.
+SMALL = 10 * ACCURACY
 
 
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -41,12 +44,22 @@ def bracket_aggs(probs: Sequence[float]) -> list[Column]:
 
 def _targets(probs: Sequence[float]) -> Column:
     k = len(probs)
+    small = F.col("n") <= SMALL
+
+    def low(i: int, p: float) -> Column:
+        edge = F.lit(True) if p <= MARGIN else small
+        return F.when(edge, F.col("min")).otherwise(F.col("cuts")[i])
+
+    def high(i: int, p: float) -> Column:
+        edge = F.lit(True) if p >= 1 - MARGIN else small
+        return F.when(edge, F.col("max")).otherwise(F.col("cuts")[k + i])
+
     return F.array(
         *[
             F.struct(
                 F.lit(float(p)).alias("p"),
-                (F.col("min") if p <= MARGIN else F.col("cuts")[i]).alias("lo"),
-                (F.col("max") if p >= 1 - MARGIN else F.col("cuts")[k + i]).alias("hi"),
+                low(i, p).alias("lo"),
+                high(i, p).alias("hi"),
             )
             for i, p in enumerate(probs)
         ]

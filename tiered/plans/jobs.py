@@ -236,7 +236,7 @@ def run_severity_models(
     ranked = sorted(mae, key=lambda i: (mae[i], i))
     best = ranked[0]
     test = source.filter(F.col("split") == "test").drop("split")
-    n = max(1, min(score_rows, prepared.train_rows // 4))
+    n = max(1, min(score_rows, prepared.target.rows // 4))
     scored = models.prediction_rows(
         fitted[best], sampling.sample_n(test, n), best, batch, F.current_timestamp()
     )

@@ -42,14 +42,23 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_folder(spark: SparkSession, path: str, skip_unreadable: bool = False) -> DataFrame:
-    """Every Parquet file below a folder; hidden files are passed over."""
-    return (
+def read_folder(
+    spark: SparkSession, path: str, skip_unreadable: bool = False,
+    schema: T.StructType | str | None = None,
+) -> DataFrame:
+    """Every Parquet file below a folder; hidden files are passed over.
+
+    With ``skip_unreadable`` give the schema as well: it is otherwise taken
+    from one file, which may be a broken one.
+    """
+    reader = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .option("ignoreCorruptFiles", skip_unreadable)
-        .parquet(path)
     )
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.parquet(path)
 
 
 def write_parquet(
