@@ -79,8 +79,12 @@ def main() -> None:
     base = tempfile.mkdtemp(prefix="bench-")
     bronze, silver, out = (f"{base}/{n}" for n in ("bronze", "silver", "models"))
     raw = views.incidents(spark, SF_DIR).drop("bucket")
+    # Landed data has many files; the given table is a single row group.
     files.write_dated(
-        raw.withColumn("ingestion_date", F.lit(DATE).cast("date")), bronze
+        raw.withColumn("ingestion_date", F.lit(DATE).cast("date")).repartition(
+            int(CPUS)
+        ),
+        bronze,
     )
     times: dict[str, float] = {}
     counts: dict[str, int] = {}

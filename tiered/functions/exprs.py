@@ -90,6 +90,16 @@ def to_local_timestamp(c: Column) -> Column:
     return c.try_cast("timestamp_ntz")
 
 
+def year_text(ts: Column) -> Column:
+    """Four-digit year; unlike date_format free of the session time zone."""
+    return F.lpad(F.year(ts).cast("string"), 4, "0")
+
+
+def month_text(ts: Column) -> Column:
+    """yyyy-MM."""
+    return F.concat(year_text(ts), F.lit("-"), F.lpad(F.month(ts).cast("string"), 2, "0"))
+
+
 def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
     """Great-circle distance in kilometres."""
     dlat = F.radians(lat2 - lat1)

@@ -137,14 +137,21 @@ def label_codes(df: DataFrame, column: str, code: str = "code") -> DataFrame:
 
 
 def label_encode(df: DataFrame, column: str, code: str, missing: str = "Unknown") -> DataFrame:
-    """Add the code of each value; a missing value has a label of its own."""
+    """Add the code of each value; a missing value has a label of its own.
+
+    The codes are written first. Their size is then known to the planner,
+    which broadcasts them where they are small and shuffles where they are not.
+    """
     filled = df.fillna({column: missing})
-    return filled.join(label_codes(filled, column, code), column)
+    codes = cut_lineage(label_codes(filled, column, code))
+    return filled.join(codes, column)
 
 
 def city_lookup(df: DataFrame, top: int = TOP_CITIES) -> DataFrame:
     """Per city: number of rows and whether it is among the ``top`` largest.
 
+    Written out, so that the size of the lookup is known where it is joined.
+
     The count combines before the shuffle, so a city with a large share of all
     rows is one partial row per task. The top list is a bounded head.
     """
@@ -156,13 +163,14 @@ def city_lookup(df: DataFrame, top: int = TOP_CITIES) -> DataFrame:
         .select("City", F.lit(1).alias("is_major_city"))
     )
     # The head holds at most ``top`` rows.
-    return counts.join(F.broadcast(head), "City", "left").fillna({"is_major_city": 0})
+    lookup = counts.join(F.broadcast(head), "City", "left").fillna({"is_major_city": 0})
+    return cut_lineage(lookup)
 
 
 def with_city_features(df: DataFrame, cities: DataFrame) -> DataFrame:
     """Attach the fitted city features; an unseen or missing city has 0.
 
-    No hint: the lookup is broadcast where its measured size allows it, and
+    No hint: the stored lookup is broadcast where its size allows it, and
     otherwise the skewed side of the join is split at run time.
     """
     return df.join(cities, "City", "left").fillna(
@@ -386,7 +394,7 @@ def fit_features(
     """
     encoded = {**ENCODED, **(LEAKY_ENCODED if leaky else {})}
     encoded = {c: v for c, v in encoded.items() if c in df.columns}
-    cities = cut_lineage(city_lookup(df.filter(fit_on)))
+    cities = city_lookup(df.filter(fit_on))
     ready = with_city_features(engineer(df), cities)
     numeric = numeric_feature_columns(ready, [*EXCLUDED, *keep])
     inputs = cut_lineage(stage_inputs(ready, numeric, list(encoded), keep))

@@ -31,3 +31,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition a frame that has fewer partitions than there are cores.
+
+    For a table that iterative training reads hundreds of times. Such a frame
+    is small by construction; a large one already has enough partitions and is
+    returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)

@@ -170,25 +170,35 @@ def collapse_changes(changes: DataFrame, key: str, fields: Sequence[str]) -> Dat
     ``changes`` has the key, ``seq``, ``op`` (create, update, delete) and the
     fields, null where a change leaves a field alone. What precedes the last
     delete of a key has no effect; after it the last set value of a field wins.
-    Both aggregates combine before the shuffle.
+    The last set value and the last delete are kept with their place in the
+    batch, so one aggregate that combines before the shuffle is enough: a key
+    with a third of all changes is one partial row per task.
     """
-    cuts = changes.groupBy(key).agg(
-        F.max(F.when(F.col("op") == "delete", F.col("seq"))).alias("__cut")
-    )
-    live = changes.join(cuts, key).filter(
-        F.col("__cut").isNull() | (F.col("seq") >= F.col("__cut"))
+    seq, op = F.col("seq"), F.col("op")
+
+    def last_set(f: str) -> Column:
+        touched = F.when(F.col(f).isNotNull() & (op != "delete"), seq)
+        return F.max_by(F.struct(seq.alias("seq"), F.col(f).alias("value")), touched)
+
+    last = changes.groupBy(key).agg(
+        F.max(F.when(op == "delete", seq)).alias("__cut"),
+        F.max(F.when(op == "create", seq)).alias("__create"),
+        *[last_set(f).alias(f"__last_{f}") for f in fields],
     )
 
-    def last(f: str) -> Column:
-        touched = F.when(
-            F.col(f).isNotNull() & (F.col("op") != "delete"), F.col("seq")
-        )
-        return F.max_by(f, touched).alias(f"__new_{f}")
+    def live(at: Column) -> Column:
+        return at.isNotNull() & (F.col("__cut").isNull() | (at > F.col("__cut")))
 
-    return live.groupBy(key).agg(
-        F.max(F.col("op") == "create").alias("__created"),
-        F.max(F.col("op") == "delete").alias("__deleted"),
-        *[last(f) for f in fields],
+    return last.select(
+        key,
+        live(F.col("__create")).alias("__created"),
+        F.col("__cut").isNotNull().alias("__deleted"),
+        *[
+            F.when(live(F.col(f"__last_{f}.seq")), F.col(f"__last_{f}.value")).alias(
+                f"__new_{f}"
+            )
+            for f in fields
+        ],
     )
 
 

@@ -1,9 +1,11 @@
-"""The three weather marts, from one row per incident.
-
-Input: Severity, Start_Time, Duration_Hours, Weather_Category,
-Temperature_Category, Temperature_F, Wind_Speed_Mph, as given by
-``subjects.join_subjects`` or ``subjects.observations``. Each mart is one
-partially combined aggregate; every window runs over the aggregated cells.
+"""The three weather marts.
+
+``measures`` projects incidents (``subjects.observations`` or
+``subjects.join_subjects``) to the marts' dimensions and additive measures;
+``cells`` sums them per dimension tuple. Every mart takes either form, so one
+mart can be asked for alone, and all three can be built from one pass over the
+incidents. Aggregates combine before the shuffle; windows run over the
+aggregated rows only.
 """
 
 from __future__ import annotations
@@ -15,27 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiered import specs
-from tiered.functions.exprs import lookup, ratio_half_up, try_decimal
-
-
-def frequency_mart(obs: DataFrame) -> DataFrame:
-    """Count per (weather, temperature) and its share of all rows."""
-    cells = obs.groupBy(
-        F.col("Weather_Category").alias("weather_category"),
-        F.col("Temperature_Category").alias("temperature_category"),
-    ).agg(F.count(F.lit(1)).alias("accident_count"))
-    # At most labels x labels cells reach this window.
-    total = F.sum("accident_count").over(Window.partitionBy())
-    return (
-        cells.withColumn("total_accidents", total)
-        .withColumn(
-            "frequency_percentage",
-            ratio_half_up(
-                F.col("accident_count") * 100, F.col("total_accidents"), 2
-            ).cast("decimal(5,2)"),
-        )
-        .orderBy(F.desc("accident_count"), "weather_category", "temperature_category")
-    )
+from tiered.functions.exprs import lookup, month_text, ratio_half_up, try_decimal
 
 
 def danger_score(labels: Mapping[str, float]) -> Column:
@@ -50,42 +32,75 @@ def danger_score(labels: Mapping[str, float]) -> Column:
     return F.coalesce(lookup(F.col("Weather_Category"), labels, None), rest)
 
 
-def severity_mart(
+DIMENSIONS = (
+    "period_month", "weather_category", "temperature_category", "severity_level",
+)
+ADDITIVE = ("n", "hours", "tenths")
+
+
+def measures(
     obs: DataFrame, labels: Mapping[str, float] = specs.DANGER_OBSERVED
 ) -> DataFrame:
-    """Count and mean duration per (weather, severity), mean hazard per weather.
+    """One row per incident: dimensions, a count of one, duration and hazard.
 
-    The mean per weather comes from the sums of its severity cells, so the
-    records are aggregated once. Scores are tenths; they are summed as whole
-    numbers, which makes the mean independent of the order of the rows.
+    Hazard scores are tenths; they are carried as whole numbers, which makes
+    their mean independent of the order of the rows.
     """
-    tenths = F.round(danger_score(labels) * 10).cast("bigint")
-    cells = obs.groupBy(
+    return obs.select(
+        month_text(F.col("Start_Time")).alias("period_month"),
         F.col("Weather_Category").alias("weather_category"),
+        F.col("Temperature_Category").alias("temperature_category"),
         F.col("Severity").alias("severity_level"),
-    ).agg(
-        F.count(F.lit(1)).alias("accident_count"),
-        F.avg("Duration_Hours").alias("avg_duration_hours"),
-        F.sum(tenths).alias("tenths"),
+        F.lit(1).cast("bigint").alias("n"),
+        F.col("Duration_Hours").alias("hours"),
+        F.round(danger_score(labels) * 10).cast("bigint").alias("tenths"),
+    )
+
+
+def cells(rows: DataFrame) -> DataFrame:
+    """Measures summed per dimension tuple: months x labels x labels x 4 rows."""
+    return rows.groupBy(*DIMENSIONS).agg(*[F.sum(c).alias(c) for c in ADDITIVE])
+
+
+def frequency_mart(rows: DataFrame) -> DataFrame:
+    """Count per (weather, temperature) and its share of all rows."""
+    counts = rows.groupBy("weather_category", "temperature_category").agg(
+        F.sum("n").alias("accident_count")
+    )
+    # At most labels x labels rows reach this window.
+    total = F.sum("accident_count").over(Window.partitionBy())
+    return (
+        counts.withColumn("total_accidents", total)
+        .withColumn(
+            "frequency_percentage",
+            ratio_half_up(
+                F.col("accident_count") * 100, F.col("total_accidents"), 2
+            ).cast("decimal(5,2)"),
+        )
+        .orderBy(F.desc("accident_count"), "weather_category", "temperature_category")
+    )
+
+
+def severity_mart(rows: DataFrame) -> DataFrame:
+    """Count and mean duration per (weather, severity), mean hazard per weather.
+
+    The mean per weather comes from the sums of its severity rows.
+    """
+    sums = rows.groupBy("weather_category", "severity_level").agg(
+        *[F.sum(c).alias(c) for c in ADDITIVE]
     )
     w = Window.partitionBy("weather_category")
-    return cells.select(
+    return sums.select(
         "weather_category",
         "severity_level",
-        "accident_count",
-        "avg_duration_hours",
-        (F.sum("tenths").over(w) / (F.sum("accident_count").over(w) * 10)).alias(
-            "correlation_score"
-        ),
+        F.col("n").alias("accident_count"),
+        (F.col("hours") / F.col("n")).alias("avg_duration_hours"),
+        (F.sum("tenths").over(w) / (F.sum("n").over(w) * 10)).alias("correlation_score"),
     ).orderBy("weather_category", "severity_level")
 
 
 def severity_corr(obs: DataFrame) -> DataFrame:
-    """Pearson correlation of hazard and severity, per weather and overall.
-
-    Within a category whose label fixes the hazard the correlation is undefined
-    and comes out null.
-    """
+    """Pearson correlation of hazard and severity over all incidents."""
     scored = obs.select(
         "Severity", danger_score(specs.DANGER_MATCHING).alias("score")
     )
@@ -95,32 +110,28 @@ def severity_corr(obs: DataFrame) -> DataFrame:
     )
 
 
-def trend_mart(obs: DataFrame) -> DataFrame:
+def trend_mart(rows: DataFrame) -> DataFrame:
     """Per (month, weather): count, mean severity, seasonal factor and label.
 
-    Seasonal factor: count over the mean count of the cells of the same
-    calendar month, i.e. count * cells / sum, rounded half up in integers.
+    Seasonal factor: count over the mean count of the rows of the same
+    calendar month, i.e. count * rows / sum, rounded half up in integers.
     """
-    cells = obs.groupBy(
-        F.date_format("Start_Time", "yyyy-MM").alias("period_month"),
-        F.month("Start_Time").alias("month_num"),
-        F.col("Weather_Category").alias("weather_category"),
-    ).agg(
-        F.count(F.lit(1)).alias("total_accidents"),
-        F.sum(F.col("Severity").cast("bigint")).alias("severity_sum"),
+    months = rows.groupBy("period_month", "weather_category").agg(
+        F.sum("n").alias("total_accidents"),
+        F.sum(F.col("severity_level") * F.col("n")).alias("severity_sum"),
     )
-    # months of history x labels cells, split by calendar month.
-    w = Window.partitionBy("month_num")
-    cells = cells.select(
+    # months of history x labels, split by calendar month.
+    w = Window.partitionBy(F.substring("period_month", 6, 2))
+    months = months.select(
         "*",
-        F.count(F.lit(1)).over(w).alias("month_cells"),
+        F.count(F.lit(1)).over(w).alias("month_rows"),
         F.sum("total_accidents").over(w).alias("month_total"),
     )
     factor = ratio_half_up(
-        F.col("total_accidents") * F.col("month_cells"), F.col("month_total"), 3
+        F.col("total_accidents") * F.col("month_rows"), F.col("month_total"), 3
     )
     return (
-        cells.withColumn("factor", factor)
+        months.withColumn("factor", factor)
         .select(
             "period_month",
             "weather_category",

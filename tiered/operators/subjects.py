@@ -13,6 +13,7 @@ from tiered.functions.exprs import (
     lookup,
     lookup_members,
     within_ranges,
+    year_text,
 )
 from tiered.operators.cleaning import available
 
@@ -58,7 +59,7 @@ def calendar_parts(ts: Column) -> dict[str, Column]:
         "Hour_of_Day": F.hour(ts),
         "Day_of_Week": dow,
         "Month": F.month(ts),
-        "Year": F.date_format(ts, "yyyy"),
+        "Year": year_text(ts),
         "Is_Weekend": dow.isin(1, 7),
     }
 

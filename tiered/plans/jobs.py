@@ -8,7 +8,9 @@ for the same date and leaves the same tables.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,11 +59,20 @@ def build_silver(
     files.write_dated(cleaning.stage(raw, order), f"{silver}/{STAGED}")
     staged = files.read_dated(spark, f"{silver}/{STAGED}", date)
     clean = cleaning.standardize_staged(staged)
-    for name, build in subjects.SUBJECTS.items():
-        files.write_dated(build(clean), f"{silver}/{name}")
-
     waterfall = cleaning.staged_waterfall(raw, staged).select("*", stamp)
-    files.write_dated(waterfall.coalesce(1), f"{silver}/quality_waterfall")
+    outputs = {n: build(clean) for n, build in subjects.SUBJECTS.items()}
+    outputs["quality_waterfall"] = waterfall.coalesce(1)
+    # They only read the staged table, so their jobs share the cluster; the
+    # tail of one write no longer leaves the other cores idle.
+    with ThreadPoolExecutor(len(outputs)) as pool:
+        writes = [
+            pool.submit(
+                inheritable_thread_target(spark)(files.write_dated), df, f"{silver}/{n}"
+            )
+            for n, df in outputs.items()
+        ]
+        for w in writes:
+            w.result()
 
 
 def mart_input(
@@ -82,14 +93,31 @@ def mart_input(
     return subjects.observations(cleaning.standardize_staged(staged))
 
 
+CELLS = "mart_cells"
+
+
 def build_marts(
     spark: SparkSession, silver: str, base: str, date: str, from_subjects: bool = False
 ) -> None:
-    """The three marts of a date, each replacing its slice."""
+    """The three marts of a date, each replacing its slice.
+
+    The incidents are read once, into a small table of cells; the marts are
+    sums over the cells.
+    """
     obs = mart_input(spark, silver, date, from_subjects)
-    tables.write_mart(marts.frequency_mart(obs), "frequency", base, date)
-    tables.write_mart(marts.severity_mart(obs), "severity", base, date)
-    tables.write_mart(marts.trend_mart(obs), "weather", base, date)
+    stamp = F.lit(date).cast("date").alias("analysis_date")
+    rows = marts.cells(marts.measures(obs)).select("*", stamp).repartition(1)
+    tables.replace_slices(rows, f"{base}/{CELLS}", "analysis_date")
+    cells = files.read_dated(spark, f"{base}/{CELLS}", date, "analysis_date")
+    for name, mart in MARTS.items():
+        tables.write_mart(mart(cells), name, base, date)
+
+
+MARTS = {
+    "frequency": marts.frequency_mart,
+    "severity": marts.severity_mart,
+    "weather": marts.trend_mart,
+}
 
 
 def layer_inventory(
@@ -152,7 +180,7 @@ def register(
     if old is not None:
         change = new.withColumns({"seq": F.lit(1), "op": F.lit("create")})
         new = listing.apply_changes(old, change, "model_id")
-    tables.write_version(new.coalesce(1), table)
+    tables.write_version(new.repartition(1), table)
     return ident
 
 
@@ -182,7 +210,7 @@ def _save_features(
         .join(stats, "feature_name", "left")
         .withColumn("model_id", F.lit(ident))
     )
-    tables.write_model_output(rows.coalesce(1), "features", base)
+    tables.write_model_output(rows.repartition(1), "features", base)
 
 
 def fit_and_register(

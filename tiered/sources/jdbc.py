@@ -14,9 +14,13 @@ def write_jdbc(
     writers: int = 8,
     **properties: str,
 ) -> None:
-    """Write a frame to a table. ``writers`` bounds the open connections."""
+    """Write a frame to a table. ``writers`` bounds the open connections.
+
+    The rows are repartitioned rather than coalesced, so the work that makes
+    them keeps its own parallelism.
+    """
     (
-        df.coalesce(writers)
+        df.repartition(writers)
         .write.format("jdbc")
         .option("url", url)
         .option("dbtable", table)

@@ -52,8 +52,9 @@ def write_mart(df: DataFrame, name: str, base: str, analysis_date: str) -> str:
     """Route a mart by short name and replace its slice of the date."""
     spec = _route(specs.MART_ROUTES, name)
     path = f"{base}/{spec.name}"
-    # A mart has a few thousand rows at most: one file per slice.
-    rows = conform(df, spec, analysis_date=analysis_date).coalesce(1)
+    # A mart has a few thousand rows at most: one file per slice. Not coalesce,
+    # which would pull the aggregate before it into the one task as well.
+    rows = conform(df, spec, analysis_date=analysis_date).repartition(1)
     replace_slices(rows, path, spec.partition_by)
     return path
 

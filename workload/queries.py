@@ -81,6 +81,10 @@ def obs(spark: SparkSession, d: str) -> DataFrame:
     return subjects.observations(clean(spark, d))
 
 
+def measures(spark: SparkSession, d: str) -> DataFrame:
+    return marts.measures(obs(spark, d))
+
+
 def impact(spark: SparkSession, d: str) -> DataFrame:
     return reports.impact_view(obs(spark, d))
 
@@ -100,21 +104,9 @@ def bucket():
 ANALYSIS_DATE = "2025-01-03"
 
 
-def stored_frequency(spark: SparkSession, d: str) -> DataFrame:
-    return tables.conform(
-        marts.frequency_mart(obs(spark, d)), specs.FREQUENCY, analysis_date=ANALYSIS_DATE
-    )
-
-
-def stored_severity(spark: SparkSession, d: str) -> DataFrame:
-    return tables.conform(
-        marts.severity_mart(obs(spark, d)), specs.SEVERITY, analysis_date=ANALYSIS_DATE
-    )
-
-
 def stored_trends(spark: SparkSession, d: str) -> DataFrame:
     return tables.conform(
-        marts.trend_mart(obs(spark, d)), specs.TRENDS, analysis_date=ANALYSIS_DATE
+        marts.trend_mart(measures(spark, d)), specs.TRENDS, analysis_date=ANALYSIS_DATE
     )
 
 
@@ -397,17 +389,17 @@ def join_incidents_weather(spark, d):
 
 @query
 def frequency_mart(spark, d):
-    return marts.frequency_mart(obs(spark, d))
+    return marts.frequency_mart(measures(spark, d))
 
 
 @query
 def severity_mart(spark, d):
-    return marts.severity_mart(obs(spark, d))
+    return marts.severity_mart(measures(spark, d))
 
 
 @query
 def severity_mart_fixed(spark, d):
-    return marts.severity_mart(obs(spark, d), specs.DANGER_MATCHING)
+    return marts.severity_mart(marts.measures(obs(spark, d), specs.DANGER_MATCHING))
 
 
 @query
@@ -419,7 +411,7 @@ def severity_corr(spark, d):
 
 @query
 def trend_mart(spark, d):
-    return marts.trend_mart(obs(spark, d))
+    return marts.trend_mart(measures(spark, d))
 
 
 @query
@@ -585,9 +577,16 @@ def completeness(spark, d):
 
 @query
 def mart_summary(spark, d):
-    return reports.mart_summary(
-        stored_frequency(spark, d), stored_severity(spark, d), stored_trends(spark, d)
-    )
+    one = marts.cells(measures(spark, d))
+    built = [
+        tables.conform(mart(one), spec, analysis_date=ANALYSIS_DATE)
+        for mart, spec in (
+            (marts.frequency_mart, specs.FREQUENCY),
+            (marts.severity_mart, specs.SEVERITY),
+            (marts.trend_mart, specs.TRENDS),
+        )
+    ]
+    return reports.mart_summary(*built)
 
 
 @query
