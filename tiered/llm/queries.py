@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiered.llm import sharding, shared, token_files, tokens
+from tiered.llm import packing, sharding, shared, token_files, tokens
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(manifest)
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = shared.table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, 2048, tokens.default_vocabulary())
+
+
 def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_by_bytes(shared.table(spark, sf_dir, "documents"), 16)
     return placed.select(
@@ -26,5 +31,6 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_token_files": op5_token_files,
+    "op6_packing": op6_packing,
     "op9_byte_shards": op9_byte_shards,
 }
