@@ -2,4 +2,55 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from string import ascii_lowercase, ascii_uppercase
+
+LOWER = f"translate(text, '{ascii_uppercase}', '{ascii_lowercase}')"
+
+DECONTAMINATION = rf"""
+WITH d AS (
+  SELECT doc_id,
+    regexp_extract_all(coalesce({LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+i AS (
+  SELECT item_id,
+    regexp_extract_all(coalesce({LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[k : k + n - 1], ' ') AS gram
+  FROM (SELECT *, least(10, len(w)) AS n FROM i WHERE len(w) > 0) AS s,
+    LATERAL unnest(range(1, len(w) - n + 2)) AS u(k)),
+sizes AS (SELECT DISTINCT n FROM item_windows),
+found AS (
+  SELECT doc_id, k, s.n, item_id
+  FROM (SELECT doc_id, n, k, array_to_string(w[k : k + n - 1], ' ') AS gram
+        FROM d, sizes, LATERAL unnest(range(1, len(w) - n + 2)) AS u(k)) AS s
+  JOIN item_windows USING (n, gram)),
+hits AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM found, LATERAL unnest(range(k, k + n)) AS u(place) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items,
+    sha256(string_agg(name, ',' ORDER BY name)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+  n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ARCHIVES = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END
+    AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_decontamination": DECONTAMINATION,
+    "op8_archives": ARCHIVES,
+}

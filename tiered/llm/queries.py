@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiered.llm import packing, sharding, shared, token_files, tokens
+from tiered.llm import archives, decontaminate, packing, sharding, shared, token_files, tokens
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(
+        shared.table(spark, sf_dir, "documents").select("doc_id", "text"),
+        shared.table(spark, sf_dir, "benchmark"),
+    )
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256",
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +32,12 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, 2048, tokens.default_vocabulary())
 
 
+def op8_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = shared.table(spark, sf_dir, "pages")
+    manifest = archives.write_archives(pages, shared.new_folder(spark, "warc"))
+    return archives.read_archives(manifest)
+
+
 def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_by_bytes(shared.table(spark, sf_dir, "documents"), 16)
     return placed.select(
@@ -30,7 +47,9 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op5_token_files": op5_token_files,
     "op6_packing": op6_packing,
+    "op8_archives": op8_archives,
     "op9_byte_shards": op9_byte_shards,
 }
