@@ -57,6 +57,27 @@ SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(least.b, vec_id
 FROM embeddings LEFT JOIN counts ON counts.a = vec_id LEFT JOIN least ON least.a = vec_id
 """
 
+JACCARD = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(coalesce({LOWER}, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k : k + 4], ' ') AS g
+  FROM d, LATERAL unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(k) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+    FROM s AS x JOIN s AS y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2) AS c
+  JOIN n AS p ON p.doc_id = a JOIN n AS q ON q.doc_id = b
+  WHERE 100 * shared >= 75 * (p.n + q.n - shared)),
+reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(b, d.doc_id)) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least ON a = d.doc_id
+"""
+
 ARCHIVES = """
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
@@ -72,5 +93,6 @@ FROM f
 ORACLES: dict[str, str] = {
     "op1_decontamination": DECONTAMINATION,
     "op2_embedding_links": EMBEDDINGS,
+    "op3_jaccard_join": JACCARD,
     "op8_archives": ARCHIVES,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiered.llm import archives, decontaminate, embeddings, packing, sharding, shared, token_files, tokens
+from tiered.llm import archives, decontaminate, embeddings, jaccard, packing, sharding, shared, token_files, tokens
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op2_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.link_vectors(shared.table(spark, sf_dir, "embeddings"), 0.98)
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_documents(shared.table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = shared.table(spark, sf_dir, "documents")
     manifest = token_files.write_token_files(
@@ -53,6 +57,7 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_embedding_links": op2_embedding_links,
+    "op3_jaccard_join": op3_jaccard_join,
     "op5_token_files": op5_token_files,
     "op6_packing": op6_packing,
     "op8_archives": op8_archives,
