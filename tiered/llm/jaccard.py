@@ -35,26 +35,6 @@ HEAVY = 1 << 20
 FILTER_BITS = 1 << 23
 #: One in so many lists makes the first links, which spare the others most comparisons.
 FIRST_ROUND = 16
-CHUNK_ROWS = "chunk int, cells binary"
-
-
-def _merged(parts: DataFrame, kind: str, combine: np.ufunc) -> dict[int, np.ndarray]:
-    """Combines equally long arrays by chunk number, streaming; the chunks are bounded."""
-
-    def fold(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole: dict[int, np.ndarray] = {}
-        for batch in rows:
-            for chunk, cells in zip(*(c.to_pylist() for c in batch.columns)):
-                part = np.frombuffer(cells, kind)
-                whole[chunk] = combine(whole[chunk], part) if chunk in whole else part
-        if whole:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(whole, pa.int32()), pa.array([w.tobytes() for w in whole.values()])],
-                ["chunk", "cells"],
-            )
-
-    done = shared.spread(parts, "chunk").mapInArrow(fold, CHUNK_ROWS).collect()
-    return {r["chunk"]: np.frombuffer(r["cells"], kind) for r in done}
 
 
 def _vectors(blobs: list[bytes]) -> np.ndarray:
@@ -308,7 +288,7 @@ class Join:
         )
         self.points = signed.where("rep is not null")
         cells = signed.where("rep is null").select(F.col("n").alias("chunk"), F.col("point"))
-        found = _merged(cells, "<u8", np.add)
+        found = shared.merged(cells, "<u8", np.add)
         counts = np.zeros((CELLS // CELL_CHUNK, CELL_CHUNK), np.uint64)
         for chunk, part in found.items():
             counts[chunk] = part
@@ -509,7 +489,7 @@ class Join:
                 ["chunk", "cells"],
             )
 
-        found = _merged(wanted.mapInArrow(marked, CHUNK_ROWS), "u1", np.bitwise_or)
+        found = shared.merged(wanted.mapInArrow(marked, shared.CHUNK_ROWS), "u1", np.bitwise_or)
         bits = np.zeros((FILTER_BITS // chunk, chunk // 8), np.uint8)
         for k, part in found.items():
             bits[k] = part

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiered.llm import archives, decontaminate, embeddings, jaccard, packing, sharding, shared, token_files, tokens
+from tiered.llm import archives, decontaminate, embeddings, jaccard, language, packing, sharding, shared, token_files, tokens
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,14 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_documents(shared.table(spark, sf_dir, "documents"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = shared.table(spark, sf_dir, "documents")
+    held_out = shared.fold(F.col("doc_id"), 3) == 1
+    model = language.fit(docs.where(~held_out))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return language.identify(rows, model).drop("text")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = shared.table(spark, sf_dir, "documents")
     manifest = token_files.write_token_files(
@@ -58,6 +66,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_embedding_links": op2_embedding_links,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_language": op4_language,
     "op5_token_files": op5_token_files,
     "op6_packing": op6_packing,
     "op8_archives": op8_archives,

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+CHUNK_ROWS = "chunk int, cells binary"
 _LOCAL: dict[str, str] = {}
 
 
@@ -60,3 +64,22 @@ def fold(key: Column, modulus: int) -> Column:
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deals rows to spark.sql.shuffle.partitions tasks by hash of the keys."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def merged(parts: DataFrame, kind: str, combine: np.ufunc) -> dict[int, np.ndarray]:
+    """Combines equally long arrays by chunk number, streaming; the chunks are bounded."""
+
+    def fold(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole: dict[int, np.ndarray] = {}
+        for batch in rows:
+            for chunk, cells in zip(*(c.to_pylist() for c in batch.columns)):
+                part = np.frombuffer(cells, kind)
+                whole[chunk] = combine(whole[chunk], part) if chunk in whole else part
+        if whole:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(whole, pa.int32()), pa.array([w.tobytes() for w in whole.values()])],
+                ["chunk", "cells"],
+            )
+
+    done = spread(parts, "chunk").mapInArrow(fold, CHUNK_ROWS).collect()
+    return {r["chunk"]: np.frombuffer(r["cells"], kind) for r in done}
