@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiered.llm import archives, decontaminate, embeddings, jaccard, language, packing, sharding, shared, token_files, tokens
+from tiered.llm import archives, decontaminate, embeddings, jaccard, language, packing, quality, sharding, shared, token_files, tokens
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +62,15 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = shared.table(spark, sf_dir, "documents")
+    held_out = shared.fold(F.col("doc_id"), 4) == 2
+    labels = shared.table(spark, sf_dir, "labels").where(~held_out)
+    model = quality.fit(docs, labels)
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return quality.score(rows, model).drop("text")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_embedding_links": op2_embedding_links,
@@ -71,4 +80,5 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op8_archives": op8_archives,
     "op9_byte_shards": op9_byte_shards,
+    "op10_quality": op10_quality,
 }
