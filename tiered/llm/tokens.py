@@ -13,27 +13,50 @@ import public_tokenizers
 _ADJACENT = re.compile(r"\s\s")
 
 
-class Encoder:
+#: Characters below this one have been letters or not for as long as tables of them exist.
+_SETTLED = "\u0250"
+#: Byte-level alphabets write each byte as a printable character: itself where it has one,
+#: else the next free character from 256 on.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_ALPHABET = {b: b for b in _PRINTABLE} | {
+    b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))
+}
+
+
+class Encoder(dict):
     """Ids of texts as little-endian unsigned 32-bit bytes, equal to encoding whole texts.
 
     A single space between two characters that are not white space always begins a token,
     so texts without adjacent white space are cut before their spaces, and each distinct
-    piece is encoded once while it is remembered. Other texts, and texts with a special
-    token's string, go to the library whole. At most `remember` pieces are kept.
+    piece is encoded once while it is remembered; this is the table of pieces. Other texts,
+    and texts with a special token's string, go to the library whole. About `remember`
+    pieces are kept, so memory does not grow with the corpus.
     """
 
     def __init__(self, path: str, remember: int = 400_000) -> None:
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.remember = remember
-        self.known: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def __missing__(self, piece: str) -> bytes:
+        word = piece.removeprefix(" ")
+        if word.isalpha() and max(word) < _SETTLED:
+            # One word, with its space or without: the model takes it as it is.
+            plain = piece.encode().decode("latin-1").translate(_ALPHABET)
+            ids = array("I", [t.id for t in self.model.tokenize(plain)]).tobytes()
+        else:
+            ids = self.whole(piece)
+        self[piece] = ids
+        return ids
+
     def cut(self, text: str) -> list[str] | None:
         if "\x00" in text or _ADJACENT.search(text) or any(s in text for s in self.special):
             return None
@@ -41,22 +64,16 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; a null text has none."""
-        cuts = [self.cut(t) if t else None for t in texts]
-        seen: set[str] = set()
-        for pieces in cuts:
-            seen.update(pieces or ())
-        new = [p for p in seen if p not in self.known]
-        if len(self.known) + len(new) > self.remember:
-            self.known = {p: self.known[p] for p in seen if p in self.known}
-        for piece, done in zip(
-            new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        ):
-            self.known[piece] = array("I", done.ids).tobytes()
-        of = self.known.__getitem__
-        return [
-            b"".join(map(of, pieces)) if pieces else self.whole(text) if text else b""
-            for pieces, text in zip(cuts, texts)
-        ]
+        out = []
+        for text in texts:
+            pieces = self.cut(text) if text else None
+            if len(self) > self.remember:
+                self.clear()
+            if pieces is None:
+                out.append(self.whole(text) if text else b"")
+            else:
+                out.append(b"".join(map(self.__getitem__, pieces)))
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
