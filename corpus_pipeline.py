@@ -1,16 +1,79 @@
-"""Corpus pipeline: quality, near duplicates, decontamination, personal data, packing."""
+"""Corpus pipeline: quality, near duplicates, decontamination, personal data, packing.
+
+Each stage takes (spark, docs, sf_dir), works on all documents its predecessor kept, and
+returns the columns of documents, whatever further columns they have; the last one returns
+the packed pieces. A stage's result is written as Parquet and read again for the next.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tiered.llm import decontaminate, jaccard, packing, personal, quality, shared, tokens
+
+SEQUENCE = 2048
+
+
+def _beside(docs: DataFrame) -> DataFrame:
+    """Rows in one column beside id and text, so no added column meets a name of theirs."""
+    return docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the quality classifier rejects."""
+    labels = shared.table(spark, sf_dir, "labels")
+    learned = labels.where(shared.fold(F.col("doc_id"), 4) != 2)
+    model = quality.fit(docs, learned)
+    return quality.score(_beside(docs), model).where("predicted = 1").select("row.*")
+
+
+def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps of each group of near duplicates the document with the smallest id."""
+    linked = jaccard.link_documents(docs)
+    # Few against all documents, so Spark can send this side where the documents are.
+    dropped = shared.staged(linked.where("doc_id <> component_id").select("doc_id"), "dropped")
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that hold a window of a benchmark item."""
+    items = shared.table(spark, sf_dir, "benchmark")
+    return decontaminate.decontaminate(_beside(docs), items).where("n_hit = 0").select("row.*")
+
+
+def hide_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data and what discloses it in the texts; counts their characters."""
+    found = personal.sanitise(_beside(docs))
+    changed = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.size("pii_spans") > 0, length).otherwise(F.col("row.n_chars"))
+    return found.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their places in sequences."""
+    return packing.pack_documents(docs, SEQUENCE, tokens.default_vocabulary())
+
 
-STAGES: list = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", keep_good),
+    ("near_duplicates", keep_distinct),
+    ("decontamination", keep_clean),
+    ("personal_data", hide_personal),
+    ("packing", pack),
+]
 
+#: Learned scores and token ids have no SQL; the stages are tested against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over the documents; what each keeps is a table in the shared folder."""
+    docs = shared.table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = shared.staged(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiered.llm import archives, decontaminate, embeddings, jaccard, language, packing, quality, sharding, shared, token_files, tokens
+from tiered.llm import archives, decontaminate, embeddings, jaccard, language, packing, personal, quality, sharding, shared, token_files, tokens
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +48,26 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, 2048, tokens.default_vocabulary())
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = shared.table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal.sanitise(docs)
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    def of(*kinds: str) -> Column:
+        return F.filter("pii_spans", lambda s: s["kind"].isin(*kinds))
+
+    return found.select(
+        "doc_id",
+        *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in personal.KINDS],
+        F.sha2(joined(of(*personal.KINDS)).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("pii_spans")).alias("spans"),
+    )
+
+
 def op8_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = shared.table(spark, sf_dir, "pages")
     manifest = archives.write_archives(pages, shared.new_folder(spark, "warc"))
@@ -78,6 +98,7 @@ QUERIES = {
     "op4_language": op4_language,
     "op5_token_files": op5_token_files,
     "op6_packing": op6_packing,
+    "op7_personal_data": op7_personal_data,
     "op8_archives": op8_archives,
     "op9_byte_shards": op9_byte_shards,
     "op10_quality": op10_quality,

@@ -50,23 +50,35 @@ def batches(texts: list[str | None], size: int = 1 << 21) -> Iterator[range]:
             first, total = k + 1, 0
 
 
-def shingle_sets(texts: list[str | None], words: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of all texts, one after another, and each set's size.
+def hashed_words(
+    coded: list[bytes], gap: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, text number, first and end byte (in its text) of each word of UTF-8 texts.
 
-    A-Z count as a-z; words are runs of characters other than white space. A text of fewer
-    words than a shingle is one shingle, unlike any full one; without words it has none.
+    A word is a run of bytes that `gap` does not mark, a space being a gap always; A-Z count
+    as a-z.
     """
-    coded = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     data = np.frombuffer(b" ".join([b"", *coded, b""]), np.uint8)
     # Each text begins after one space.
     begins = np.cumsum([1, *(len(c) + 1 for c in coded)])[: len(coded)]
-    space = _IS_SPACE[data]
-    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    between = gap[data]
+    edges = np.flatnonzero(between[1:] != between[:-1]) + 1
     starts, ends = edges[::2], edges[1::2]
     doc = np.searchsorted(begins, starts, "right") - 1
     up, down = _powers(len(data))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[_LOWER[data]] * up)])
     word = mixed((sums[ends] - sums[starts]) * down[starts])
+    return word, doc, starts - begins[doc], ends - begins[doc]
+
+
+def shingle_sets(texts: list[str | None], words: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes of all texts, one after another, and each set's size.
+
+    A-Z count as a-z; words are runs of characters other than white space. A text of fewer
+    words than a shingle is one shingle, unlike any full one; without words it has none.
+    """
+    coded = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    word, doc, _, _ = hashed_words(coded, _IS_SPACE)
     count = np.bincount(doc, minlength=len(texts))
     # A shingle begins at each word with enough words of its text after it, or at the first.
     left = np.cumsum(count)[doc] - np.arange(len(doc))
