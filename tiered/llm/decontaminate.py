@@ -159,7 +159,7 @@ _MACHINES: dict[tuple, Automaton] = {}
 
 def _machine(held, window: int) -> Automaton:
     """The automaton of a broadcast test set, built once a worker process."""
-    name = (held.value and hash(tuple(held.value)), len(held.value), window)
+    name = (tuple(held.value), window)
     if name not in _MACHINES:
         _MACHINES.clear()
         _MACHINES[name] = Automaton(held.value, window)
