@@ -49,14 +49,14 @@ def lake(spark, tmp_path_factory):
     write_source(source)
     paths = {n: str(base / n) for n in ("bronze", "silver", "marts", "models")}
     for date in (DAY1, DAY2, DAY3):
-        jobs.land_snapshot(spark, source, paths["bronze"], date)
+        jobs.land_snapshot(spark, source, paths["bronze"], date, multi_line=True)
     jobs.build_silver(spark, paths["bronze"], paths["silver"], DAY3)
     jobs.build_marts(spark, paths["silver"], paths["marts"], DAY3)
     return {**paths, "source": source}
 
 
 def test_csv_types_come_by_name(spark, lake):
-    raw = files.read_csv(spark, lake["source"])
+    raw = files.read_csv(spark, lake["source"], multi_line=True)
     assert raw.count() == 600
     assert raw.schema["Severity"].dataType.typeName() == "integer"
     assert raw.schema["Bump"].dataType.typeName() == "boolean"
@@ -109,7 +109,7 @@ def test_rerun_leaves_the_same_tables(spark, lake):
         return out
 
     before = state()
-    jobs.land_snapshot(spark, lake["source"], lake["bronze"], DAY3)
+    jobs.land_snapshot(spark, lake["source"], lake["bronze"], DAY3, multi_line=True)
     jobs.build_silver(spark, lake["bronze"], lake["silver"], DAY3)
     jobs.build_marts(spark, lake["silver"], lake["marts"], DAY3)
     assert state() == before
@@ -187,11 +187,42 @@ def test_folder_read_and_csv_export(spark, lake, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 3
 
 
-def test_append_and_versions(spark, tmp_path):
+def test_an_empty_slice_clears_its_date_alone(spark, tmp_path):
     path = str(tmp_path / "t")
-    for _ in range(2):
-        tables.append_rows(spark.range(3).withColumn("b", F.lit("x")), path, "b")
-    assert spark.read.parquet(path).count() == 6
+    for date in ("2025-01-01", "2025-01-02"):
+        rows = spark.range(3).withColumn("day", F.lit(date).cast("date"))
+        tables.replace_slice(rows, path, {"day": date})
+    tables.replace_slice(rows.limit(0), path, {"day": "2025-01-02"})
+    left = [(r.id, str(r.day)) for r in spark.read.parquet(path).collect()]
+    assert sorted(left) == [(k, "2025-01-01") for k in range(3)]
+    assert files.slice_rows(spark, path, "2025-01-02", "day") == 0
+    with pytest.raises(Exception, match="row outside"):
+        tables.replace_slice(rows, path, {"day": "2025-01-03"})
+
+
+def test_predictions_of_two_models_stay_in_a_batch(spark, tmp_path):
+    def scored(model, n):
+        return spark.range(n).select(
+            F.lit(model).alias("model_id"), F.lit("b1").alias("prediction_batch"),
+            F.col("id").cast("string").alias("accident_id"),
+            F.lit(1.0).alias("predicted_severity"), F.lit(0.5).alias("confidence_score"),
+            F.current_timestamp().alias("prediction_date"), F.lit(True).alias("is_validated"),
+        )
+
+    for model, n in (("A:1", 3), ("B:1", 2), ("A:1", 3)):
+        tables.write_model_output(scored(model, n), "predictions", str(tmp_path))
+    stored = tables.read_table(spark, str(tmp_path), specs.PREDICTIONS)
+    assert {(r.model_id, r["count"]) for r in stored.groupBy("model_id").count().collect()} == {
+        ("A:1", 3), ("B:1", 2)
+    }
+
+
+def test_inventory_of_absent_layers(spark, tmp_path):
+    report = files.layer_report(spark, {"bronze": str(tmp_path / "none")}, ("2025-01-01",))
+    assert [(r.files, r.is_missing) for r in report.collect()] == [(0, True)]
+
+
+def test_versions(spark, tmp_path):
     v = str(tmp_path / "v")
     assert tables.read_latest(spark, v, spark.range(1).schema) is None
     assert tables.write_version(spark.range(3), v) == 1

@@ -11,15 +11,16 @@ from tiered.operators import listing
 def replay(base: dict, batch: list) -> dict:
     """Row by row, as single requests would be served."""
     out = {k: dict(v) for k, v in base.items()}
-    for key, _, op, a, b in sorted(batch, key=lambda c: c[1]):
-        new = {k: v for k, v in (("a", a), ("b", b)) if v is not None}
+    for key, _, op, a, b, sets in sorted(batch, key=lambda c: c[1]):
+        fields = (("a", a), ("b", b))
+        new = {k: v for k, v in fields if (v is not None if sets is None else k in sets)}
         if op == "delete":
             out.pop(key, None)
         elif op == "update":
             if key in out:
                 out[key].update(new)
         elif op == "create":
-            out.setdefault(key, {"a": None, "b": None}).update(new)
+            out[key] = {"a": None, "b": None} | new
     return {k: (v["a"], v["b"]) for k, v in out.items()}
 
 
@@ -37,10 +38,11 @@ def test_changes_equal_replay(spark, seed):
         if op == "delete":
             made.discard(key)
         batch.append((key, seq, op, rng.choice([None, rng.randint(10, 99)]),
-                      rng.choice([None, f"y{seq}"])))
+                      rng.choice([None, f"y{seq}"]),
+                      rng.choice([None, ["a"], ["a", "b"], []])))
     table = spark.createDataFrame([(k, v["a"], v["b"]) for k, v in base.items()],
                                   "id int, a int, b string")
-    changes = spark.createDataFrame(batch, "id int, seq int, op string, a int, b string")
+    changes = spark.createDataFrame(batch, "id int, seq int, op string, a int, b string, sets array<string>")
     got = {r.id: (r.a, r.b) for r in listing.apply_changes(table, changes).collect()}
     assert got == replay(base, batch)
 

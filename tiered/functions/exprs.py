@@ -81,13 +81,24 @@ def try_decimal(c: Column, precision: int, scale: int) -> Column:
 
 
 def seconds_between(start: Column, end: Column) -> Column:
-    """Whole seconds between two local timestamps, free of any time zone."""
-    return (end - start).cast("interval second").cast("bigint")
+    """Whole seconds between two local timestamps, free of any time zone.
+
+    Fractions are cut from each side before the difference is taken.
+    """
+    whole = [F.date_trunc("second", c).cast("timestamp_ntz") for c in (end, start)]
+    return (whole[0] - whole[1]).cast("interval second").cast("bigint")
 
 
 def to_local_timestamp(c: Column) -> Column:
-    """Text to a local timestamp; fractional seconds parse, junk gives null."""
-    return c.try_cast("timestamp_ntz")
+    """Text to a local timestamp.
+
+    The whole pattern counts, ``yyyy-MM-dd HH:mm:ss``, with a fraction of up
+    to nine digits or none. Anything else, a part of a date or an offset
+    included, is null.
+    """
+    text = c.cast("string")
+    whole = text.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,9})?$")
+    return F.when(whole, text.try_cast("timestamp_ntz"))
 
 
 def year_text(ts: Column) -> Column:

@@ -115,7 +115,14 @@ def parse_timestamps(
     df: DataFrame, columns: Sequence[str] = ("Start_Time", "End_Time")
 ) -> DataFrame:
     """Text to local timestamps in place; unparseable text becomes null."""
-    return df.withColumns({c: to_local_timestamp(F.col(c)) for c in columns})
+    types = dict(df.dtypes)
+    return df.withColumns(
+        {
+            c: to_local_timestamp(F.col(c)) if types[c] == "string"
+            else F.col(c).cast("timestamp_ntz")
+            for c in columns
+        }
+    )
 
 
 def duration_hours(start: str = "Start_Time", end: str = "End_Time") -> Column:

@@ -122,29 +122,42 @@ def with_columns_new(df: DataFrame, cols: Mapping[str, Column]) -> DataFrame:
 # Fitted lookups
 
 
-def label_codes(df: DataFrame, column: str, code: str = "code") -> DataFrame:
-    """Codes 0..n-1 of the distinct values in sorted order.
+def label_codes(df: DataFrame, encoded: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """(column_name, value, code): codes 0..n-1 of each column's sorted values.
 
-    The ranking window sees one row per distinct value; label columns are small
+    ``encoded`` is as ENCODED. One pass for all columns; the ranking window
+    sees one row per distinct value, split by column. Label columns are small
     dictionaries (states, periods, sources).
     """
-    w = Window.orderBy(column)
+    cells = [
+        F.struct(
+            F.lit(c).alias("column_name"), F.coalesce(c, F.lit(missing)).alias("value")
+        )
+        for c, (_, missing) in encoded.items()
+    ]
+    rank = F.row_number().over(Window.partitionBy("column_name").orderBy("value"))
     return (
-        df.select(column)
+        df.select(F.inline(F.array(*cells)))
         .distinct()
-        .withColumn(code, (F.row_number().over(w) - 1).cast("int"))
+        .withColumn("code", (rank - 1).cast("int"))
     )
 
 
-def label_encode(df: DataFrame, column: str, code: str, missing: str = "Unknown") -> DataFrame:
+def label_encode(df: DataFrame, encoded: Mapping[str, tuple[str, str]]) -> DataFrame:
     """Add the code of each value; a missing value has a label of its own.
 
     The codes are written first. Their size is then known to the planner,
     which broadcasts them where they are small and shuffles where they are not.
+    ``df`` is read twice: give a stored table where it is dear to compute.
     """
-    filled = df.fillna({column: missing})
-    codes = cut_lineage(label_codes(filled, column, code))
-    return filled.join(codes, column)
+    codes = cut_lineage(label_codes(df, encoded))
+    out = df.fillna({c: missing for c, (_, missing) in encoded.items()})
+    for column, (name, _) in encoded.items():
+        own = codes.filter(F.col("column_name") == column).select(
+            F.col("value").alias(column), F.col("code").alias(name)
+        )
+        out = out.join(own, column)
+    return out
 
 
 def city_lookup(df: DataFrame, top: int = TOP_CITIES) -> DataFrame:

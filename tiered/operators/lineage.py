@@ -34,13 +34,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition a frame that has fewer partitions than there are cores.
+    """Hash-partition, by key, a frame that iterative training reads many times.
 
-    For a table that iterative training reads hundreds of times. Such a frame
-    is small by construction; a large one already has enough partitions and is
-    returned as it is.
+    Rows of a key are always in the same of spark.sql.shuffle.partitions
+    parts, whatever the input's files, the machine or its size.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, key)

@@ -167,36 +167,40 @@ def latest_active_model(
 def collapse_changes(changes: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
     """One row per key from an ordered batch of changes.
 
-    ``changes`` has the key, ``seq``, ``op`` (create, update, delete) and the
-    fields, null where a change leaves a field alone. What precedes the last
-    delete of a key has no effect; after it the last set value of a field wins.
-    The last set value and the last delete are kept with their place in the
-    batch, so one aggregate that combines before the shuffle is enough: a key
-    with a third of all changes is one partial row per task.
+    ``changes`` has the key, ``seq``, ``op`` (create, update, delete), the
+    fields, and optionally ``sets``, the names of the fields a change sets, by
+    which a field can be set to null; without it a change sets the fields that
+    are not null. What precedes the last delete or create of a key has no
+    effect; after it the last set value of a field wins. The last set value and
+    the last reset are kept with their place in the batch, so one aggregate
+    that combines before the shuffle is enough: a key with a third of all
+    changes is one partial row per task.
     """
     seq, op = F.col("seq"), F.col("op")
 
     def last_set(f: str) -> Column:
-        touched = F.when(F.col(f).isNotNull() & (op != "delete"), seq)
+        named = F.col(f).isNotNull()
+        if "sets" in changes.columns:
+            named = F.when(F.col("sets").isNull(), named).otherwise(
+                F.array_contains("sets", f)
+            )
+        touched = F.when(named & (op != "delete"), seq)
         return F.max_by(F.struct(seq.alias("seq"), F.col(f).alias("value")), touched)
 
     last = changes.groupBy(key).agg(
-        F.max(F.when(op == "delete", seq)).alias("__cut"),
-        F.max(F.when(op == "create", seq)).alias("__create"),
+        F.max_by(
+            F.struct(seq.alias("seq"), op.alias("op")), F.when(op != "update", seq)
+        ).alias("__reset"),
         *[last_set(f).alias(f"__last_{f}") for f in fields],
     )
-
-    def live(at: Column) -> Column:
-        return at.isNotNull() & (F.col("__cut").isNull() | (at > F.col("__cut")))
-
+    since = F.col("__reset.seq")
     return last.select(
         key,
-        live(F.col("__create")).alias("__created"),
-        F.col("__cut").isNotNull().alias("__deleted"),
+        F.col("__reset.op").alias("__reset"),
         *[
-            F.when(live(F.col(f"__last_{f}.seq")), F.col(f"__last_{f}.value")).alias(
-                f"__new_{f}"
-            )
+            F.when(
+                since.isNull() | (F.col(f"__last_{f}.seq") >= since), F.col(f"__last_{f}")
+            ).alias(f"__new_{f}")
             for f in fields
         ],
     )
@@ -206,20 +210,20 @@ def apply_changes(table: DataFrame, changes: DataFrame, key: str = "id") -> Data
     """The table after a batch of creates, partial updates and deletes.
 
     An update or delete of an absent row does nothing; a create of a present
-    row replaces the fields it sets.
+    row replaces it, fields it does not set becoming null.
     """
     fields = [c for c in table.columns if c != key]
     batch = collapse_changes(changes, key, fields)
     old = table.withColumn("__present", F.lit(True))
     both = old.join(batch, key, "full_outer")
-    present = F.coalesce("__present", F.lit(False))
-    created = F.coalesce("__created", F.lit(False))
-    deleted = F.coalesce("__deleted", F.lit(False))
-    kept = present & ~deleted
+    created = F.coalesce(F.col("__reset") == "create", F.lit(False))
+    kept = F.col("__present").isNotNull() & F.col("__reset").isNull()
     return both.filter(kept | created).select(
         key,
         *[
-            F.coalesce(F.col(f"__new_{f}"), F.when(kept, F.col(f))).alias(f)
+            F.when(F.col(f"__new_{f}").isNotNull(), F.col(f"__new_{f}.value"))
+            .otherwise(F.when(kept, F.col(f)))
+            .alias(f)
             for f in fields
         ],
     ).select(*table.columns)

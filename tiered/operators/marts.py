@@ -35,7 +35,7 @@ def danger_score(labels: Mapping[str, float]) -> Column:
 DIMENSIONS = (
     "period_month", "weather_category", "temperature_category", "severity_level",
 )
-ADDITIVE = ("n", "hours", "tenths")
+ADDITIVE = ("n", "seconds", "tenths")
 
 
 def measures(
@@ -43,8 +43,8 @@ def measures(
 ) -> DataFrame:
     """One row per incident: dimensions, a count of one, duration and hazard.
 
-    Hazard scores are tenths; they are carried as whole numbers, which makes
-    their mean independent of the order of the rows.
+    Durations are carried as whole seconds and hazard scores as whole tenths,
+    which makes their means independent of the order of the rows.
     """
     return obs.select(
         month_text(F.col("Start_Time")).alias("period_month"),
@@ -52,7 +52,7 @@ def measures(
         F.col("Temperature_Category").alias("temperature_category"),
         F.col("Severity").alias("severity_level"),
         F.lit(1).cast("bigint").alias("n"),
-        F.col("Duration_Hours").alias("hours"),
+        F.round(F.col("Duration_Hours") * 3600).cast("bigint").alias("seconds"),
         F.round(danger_score(labels) * 10).cast("bigint").alias("tenths"),
     )
 
@@ -94,7 +94,9 @@ def severity_mart(rows: DataFrame) -> DataFrame:
         "weather_category",
         "severity_level",
         F.col("n").alias("accident_count"),
-        (F.col("hours") / F.col("n")).alias("avg_duration_hours"),
+        ratio_half_up(F.col("seconds"), F.col("n") * 3600, 2)
+        .cast("decimal(8,2)")
+        .alias("avg_duration_hours"),
         (F.sum("tenths").over(w) / (F.sum("n").over(w) * 10)).alias("correlation_score"),
     ).orderBy("weather_category", "severity_level")
 

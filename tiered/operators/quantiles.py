@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 ACCURACY = 10_000
 MARGIN = 2 / ACCURACY
-# Up to this many values the whole range is the bracket; beyond it the margin
-# is worth at least ten ranks more than the sketch's error.
-SMALL = 10 * ACCURACY
+# Ranks by which definitions of a quantile and roundings may differ.
+RANKS = 4
+# The sketch is asked at MARGIN, 2 MARGIN, 4 MARGIN, ... on either side, up to
+# the whole range. How far to go follows from the count by arithmetic.
+STEPS = 14
 
 
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -31,9 +33,10 @@ def bracket_aggs(probs: Sequence[float]) -> list[Column]:
     """Aggregates that bracket each quantile: a sketch answer on either side.
 
     The sketch's rank error is at most 1 / ACCURACY of the count; asking it
-    MARGIN below and above a quantile therefore encloses the exact one.
+    MARGIN below and above a quantile, and RANKS further, encloses the exact
+    one. The count is not known yet, so a ladder of margins is asked at once.
     """
-    asked = [max(p - MARGIN, 0.0) for p in probs] + [min(p + MARGIN, 1.0) for p in probs]
+    asked = [min(max(p + side * m, 0.0), 1.0) for p in probs for side in (-1, 1) for m in _ladder()]
     return [
         F.count("value").alias("n"),
         F.min("value").alias("min"),
@@ -42,17 +45,23 @@ def bracket_aggs(probs: Sequence[float]) -> list[Column]:
     ]
 
 
+def _ladder() -> list[float]:
+    return [MARGIN * 2**k for k in range(STEPS)]
+
+
 def _targets(probs: Sequence[float]) -> Column:
-    k = len(probs)
-    small = F.col("n") <= SMALL
+    # The first margin of the ladder that is worth MARGIN and RANKS more.
+    need = F.lit(1.0) + F.lit(RANKS / MARGIN) / F.col("n")
+    step = F.least(F.ceil(F.log2(need)), F.lit(STEPS - 1)).cast("int")
+    margin = F.lit(MARGIN) * F.pow(F.lit(2.0), step)
 
     def low(i: int, p: float) -> Column:
-        edge = F.lit(True) if p <= MARGIN else small
-        return F.when(edge, F.col("min")).otherwise(F.col("cuts")[i])
+        cut = F.get(F.col("cuts"), F.lit(2 * i * STEPS) + step)
+        return F.when(F.lit(float(p)) <= margin, F.col("min")).otherwise(cut)
 
     def high(i: int, p: float) -> Column:
-        edge = F.lit(True) if p >= 1 - MARGIN else small
-        return F.when(edge, F.col("max")).otherwise(F.col("cuts")[k + i])
+        cut = F.get(F.col("cuts"), F.lit((2 * i + 1) * STEPS) + step)
+        return F.when(F.lit(float(p)) >= 1 - margin, F.col("max")).otherwise(cut)
 
     return F.array(
         *[
@@ -72,8 +81,8 @@ def refine(values: DataFrame, brackets: DataFrame, probs: Sequence[float]) -> Da
     ``brackets`` has one row per column name, so its size is the width of the
     schema and it can be broadcast. Values below a bracket are only counted,
     values above it are dropped, values inside it are counted one by one; the
-    ranking window sees the inside values alone, about 4 / ACCURACY of the
-    rows at most.
+    ranking window sees the inside values alone, 16 / ACCURACY of the rows and
+    a few ranks at most.
     """
     targets = brackets.select("column_name", "n", _targets(probs).alias("targets"))
     placed = (

@@ -105,9 +105,12 @@ def condition_day_pivot(daily: DataFrame, dates: Sequence) -> DataFrame:
     """Condition x date, mean of the daily counts, 0 for gaps.
 
     The dates are given, so no extra job looks for them and the width of the
-    result is known.
+    result is known. A date that is not among them is an error.
     """
-    wide = daily.groupBy("weather_condition").pivot("date", list(dates)).agg(
+    listed = F.col("date").isNull() | F.col("date").isin(list(dates))
+    unlisted = F.raise_error(F.concat(F.lit("date outside the pivot: "), F.col("date")))
+    rows = daily.withColumn("date", F.when(listed, F.col("date")).otherwise(unlisted.cast("date")))
+    wide = rows.groupBy("weather_condition").pivot("date", list(dates)).agg(
         F.avg("incident_count")
     )
     return wide.fillna(0.0).orderBy("weather_condition")
@@ -166,23 +169,31 @@ def model_comparison(models: DataFrame) -> DataFrame:
 
 
 def kpi_models(models: DataFrame) -> DataFrame:
-    """Active models, best F1 and its model (lowest id on a tie), versions."""
-    rank = F.struct(-F.col("f1_score"), F.col("id"))
+    """Active models, best F1 and its model (lowest id on a tie), versions.
+
+    A model without an F1 is counted but never the best.
+    """
+    known = F.nanvl("f1_score", F.lit(None).cast("double"))
+    rank = F.when(known.isNotNull(), F.struct(-known, F.col("id")))
     return models.agg(
         F.count_if("is_active").alias("active_models"),
-        F.max("f1_score").alias("best_f1"),
+        F.max(known).alias("best_f1"),
         F.min_by("model_name", rank).alias("best_model"),
         F.count(F.lit(1)).alias("versions"),
     )
 
 
 def best_model(models: DataFrame, error: Column) -> DataFrame:
-    """The model with the smallest error; the lowest id wins a tie."""
-    rank = F.struct(error, F.col("id"))
+    """The model with the smallest error; the lowest id wins a tie.
+
+    A model whose error is null or NaN is never the best.
+    """
+    known = F.nanvl(error.cast("double"), F.lit(None).cast("double"))
+    rank = F.when(known.isNotNull(), F.struct(known, F.col("id")))
     return models.agg(
         F.min_by("model_name", rank).alias("model_name"),
         F.min_by("id", rank).alias("id"),
-        F.min(error).alias("error"),
+        F.min(known).alias("error"),
     )
 
 
@@ -245,10 +256,10 @@ def prediction_accuracy(
 
 
 def confusion_matrix(scored: DataFrame) -> DataFrame:
-    """Row-normalised confusion matrix in long form, labels rounded."""
+    """Row-normalised confusion matrix in long form; halves go to the even label."""
     cells = scored.groupBy(
-        F.round("actual_severity").cast("int").alias("actual"),
-        F.round("predicted_severity").cast("int").alias("predicted"),
+        F.bround("actual_severity").cast("int").alias("actual"),
+        F.bround("predicted_severity").cast("int").alias("predicted"),
     ).agg(F.count(F.lit(1)).alias("count"))
     row = F.sum("count").over(Window.partitionBy("actual"))
     return cells.withColumn("share", F.col("count") / row)
@@ -268,32 +279,39 @@ def confidence_histogram(
     )
 
 
-def error_box(scored: DataFrame, places: int = 4) -> DataFrame:
-    """Box statistics of the error per predicted label.
+def error_box(scored: DataFrame) -> DataFrame:
+    """Box statistics of the error per predicted label; exact quartiles.
 
-    Errors are kept to ``places`` digits as in the stored predictions, and
-    equal errors of a label are counted first. A label then has at most a few
-    ten thousand distinct errors, whatever its number of rows.
+    Rows without an error are left out. The label is the key of the quantiles,
+    which gather no label's errors in one task.
     """
-    cells = scored.groupBy(
-        "predicted_severity", F.round("error", places).cast("double").alias("error")
-    ).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("predicted_severity")
-    quartile = F.percentile("error", F.array(*map(F.lit, QUARTILES)), F.col("n")).over(w)
-    iqr = F.col("q")[2] - F.col("q")[0]
-    low, high = F.col("q")[0] - 1.5 * iqr, F.col("q")[2] + 1.5 * iqr
-    inside = F.col("error").between(low, high)
+    kind = scored.schema["predicted_severity"].dataType
+    name = F.coalesce(F.col("predicted_severity").cast("string"), F.lit(""))
+    error = F.col("error").cast("double")
+    values = scored.select(name.alias("column_name"), error.alias("value")).filter(
+        error.isNotNull() & ~F.isnan(error)
+    )
+    quartiles = (
+        refine(values, values.groupBy("column_name").agg(*bracket_aggs(QUARTILES)), QUARTILES)
+        .groupBy("column_name")
+        .agg(
+            *[
+                F.max(F.when(F.col("p") == p, F.col("value"))).alias(q)
+                for p, q in zip(QUARTILES, ("q1", "median", "q3"))
+            ]
+        )
+    )
+    reach = 1.5 * (F.col("q3") - F.col("q1"))
+    inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        cells.withColumn("q", quartile)
-        .groupBy("predicted_severity")
+        values.join(quartiles, "column_name")
+        .groupBy(F.col("column_name").try_cast(kind).alias("predicted_severity"))
         .agg(
-            F.first("q").getItem(0).alias("q1"),
-            F.first("q").getItem(1).alias("median"),
-            F.first("q").getItem(2).alias("q3"),
-            F.min(F.when(inside, F.col("error"))).alias("whisker_low"),
-            F.max(F.when(inside, F.col("error"))).alias("whisker_high"),
-            F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
-            F.sum("n").alias("count"),
+            *[F.max(q).alias(q) for q in ("q1", "median", "q3")],
+            F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
+            F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
+            F.count_if(~inside).alias("outliers"),
+            F.count(F.lit(1)).alias("count"),
         )
         .orderBy("predicted_severity")
     )
@@ -307,8 +325,8 @@ def model_scores(scored: DataFrame) -> DataFrame:
     """
     cells = scored.groupBy(
         "model_id",
-        F.round("actual_severity").cast("int").alias("actual"),
-        F.round("predicted_severity").cast("int").alias("predicted"),
+        F.bround("actual_severity").cast("int").alias("actual"),
+        F.bround("predicted_severity").cast("int").alias("predicted"),
     ).agg(F.count(F.lit(1)).alias("n"))
     # cells: labels x labels per model
     none = F.lit(0).cast("bigint")

@@ -2,7 +2,7 @@
 
 Layout: ``<bronze>/ingestion_date=D``, ``<silver>/<table>/ingestion_date=D``,
 ``<marts>/<mart>/analysis_date=D``, ``<models>/...``. Every job may be run again
-for the same date and leaves the same tables.
+for the same date and leaves the same tables; a date without rows is left empty.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def land_snapshot(
     """CSV to the cumulative snapshot of a date."""
     raw = files.read_csv(spark, source, **csv_options)
     wanted = cleaning.project_available(raw)
-    files.write_dated(sampling.snapshot(wanted, date), bronze)
+    files.write_dated(sampling.snapshot(wanted, date), bronze, date=date)
 
 
 def build_silver(
@@ -54,10 +54,10 @@ def build_silver(
     raw = files.read_dated(spark, bronze, date)
     stamp = F.lit(date).cast("date").alias(files.DATE)
     profile = cleaning.null_profile(raw).select("*", stamp)
-    files.write_dated(profile.coalesce(1), f"{silver}/null_profile")
+    files.write_dated(profile.coalesce(1), f"{silver}/null_profile", date=date)
 
-    files.write_dated(cleaning.stage(raw, order), f"{silver}/{STAGED}")
-    staged = files.read_dated(spark, f"{silver}/{STAGED}", date)
+    files.write_dated(cleaning.stage(raw, order), f"{silver}/{STAGED}", date=date)
+    staged = files.read_slice(spark, f"{silver}/{STAGED}", date)
     clean = cleaning.standardize_staged(staged)
     waterfall = cleaning.staged_waterfall(raw, staged).select("*", stamp)
     outputs = {n: build(clean) for n, build in subjects.SUBJECTS.items()}
@@ -67,7 +67,8 @@ def build_silver(
     with ThreadPoolExecutor(len(outputs)) as pool:
         writes = [
             pool.submit(
-                inheritable_thread_target(spark)(files.write_dated), df, f"{silver}/{n}"
+                inheritable_thread_target(spark)(files.write_dated), df, f"{silver}/{n}",
+                date=date,
             )
             for n, df in outputs.items()
         ]
@@ -107,8 +108,8 @@ def build_marts(
     obs = mart_input(spark, silver, date, from_subjects)
     stamp = F.lit(date).cast("date").alias("analysis_date")
     rows = marts.cells(marts.measures(obs)).select("*", stamp).repartition(1)
-    tables.replace_slices(rows, f"{base}/{CELLS}", "analysis_date")
-    cells = files.read_dated(spark, f"{base}/{CELLS}", date, "analysis_date")
+    tables.replace_slice(rows, f"{base}/{CELLS}", {"analysis_date": date})
+    cells = files.read_slice(spark, f"{base}/{CELLS}", date, "analysis_date")
     for name, mart in MARTS.items():
         tables.write_mart(mart(cells), name, base, date)
 
@@ -240,12 +241,13 @@ MODEL_NAMES = {
 def run_severity_models(
     spark: SparkSession, silver: str, base: str, date: str, batch: str,
     version: str = "1.0", algorithms: Sequence[str] = tuple(MODEL_NAMES),
-    sample: int | None = None, score_rows: int = 500,
+    sample: int | None = None, score_rows: int | None = None,
 ) -> dict[str, float]:
-    """Train the regressors of a date, pick the best, score a sample.
+    """Train the regressors of a date, pick the best, score the test split.
 
-    All algorithms train on one feature table. The sample is drawn from the
-    test split. Returns the validation MAE per model; the best comes first.
+    All algorithms train on one feature table, of ``sample`` rows if that is
+    given. All test rows are scored unless ``score_rows`` asks for a sample of
+    them. Returns the validation MAE per model; the best comes first.
     """
     rows = load_accidents(spark, silver, date)
     if sample is not None:
@@ -264,9 +266,10 @@ def run_severity_models(
     ranked = sorted(mae, key=lambda i: (mae[i], i))
     best = ranked[0]
     test = source.filter(F.col("split") == "test").drop("split")
-    n = max(1, min(score_rows, prepared.target.rows // 4))
+    if score_rows is not None:
+        test = sampling.sample_n(test, score_rows)
     scored = models.prediction_rows(
-        fitted[best], sampling.sample_n(test, n), best, batch, F.current_timestamp()
+        fitted[best], test, best, batch, F.current_timestamp()
     )
     tables.write_model_output(scored, "predictions", base)
     return {i: mae[i] for i in ranked}
@@ -275,10 +278,9 @@ def run_severity_models(
 def run_demo(
     spark: SparkSession, silver: str, base: str, date: str, batch: str
 ) -> dict[str, float]:
-    """At most 500 rows, the forest alone, 50 rows scored."""
+    """The forest alone on a sample of at most 500 rows; its test rows scored."""
     return run_severity_models(
-        spark, silver, base, date, batch, algorithms=("random_forest",), sample=500,
-        score_rows=50,
+        spark, silver, base, date, batch, algorithms=("random_forest",), sample=500
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiered import specs
-from tiered.sources.tables import replace_slices
+from tiered.sources.tables import exists, replace_slice, replace_slices
 
 DATE = "ingestion_date"
 
@@ -16,7 +16,7 @@ def read_csv(
     spark: SparkSession,
     path: str,
     schema: T.StructType = specs.RAW_SCHEMA,
-    multi_line: bool = True,
+    multi_line: bool = False,
     corrupt_column: str | None = None,
     **options,
 ) -> DataFrame:
@@ -24,8 +24,9 @@ def read_csv(
 
     The header is read first and known columns get their declared type by
     name, so extra or reordered columns do no harm; only columns that are used
-    are parsed. Malformed values become null. A multi-line file is one task;
-    set ``multi_line=False`` for large files without line breaks in values.
+    are parsed. Malformed values become null. Files are split over tasks; with
+    ``multi_line=True``, for values that hold line breaks, Spark cannot split
+    a file, and each is one task.
     """
     base = {"header": True, "multiLine": multi_line, "escape": '"', **options}
     header = spark.read.options(**base).csv(path).columns
@@ -70,9 +71,18 @@ def write_parquet(
     writer.parquet(path)
 
 
-def write_dated(df: DataFrame, path: str, column: str = DATE) -> None:
-    """Replace the frame's dates in a dated table; other dates stay."""
-    replace_slices(df, path, column)
+def write_dated(
+    df: DataFrame, path: str, column: str = DATE, date: str | None = None
+) -> None:
+    """Replace the frame's dates in a dated table; other dates stay.
+
+    With ``date`` the frame is that date's and the date is cleared even where
+    the frame has no row.
+    """
+    if date is None:
+        replace_slices(df, path, column)
+    else:
+        replace_slice(df, path, {column: date})
 
 
 def read_dated(spark: SparkSession, path: str, date: str, column: str = DATE) -> DataFrame:
@@ -88,6 +98,12 @@ def read_dated(spark: SparkSession, path: str, date: str, column: str = DATE) ->
     return part
 
 
+def read_slice(spark: SparkSession, path: str, date: str, column: str = DATE) -> DataFrame:
+    """One date of a dated table that a job has just written, which may be empty."""
+    rows = spark.read.parquet(f"{path}/{column}={date}")
+    return rows.withColumn(column, F.lit(date).cast("date"))
+
+
 def slice_rows(spark: SparkSession, path: str, date: str, column: str = DATE) -> int:
     """Rows stored for a date; answered from the file footers."""
     return (
@@ -107,14 +123,17 @@ def layer_report(
 ) -> DataFrame:
     """Files and bytes per (layer, expected date); missing dates are marked.
 
+    A layer that was never written has all its dates missing.
     Only file listings are read; the binary source leaves contents alone when
     they are not selected.
     """
     expected = spark.createDataFrame(
         [(n, d) for n in layers for d in dates], "layer string, date string"
     )
-    found = None
+    found = spark.createDataFrame([], "layer string, date string, length bigint")
     for name, path in layers.items():
+        if not exists(spark, path):
+            continue
         files = (
             spark.read.format("binaryFile")
             .option("pathGlobFilter", "*.parquet")
@@ -126,7 +145,7 @@ def layer_report(
                 "length",
             )
         )
-        found = files if found is None else found.unionByName(files)
+        found = found.unionByName(files)
     sizes = found.groupBy("layer", "date").agg(
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
     )

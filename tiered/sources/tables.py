@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +33,7 @@ def conform(df: DataFrame, spec: specs.TableSpec, **constants) -> DataFrame:
     return cast_strict(df, spec.schema)
 
 
-def replace_slices(df: DataFrame, path: str, partition_by: str) -> None:
+def replace_slices(df: DataFrame, path: str, *partition_by: str) -> None:
     """Replace the partitions present in the frame, leave the others alone.
 
     One job; the old slice stays readable until the new one is committed.
@@ -39,13 +41,43 @@ def replace_slices(df: DataFrame, path: str, partition_by: str) -> None:
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
+        .partitionBy(*partition_by)
         .parquet(path)
     )
 
 
-def append_rows(df: DataFrame, path: str, partition_by: str) -> None:
-    df.write.mode("append").partitionBy(partition_by).parquet(path)
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def replace_slice(df: DataFrame, path: str, values: Mapping[str, str]) -> None:
+    """Replace one partition, named by its column values, with the frame's rows.
+
+    An empty frame leaves an empty partition: a date whose rows are all
+    rejected does not keep those of an earlier run. Rows of another partition
+    are an error.
+    """
+    here = F.lit(True)
+    for name, value in values.items():
+        here = here & F.col(name).eqNullSafe(F.lit(value).cast(df.schema[name].dataType))
+    checked = df.withColumn(
+        next(iter(values)),
+        F.when(here, F.col(next(iter(values)))).otherwise(
+            F.raise_error(F.lit(f"row outside {dict(values)}")).cast(
+                df.schema[next(iter(values))].dataType
+            )
+        ),
+    )
+    folder = "/".join([path, *[f"{k}={_escaped(df.sparkSession, v)}" for k, v in values.items()]])
+    # The check must run, so the checked column is dropped by way of a filter.
+    kept = checked.filter(F.col(next(iter(values))).isNotNull()).drop(*values)
+    kept.write.mode("overwrite").parquet(folder)
+
+
+def _escaped(spark: SparkSession, value: str) -> str:
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return utils.escapePathName(value)
 
 
 def write_mart(df: DataFrame, name: str, base: str, analysis_date: str) -> str:
@@ -55,16 +87,20 @@ def write_mart(df: DataFrame, name: str, base: str, analysis_date: str) -> str:
     # A mart has a few thousand rows at most: one file per slice. Not coalesce,
     # which would pull the aggregate before it into the one task as well.
     rows = conform(df, spec, analysis_date=analysis_date).repartition(1)
-    replace_slices(rows, path, spec.partition_by)
+    replace_slice(rows, path, {spec.partition_by: analysis_date})
     return path
 
 
 def write_model_output(df: DataFrame, name: str, base: str) -> str:
-    """Route features and predictions by short name and replace their slices."""
+    """Route features and predictions by short name and replace their slices.
+
+    Predictions are a slice for each batch and model: models of one batch stay
+    side by side, and the same pair written again replaces itself.
+    """
     spec = _route(specs.MODEL_ROUTES, name)
     path = f"{base}/{spec.name}"
     if spec.partition_by:
-        replace_slices(conform(df, spec), path, spec.partition_by)
+        replace_slices(conform(df, spec), path, *spec.partition_by.split(","))
     else:
         write_version(conform(df, spec), path)
     return path

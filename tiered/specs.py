@@ -314,8 +314,8 @@ PREDICTIONS = TableSpec(
         ("prediction_error", _dec(8, 4), True),
         ("is_validated", _B, True),
     ),
-    "prediction_batch",
-    ("prediction_batch", "accident_id"),
+    "prediction_batch,model_id",
+    ("prediction_batch", "model_id", "accident_id"),
 )
 
 # Output routing: short name -> table. Unknown names are an error.

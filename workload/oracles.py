@@ -53,7 +53,8 @@ uniq AS (
   SELECT * FROM comp
   QUALIFY row_number() OVER (PARTITION BY id ORDER BY tie_a, tie_b, tie_c) = 1),
 judged AS (
-  SELECT *, CAST(date_diff('second', start_time, end_time) AS DOUBLE) / 3600 AS hours,
+  SELECT *, CAST(date_diff('second', date_trunc('second', start_time),
+      date_trunc('second', end_time)) AS DOUBLE) / 3600 AS hours,
     start_lat BETWEEN -90 AND 90 AND start_lng BETWEEN -180 AND 180
       AND start_lat <> 0 AND start_lng <> 0 AS geo_ok
   FROM uniq),
@@ -228,16 +229,18 @@ sql(
     "parse_timestamps",
     """
 , texts AS (
-  SELECT id, CASE tie_a % 3 WHEN 0 THEN strftime(start_time, '%Y-%m-%d %H:%M:%S')
-      WHEN 1 THEN concat(strftime(start_time, '%Y-%m-%d %H:%M:%S'), '.000000')
-      ELSE 'not a time' END AS st,
+  SELECT id, CASE tie_a % 6 WHEN 0 THEN strftime(start_time, '%Y-%m-%d %H:%M:%S')
+      WHEN 1 THEN concat(strftime(start_time, '%Y-%m-%d %H:%M:%S'), '.250000') END AS st,
     strftime(end_time, '%Y-%m-%d %H:%M:%S') AS et
   FROM inc)
 SELECT id AS "ID", CAST(TRY_CAST(st AS TIMESTAMP) AS VARCHAR) AS "Start_Time",
   CAST(TRY_CAST(et AS TIMESTAMP) AS VARCHAR) AS "End_Time" FROM texts
 """,
 )
-_HOURS = "CAST(date_diff('second', start_time, end_time) AS DOUBLE) / 3600"
+_HOURS = (
+    "CAST(date_diff('second', date_trunc('second', start_time), date_trunc('second', end_time)) "
+    "AS DOUBLE) / 3600"
+)
 sql("duration_hours", f'SELECT id AS "ID", {_HOURS} AS "Duration_Hours" FROM inc')
 sql(
     "filter_duration",
@@ -404,7 +407,7 @@ sql(
     f"""
 SELECT {_GRID.format(c='start_lat')} AS lat_rounded, {_GRID.format(c='start_lng')} AS lng_rounded,
   count(*) AS n
-FROM inc WHERE start_lng IS NOT NULL GROUP BY ALL
+FROM inc GROUP BY ALL
 """,
 )
 sql("calendar_parts", f'SELECT id AS "ID", {_calendar("start_time")} FROM inc')
@@ -489,7 +492,9 @@ pw AS (
   SELECT "Weather_Category" AS wc, CAST(sum(tenths) AS DOUBLE) / (count(*) * 10) AS score
   FROM sc GROUP BY 1)
 SELECT "Weather_Category" AS weather_category, "Severity" AS severity_level,
-  count(*) AS accident_count, avg("Duration_Hours") AS avg_duration_hours,
+  count(*) AS accident_count,
+  CAST((CAST(sum(round("Duration_Hours" * 3600)) AS BIGINT) * 200 + count(*) * 3600)
+    // (count(*) * 7200) AS DOUBLE) / 100 AS avg_duration_hours,
   any_value(score) AS correlation_score
 FROM sc JOIN pw ON wc = "Weather_Category" GROUP BY 1, 2
 """,
@@ -582,7 +587,7 @@ sql(
     "kpi_models",
     """
 SELECT count(*) FILTER (is_active) AS active_models, max(f1_score) AS best_f1,
-  (SELECT model_name FROM mods ORDER BY f1_score DESC, id LIMIT 1) AS best_model,
+  (SELECT model_name FROM mods ORDER BY f1_score DESC NULLS LAST, id LIMIT 1) AS best_model,
   count(*) AS versions
 FROM mods
 """,
@@ -602,7 +607,7 @@ sql(
 )
 sql(
     "best_model",
-    "SELECT model_name, id, 1 - accuracy AS error FROM mods ORDER BY 1 - accuracy, id LIMIT 1",
+    "SELECT model_name, id, 1 - accuracy AS error FROM mods WHERE accuracy IS NOT NULL ORDER BY 1 - accuracy, id LIMIT 1",
 )
 sql(
     "predictions_summary",
@@ -634,7 +639,9 @@ ORDER BY p.prediction_date DESC, p.prediction_id LIMIT 1000
 sql(
     "confusion_matrix",
     """
-SELECT actual_severity AS actual, predicted_severity AS predicted, count(*) AS count,
+SELECT actual_severity AS actual,
+  CAST(round_even(predicted_severity + (prediction_id % 3) / 2, 0) AS INT) AS predicted,
+  count(*) AS count,
   CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY actual_severity) AS share
 FROM scored GROUP BY 1, 2
 """,
@@ -748,24 +755,35 @@ SELECT * EXCLUDE (training_date), CAST(CAST(training_date AS DATE) AS VARCHAR) A
 FROM mods WHERE id = 42
 """,
 )
-# Changes in order of seq: what precedes the last delete of an id is void.
+# Changes in order of seq: what precedes the last delete or create of an id is void.
 sql(
     "apply_changes",
     """
-, cut AS (SELECT id, max(seq) FILTER (op = 'delete') AS cut FROM chg GROUP BY 1),
+, cut AS (SELECT id, max(seq) FILTER (op <> 'update') AS cut FROM chg GROUP BY 1),
 live AS (
-  SELECT c.* FROM chg c JOIN cut USING (id) WHERE cut IS NULL OR (seq > cut)),
+  SELECT c.* FROM chg c JOIN cut USING (id) WHERE (cut IS NULL OR seq >= cut) AND op <> 'delete'),
+masked AS (
+  SELECT *, CASE WHEN sets IS NULL THEN model_name IS NOT NULL
+      ELSE list_contains(string_split(sets, ','), 'model_name') END AS m1,
+    CASE WHEN sets IS NULL THEN accuracy IS NOT NULL
+      ELSE list_contains(string_split(sets, ','), 'accuracy') END AS m2,
+    CASE WHEN sets IS NULL THEN f1_score IS NOT NULL
+      ELSE list_contains(string_split(sets, ','), 'f1_score') END AS m3
+  FROM live),
 last AS (
-  SELECT id, bool_or(op = 'create') AS created,
-    arg_max(model_name, seq) FILTER (model_name IS NOT NULL) AS model_name,
-    arg_max(accuracy, seq) FILTER (accuracy IS NOT NULL) AS accuracy,
-    arg_max(f1_score, seq) FILTER (f1_score IS NOT NULL) AS f1_score
-  FROM live GROUP BY 1),
+  SELECT id, bool_or(op = 'create') AS created, bool_or(m1) AS s1, bool_or(m2) AS s2,
+    bool_or(m3) AS s3,
+    (max({'seq': seq, 'v': model_name}) FILTER (m1)).v AS model_name,
+    (max({'seq': seq, 'v': accuracy}) FILTER (m2)).v AS accuracy,
+    (max({'seq': seq, 'v': f1_score}) FILTER (m3)).v AS f1_score
+  FROM masked GROUP BY 1),
 base AS (
   SELECT m.id, m.model_name, m.accuracy, m.f1_score FROM mods m
   LEFT JOIN cut USING (id) WHERE cut IS NULL)
-SELECT coalesce(b.id, l.id) AS id, coalesce(l.model_name, b.model_name) AS model_name,
-  coalesce(l.accuracy, b.accuracy) AS accuracy, coalesce(l.f1_score, b.f1_score) AS f1_score
+SELECT coalesce(b.id, l.id) AS id,
+  CASE WHEN s1 THEN l.model_name ELSE b.model_name END AS model_name,
+  CASE WHEN s2 THEN l.accuracy ELSE b.accuracy END AS accuracy,
+  CASE WHEN s3 THEN l.f1_score ELSE b.f1_score END AS f1_score
 FROM base b FULL JOIN last l ON b.id = l.id
 WHERE b.id IS NOT NULL OR l.created
 """,
@@ -832,7 +850,7 @@ sql(
 SELECT id AS "ID", round(2 * 6371 * asin(sqrt(pow(sin(radians(39.828125 - start_lat) / 2), 2)
   + cos(radians(start_lat)) * cos(radians(CAST(39.828125 AS DOUBLE)))
   * pow(sin(radians(-98.5625 - start_lng) / 2), 2))), 6) AS km
-FROM inc WHERE start_lng IS NOT NULL
+FROM inc
 """,
 )
 sql(
@@ -851,7 +869,7 @@ sql(
     "geo_features",
     f"""
 , c AS (SELECT "City" AS c, count(*) AS n FROM cl GROUP BY 1),
-top AS (SELECT c FROM c ORDER BY n DESC, c LIMIT 10),
+top AS (SELECT c FROM c ORDER BY n DESC, c LIMIT 50),
 st AS (SELECT "State" AS s, dense_rank() OVER (ORDER BY "State") - 1 AS code
   FROM (SELECT DISTINCT "State" FROM cl))
 SELECT "ID", {_LATR} AS lat_rounded, {_LNGR} AS lng_rounded,
@@ -898,9 +916,13 @@ sql(
 sql(
     "label_encode",
     f"""
-, x AS (SELECT "ID", "State", {_period('"Start_Time"')} AS "Time_Period", "Source" FROM cl)
+, x AS (SELECT "ID", "State", {_period('"Start_Time"')} AS "Time_Period", "Source",
+  {_COMPLEX} AS "Road_Complexity_Category", {_LABEL.format(s='"Severity"')} AS "Severity_Category"
+  FROM cl)
 SELECT *, CAST(dense_rank() OVER (ORDER BY "State") - 1 AS INT) AS state_encoded,
   CAST(dense_rank() OVER (ORDER BY "Time_Period") - 1 AS INT) AS time_period_encoded,
+  CAST(dense_rank() OVER (ORDER BY "Road_Complexity_Category") - 1 AS INT) AS road_complexity_encoded,
+  CAST(dense_rank() OVER (ORDER BY "Severity_Category") - 1 AS INT) AS severity_category_encoded,
   CAST(dense_rank() OVER (ORDER BY "Source") - 1 AS INT) AS source_encoded
 FROM x
 """,

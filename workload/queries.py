@@ -175,13 +175,16 @@ def quality_waterfall(spark, d):
 
 @query
 def parse_timestamps(spark, d):
-    """Text in the usual form, with a nine digit fraction, or no time at all."""
+    """Text in the usual form, with a fraction, a part of a date, an offset, or no time."""
     text = F.date_format("Start_Time", "yyyy-MM-dd HH:mm:ss")
-    form = F.col("tie_a") % 3
+    form = F.col("tie_a") % 6
     rows = raw(spark, d).select(
         "ID",
         F.when(form == 0, text)
-        .when(form == 1, F.concat(text, F.lit(".000000000")))
+        .when(form == 1, F.concat(text, F.lit(".250000000")))
+        .when(form == 2, F.substring(text, 1, 7))
+        .when(form == 3, F.concat(text, F.lit("+05:00")))
+        .when(form == 4, F.substring(text, 1, 4))
         .otherwise("not a time")
         .alias("Start_Time"),
         F.date_format("End_Time", "yyyy-MM-dd HH:mm:ss").alias("End_Time"),
@@ -289,8 +292,7 @@ def area_type(spark, d):
 @query
 def geo_grid(spark, d):
     """Incidents per grid cell of two decimals."""
-    rows = raw(spark, d).filter(F.col("Start_Lng").isNotNull())
-    return rows.groupBy(
+    return raw(spark, d).groupBy(
         F.round("Start_Lat", 2).alias("lat_rounded"),
         F.round("Start_Lng", 2).alias("lng_rounded"),
     ).agg(F.count(F.lit(1)).alias("n"))
@@ -535,7 +537,11 @@ def prediction_accuracy(spark, d):
 
 @query
 def confusion_matrix(spark, d):
-    return reports.confusion_matrix(scored(spark, d))
+    """Predictions in halves, so that rounding to the even label shows."""
+    rows = scored(spark, d).withColumn(
+        "predicted_severity", F.col("predicted_severity") + F.col("prediction_id") % 3 / F.lit(2)
+    )
+    return reports.confusion_matrix(rows)
 
 
 @query
@@ -617,9 +623,12 @@ def get_by_id(spark, d):
 
 @query
 def apply_changes(spark, d):
+    """Creates, deletes and updates; ``sets`` names what a change sets, null included."""
+    changes = views.changes(spark, d).withColumn(
+        "sets", F.split("sets", ",")
+    )
     return listing.apply_changes(
-        views.models(spark, d).select("id", "model_name", "accuracy", "f1_score"),
-        views.changes(spark, d),
+        views.models(spark, d).select("id", "model_name", "accuracy", "f1_score"), changes
     )
 
 
@@ -702,8 +711,8 @@ def accidents(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def haversine(spark, d):
-    """Distance of every incident from the middle of the country."""
-    rows = raw(spark, d).filter(F.col("Start_Lng").isNotNull())
+    """Distance of every incident from the middle of the country; null without a place."""
+    rows = raw(spark, d)
     km = haversine_km(
         F.col("Start_Lat"), F.col("Start_Lng"), F.lit(39.828125), F.lit(-98.5625)
     )
@@ -726,15 +735,16 @@ def median_impute(spark, d):
 @query
 def geo_features(spark, d):
     """Grid, interaction, state code and city features of accident rows."""
-    rows = accidents(spark, d)
     made = features.geo_columns()
-    wide = rows.select(
-        "ID", "State", "City", *[c.alias(n) for n, c in made.items()]
+    wide = features.cut_lineage(
+        accidents(spark, d).select(
+            "ID", "State", "City", *[c.alias(n) for n, c in made.items()]
+        )
+    )
+    coded = features.label_encode(wide, {"State": features.ENCODED["State"]})
+    return features.with_city_features(coded, features.city_lookup(wide)).select(
+        "ID", *made, "state_encoded", "city_frequency", "is_major_city"
     )
-    coded = features.label_encode(wide, "State", "state_encoded")
-    return features.with_city_features(
-        coded, features.city_lookup(rows, top=10)
-    ).select("ID", *made, "state_encoded", "city_frequency", "is_major_city")
 
 
 @query
@@ -755,11 +765,10 @@ def env_features(spark, d):
 
 @query
 def label_encode(spark, d):
-    rows = accidents(spark, d).select("ID", "State", "Time_Period", "Source")
-    for column, (code, missing) in features.ENCODED.items():
-        if column in rows.columns:
-            rows = features.label_encode(rows, column, code, missing)
-    return rows
+    """All five encoded label columns of accident rows."""
+    encoded = {**features.ENCODED, **features.LEAKY_ENCODED}
+    rows = features.cut_lineage(accidents(spark, d).select("ID", *encoded))
+    return features.label_encode(rows, encoded)
 
 
 @query
@@ -789,6 +798,7 @@ def feature_stats(spark, d):
 # that do are checked on plain columns.
 
 _PREPARED: dict[tuple[str, str], models.Prepared] = {}
+_FORESTS: dict[tuple[str, str], models.Trained] = {}
 
 
 def prepared(spark: SparkSession, d: str) -> models.Prepared:
@@ -799,6 +809,14 @@ def prepared(spark: SparkSession, d: str) -> models.Prepared:
     return _PREPARED[key]
 
 
+def forest_of(spark: SparkSession, d: str) -> models.Trained:
+    """The declared forest, fitted once per application."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _FORESTS:
+        _FORESTS[key] = models.train(prepared(spark, d), "random_forest")
+    return _FORESTS[key]
+
+
 def metrics_of(spark: SparkSession, d: str, algorithm: str) -> DataFrame:
     ready = prepared(spark, d)
     return models.regression_metrics(models.train(ready, algorithm).score(ready.table))
@@ -858,7 +876,7 @@ def feature_matrix(spark, d):
 
 @query
 def train_rf(spark, d):
-    return metrics_of(spark, d, "random_forest")
+    return models.regression_metrics(forest_of(spark, d).score(prepared(spark, d).table))
 
 
 @query
@@ -888,7 +906,7 @@ def train_rbf_approx(spark, d):
 
 @query
 def importance_table(spark, d):
-    return models.importance_table(models.train(prepared(spark, d), "random_forest"))
+    return models.importance_table(forest_of(spark, d))
 
 
 @query
@@ -904,17 +922,13 @@ def tune(spark, d):
 
 @query
 def score_confidence(spark, d):
-    ready = prepared(spark, d)
-    forest = models.train(ready, "random_forest", numTrees=20)
-    test = ready.table.filter(F.col("split") == "test")
-    return models.score_confidence(forest, test).select("ID", "prediction", "confidence")
+    scored_rows = models.score_confidence(forest_of(spark, d), prepared(spark, d).table)
+    return scored_rows.select("ID", "prediction", "confidence")
 
 
 @query
 def prediction_rows(spark, d):
-    ready = prepared(spark, d)
-    forest = models.train(ready, "random_forest", numTrees=20)
     as_of = F.lit(views.AS_OF).cast("timestamp_ntz")
     return models.prediction_rows(
-        forest, accidents(spark, d), "accident_severity_rf:1.0", "batch_1", as_of
+        forest_of(spark, d), accidents(spark, d), "accident_severity_rf:1.0", "batch_1", as_of
     )

@@ -25,14 +25,17 @@ SELECT
   concat(' Source', CAST(1 + l.l_suppkey % 3 AS STRING), ' ') AS source,
   CASE WHEN l.l_partkey % 23 = 0 THEN NULL WHEN l.l_partkey % 31 = 0 THEN 5
        ELSE CAST(1 + l.l_partkey % 4 AS INT) END AS severity,
-  l.l_shipdate + (l.l_orderkey % 24) * INTERVAL '1' HOUR AS start_time,
+  l.l_shipdate + (l.l_orderkey % 24) * INTERVAL '1' HOUR
+    + (l.l_suppkey % 1000) * INTERVAL '1' MILLISECOND AS start_time,
   CASE WHEN l.l_partkey % 41 = 0 THEN NULL
-       ELSE l.l_shipdate + (l.l_orderkey % 24 + l.l_partkey % 200 - 4) * INTERVAL '1' HOUR END AS end_time,
+       ELSE l.l_shipdate + (l.l_orderkey % 24 + l.l_partkey % 200 - 4) * INTERVAL '1' HOUR
+         + (l.l_orderkey % 60) * INTERVAL '1' MINUTE + (l.l_partkey % 1000) * INTERVAL '1' MILLISECOND END AS end_time,
   CASE WHEN l.l_orderkey % 97 = 0 THEN CAST(0 AS DOUBLE)
        ELSE 25 + CAST(l.l_orderkey % 2400 AS DOUBLE) / 64 END AS start_lat,
   CASE WHEN l.l_orderkey % 89 = 0 THEN NULL
        ELSE -67 - CAST(l.l_partkey % 7000 AS DOUBLE) / 64 END AS start_lng,
-  CASE WHEN s.s_nationkey % 7 = 0 THEN NULL ELSE concat(' ', n.n_name, ' ') END AS city,
+  CASE WHEN s.s_nationkey % 7 = 0 THEN NULL ELSE concat(' ', n.n_name, CASE WHEN l.l_suppkey % 4 = 0 THEN ''
+         ELSE concat(' ', CAST(l.l_suppkey % 4 AS STRING)) END, ' ') END AS city,
   CASE WHEN l.l_suppkey % 9 = 0 THEN NULL
        ELSE concat(' County', CAST(l.l_suppkey % 50 AS STRING), ' ') END AS county,
   CASE s.s_nationkey % 6 WHEN 0 THEN ' ca' WHEN 1 THEN 'TX ' WHEN 2 THEN 'ny'
@@ -104,10 +107,10 @@ AS_OF = "2024-01-31 00:00:00"
 
 MODELS = """
 SELECT p_partkey AS id, p_type AS model_name, p_brand AS model_version,
-  CAST(p_size AS DOUBLE) / 64 AS accuracy,
+  CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) / 64 END AS accuracy,
   CAST(p_partkey % 50 AS DOUBLE) / 64 AS precision_score,
   CAST(p_partkey % 40 AS DOUBLE) / 64 AS recall,
-  CAST(p_partkey % 37 AS DOUBLE) / 64 AS f1_score,
+  CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE CAST(p_partkey % 37 AS DOUBLE) / 64 END AS f1_score,
   DATE '2024-01-01' + CAST(p_partkey % 365 AS INT) AS training_date,
   p_partkey % 3 = 0 AS is_active
 FROM part
@@ -125,22 +128,22 @@ FROM part
 
 CHANGES = """
 SELECT p_partkey AS id, 1 AS seq, 'update' AS op, CAST(NULL AS STRING) AS model_name,
-  CAST(NULL AS DOUBLE) AS accuracy, CAST(p_size AS DOUBLE) / 32 AS f1_score
+  CAST(NULL AS DOUBLE) AS accuracy, CAST(p_size AS DOUBLE) / 32 AS f1_score, 'accuracy,f1_score' AS sets
 FROM part WHERE p_partkey % 4 = 0
 UNION ALL
-SELECT p_partkey, 2, 'update', 'renamed', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)
+SELECT p_partkey, 2, 'update', 'renamed', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS STRING)
 FROM part WHERE p_partkey % 8 = 0
 UNION ALL
-SELECT p_partkey, 3, 'delete', CAST(NULL AS STRING), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)
+SELECT p_partkey, 3, 'delete', CAST(NULL AS STRING), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), ''
 FROM part WHERE p_partkey % 5 = 0
 UNION ALL
-SELECT p_partkey, 4, 'create', 'again', CAST(0.5 AS DOUBLE), CAST(NULL AS DOUBLE)
-FROM part WHERE p_partkey % 10 = 0
+SELECT p_partkey, 4, 'create', 'again', CAST(0.5 AS DOUBLE), CAST(NULL AS DOUBLE), 'model_name,accuracy'
+FROM part WHERE p_partkey % 10 = 0 OR p_partkey % 17 = 0
 UNION ALL
-SELECT -p_partkey, 5, 'create', 'new', CAST(p_size AS DOUBLE) / 16, CAST(0.25 AS DOUBLE)
+SELECT -p_partkey, 5, 'create', 'new', CAST(p_size AS DOUBLE) / 16, CAST(0.25 AS DOUBLE), 'model_name,f1_score'
 FROM part WHERE p_partkey % 3 = 0
 UNION ALL
-SELECT -p_partkey - 1000000000, 6, 'update', 'absent', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)
+SELECT -p_partkey - 1000000000, 6, 'update', 'absent', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), 'model_name'
 FROM part WHERE p_partkey % 7 = 0
 """
 
