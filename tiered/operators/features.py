@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import Imputer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -307,11 +307,16 @@ def numeric_feature_columns(df: DataFrame, excluded: Sequence[str] = EXCLUDED) -
 
 @dataclass
 class FeatureModel:
-    """What scoring needs: fitted stages, the city lookup, the column order."""
+    """What scoring needs: fitted stages, the city lookup, the column order.
+
+    ``stats`` describes every feature over the training rows, as
+    ``feature_stats``; a loaded model has none.
+    """
 
     stages: PipelineModel
     cities: DataFrame
     columns: list[str]
+    stats: DataFrame | None = None
 
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """``keep`` columns plus the scaled ``features`` vector.
@@ -339,12 +344,12 @@ class FeatureModel:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FeatureModel:
         stages = PipelineModel.load(f"{path}/stages")
-        assembler = stages.stages[-2]
-        columns = [c.removesuffix(FILLED) for c in assembler.getInputCols()]
+        assembler = stages.stages[-1]
+        columns = [c.removesuffix(SCALED) for c in assembler.getInputCols()]
         return cls(stages, spark.read.parquet(f"{path}/cities"), columns)
 
 
-FILLED = "__filled"
+SCALED = "__scaled"
 
 
 def stage_inputs(
@@ -377,22 +382,41 @@ def fit_clusters(df: DataFrame) -> PipelineModel:
     return Pipeline(stages=cluster_stages()).fit(df)
 
 
-def feature_pipeline(numeric: Sequence[str], encoded: Mapping) -> tuple[Pipeline, list[str]]:
-    """Index labels, cluster coordinates, impute, assemble, scale."""
-    codes = [name for name, _ in encoded.values()]
-    columns = [*numeric, *codes, "coord_cluster"]
-    filled = [c + FILLED for c in columns]
-    stages = [
+def label_stages(encoded: Mapping) -> list:
+    return [
         StringIndexer(
-            inputCols=list(encoded), outputCols=codes,
+            inputCols=list(encoded), outputCols=[name for name, _ in encoded.values()],
             stringOrderType="alphabetAsc", handleInvalid="keep",
-        ),
-        *cluster_stages(),
-        Imputer(inputCols=columns, outputCols=filled, strategy="median", relativeError=0.001),
-        VectorAssembler(inputCols=filled, outputCol="__raw"),
-        StandardScaler(inputCol="__raw", outputCol="features", withMean=True, withStd=True),
+        )
     ]
-    return Pipeline(stages=stages), columns
+
+
+def scaling_stages(train: DataFrame, columns: Sequence[str]) -> list:
+    """Impute exact medians and scale by mean and population deviation.
+
+    All are fitted on ``train`` and written into one projection, which is
+    saved with the model. A column without a value counts as 0; a constant
+    column is only centred.
+    """
+    middle = {c: 0.0 for c in columns} | medians(train, columns)
+    filled = {c: f"coalesce(nanvl(`{c}`, NULL), {_literal(middle[c])})" for c in columns}
+    spread = train.agg(
+        *[F.avg(F.expr(x)).alias(f"{c}__mean") for c, x in filled.items()],
+        *[F.stddev_pop(F.expr(x)).alias(f"{c}__std") for c, x in filled.items()],
+    ).first()
+    scaled = [
+        f"({x} - {_literal(spread[f'{c}__mean'] or 0.0)})"
+        f" / {_literal(spread[f'{c}__std'] or 1.0)} AS `{c}{SCALED}`"
+        for c, x in filled.items()
+    ]
+    return [
+        SQLTransformer(statement=f"SELECT *, {', '.join(scaled)} FROM __THIS__"),
+        VectorAssembler(inputCols=[c + SCALED for c in columns], outputCol="features"),
+    ]
+
+
+def _literal(value: float) -> str:
+    return f"CAST('{float(value)!r}' AS DOUBLE)"
 
 
 def fit_features(
@@ -411,5 +435,13 @@ def fit_features(
     ready = with_city_features(engineer(df), cities)
     numeric = numeric_feature_columns(ready, [*EXCLUDED, *keep])
     inputs = cut_lineage(stage_inputs(ready, numeric, list(encoded), keep))
-    pipeline, columns = feature_pipeline(numeric, encoded)
-    return FeatureModel(pipeline.fit(inputs.filter(fit_on)), cities, columns), inputs
+    columns = [*numeric, *[name for name, _ in encoded.values()], "coord_cluster"]
+    made = Pipeline(stages=[*label_stages(encoded), *cluster_stages()]).fit(inputs.filter(fit_on))
+    train = cut_lineage(
+        made.transform(inputs.filter(fit_on)).select(
+            *[F.col(c).cast("double").alias(c) for c in columns]
+        )
+    )
+    stages = PipelineModel(stages=[*made.stages, *scaling_stages(train, columns)])
+    stats = cut_lineage(feature_stats(train, columns))
+    return FeatureModel(stages, cities, columns, stats), inputs

@@ -84,15 +84,20 @@ def refine(values: DataFrame, brackets: DataFrame, probs: Sequence[float]) -> Da
     ranking window sees the inside values alone, 16 / ACCURACY of the rows and
     a few ranks at most.
     """
-    targets = brackets.select("column_name", "n", _targets(probs).alias("targets"))
+    extra = [c for c in brackets.columns if c not in ("column_name", "n", "cuts")]
+    targets = brackets.select(
+        "column_name", "n", F.struct("n", *extra).alias("stats"),
+        _targets(probs).alias("targets"),
+    )
     placed = (
         values.join(F.broadcast(targets), "column_name")
-        .select("column_name", "n", "value", F.inline("targets"))
+        .select("column_name", "n", "stats", "value", F.inline("targets"))
         .filter(F.col("value") <= F.col("hi"))
         .groupBy(
             "column_name",
             "p",
             "n",
+            "stats",
             F.when(F.col("value") >= F.col("lo"), F.col("value")).alias("v"),
         )
         .agg(F.count(F.lit(1)).alias("c"))
@@ -112,13 +117,13 @@ def refine(values: DataFrame, brackets: DataFrame, probs: Sequence[float]) -> Da
         return F.max(F.when(hit, F.col("v")))
 
     ranked = placed.withColumn("upto", F.sum("c").over(w))
-    picked = ranked.groupBy("column_name", "p", "n").agg(
+    picked = ranked.groupBy("column_name", "p", "n", "stats").agg(
         at(lower).alias("a"), at(upper).alias("b")
     )
     exact = F.col("a") + (F.col("b") - F.col("a")) * (position - lower)
     outside = F.raise_error(F.lit("quantile outside its bracket")).cast("double")
     return picked.select(
-        "column_name", "p", F.coalesce(exact, outside).alias("value")
+        "column_name", "p", F.coalesce(exact, outside).alias("value"), "stats"
     )
 
 
@@ -128,4 +133,4 @@ def exact_quantiles(
     """Rows (column_name, p, value); two scans, no column gathered anywhere."""
     values = long_values(df, columns)
     brackets = values.groupBy("column_name").agg(*bracket_aggs(probs))
-    return refine(values, brackets, probs)
+    return refine(values, brackets, probs).drop("stats")

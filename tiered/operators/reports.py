@@ -379,20 +379,19 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
         F.stddev("value").alias("std"),
         *bracket_aggs(QUARTILES),
     )
-    quartiles = (
+    return (
         refine(values, stats, QUARTILES)
-        .groupBy("column_name")
+        .groupBy("column_name", "stats")
         .agg(
             *[
                 F.max(F.when(F.col("p") == p, F.col("value"))).alias(name)
                 for p, name in zip(QUARTILES, ("q25", "q50", "q75"))
             ]
         )
-    )
-    # One row per column on both sides.
-    return stats.join(F.broadcast(quartiles), "column_name").select(
-        "column_name", F.col("n").alias("count"), "mean", "std", "min",
-        "q25", "q50", "q75", "max",
+        .select(
+            "column_name", F.col("stats.n").alias("count"), "stats.mean", "stats.std",
+            "stats.min", "q25", "q50", "q75", "stats.max",
+        )
     )
 
 

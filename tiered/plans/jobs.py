@@ -200,22 +200,19 @@ def _metrics(trained: models.Trained, scored: DataFrame) -> dict:
 
 def _save_features(
     spark: SparkSession, base: str, ident: str, prepared: models.Prepared,
-    source: DataFrame, importance: DataFrame,
+    importance: DataFrame,
 ) -> None:
-    fitted = prepared.features
-    ready = features.with_city_features(features.engineer(source), fitted.cities)
-    numeric = [c for c in fitted.columns if c in ready.columns]
-    stats = features.feature_stats(ready, numeric)
+    """Importance, kind and training statistics of every feature of a model."""
     rows = (
         features.feature_catalog(importance)
-        .join(stats, "feature_name", "left")
+        .join(prepared.features.stats, "feature_name", "left")
         .withColumn("model_id", F.lit(ident))
     )
     tables.write_model_output(rows.repartition(1), "features", base)
 
 
 def fit_and_register(
-    spark: SparkSession, base: str, prepared: models.Prepared, source: DataFrame,
+    spark: SparkSession, base: str, prepared: models.Prepared,
     name: str, version: str, algorithm: str, tuned: bool = False,
 ) -> tuple[str, models.Trained]:
     """Train (or tune), measure on every split, save, register."""
@@ -227,7 +224,7 @@ def fit_and_register(
     trained.val_mse = trained.metrics.get("validation", {}).get("mse", 1.0)
     importance = models.importance_table(trained)
     ident = register(spark, base, trained, name, version, importance)
-    _save_features(spark, base, ident, prepared, source, importance)
+    _save_features(spark, base, ident, prepared, importance)
     return ident, trained
 
 
@@ -258,7 +255,7 @@ def run_severity_models(
     for algorithm in algorithms:
         name = MODEL_NAMES.get(algorithm, f"accident_severity_{algorithm}")
         ident, trained = fit_and_register(
-            spark, base, prepared, source, name, version, algorithm
+            spark, base, prepared, name, version, algorithm
         )
         fitted[ident] = trained
     mae = {i: t.metrics.get("validation", {}).get("mae", float("inf"))
@@ -291,7 +288,7 @@ def train_model(
     rows = source if "split" in source.columns else sampling.train_val_test(source)
     prepared = models.prepare(rows)
     ident, _ = fit_and_register(
-        spark, base, prepared, rows, name, version, algorithm, tuned
+        spark, base, prepared, name, version, algorithm, tuned
     )
     return ident
 

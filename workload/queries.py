@@ -583,7 +583,8 @@ def completeness(spark, d):
 
 @query
 def mart_summary(spark, d):
-    one = marts.cells(measures(spark, d))
+    # Stored once, as the mart job does: the three marts read the small table.
+    one = features.cut_lineage(marts.cells(measures(spark, d)))
     built = [
         tables.conform(mart(one), spec, analysis_date=ANALYSIS_DATE)
         for mart, spec in (
