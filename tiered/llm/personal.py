@@ -23,7 +23,8 @@ KINDS = ("email", "ip", "card", "phone")
 #: Kinds of the spans that the method adds, after the ones above.
 ADDED = ("removed", "general")
 SPANS = "array<struct<kind:string,start:long,end:long>>"
-FILTER_BITS = 1 << 23
+#: Cells of the table of candidate words.
+CELLS = 1 << 20
 _SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -116,8 +117,8 @@ def contexts(text: str, around: int) -> set[tuple[int, int]]:
     return found
 
 
-def _bits(terms: np.ndarray) -> np.ndarray:
-    return (mixed(terms.view(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)
+def _cell(terms: np.ndarray) -> np.ndarray:
+    return (mixed(terms.view(np.uint64)) % np.uint64(CELLS)).astype(np.int64)
 
 
 def disclosing_terms(
@@ -147,25 +148,41 @@ def disclosing_terms(
     counts = seen.select("entity", "text_key").distinct().groupBy("entity").agg(
         F.count("*").alias("n_entity")
     )
+    total = float(texts.select("text_key").distinct().count())
+    # The most texts a term may stand in and still tell the share `general` of an entity.
+    most = F.floor(F.col("n_both") * F.pow(F.lit(total) / F.col("n_entity"), 1 - general) + 1e-9)
+    allowed = shared.staged(
+        pairs.join(counts, "entity").groupBy("term").agg(F.max(most).alias("most")), "allowed"
+    )
 
     def marked(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(FILTER_BITS, bool)
+        cells = np.zeros(CELLS, np.int64)
         for batch in rows:
-            bits[_bits(batch.column(0).to_numpy())] = True
+            np.maximum.at(cells, _cell(batch.column(0).to_numpy()), batch.column(1).to_numpy())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([0], pa.int32()), pa.array([np.packbits(bits).tobytes()])],
-            ["chunk", "cells"],
+            [pa.array([0], pa.int32()), pa.array([cells.tobytes()])], ["chunk", "cells"]
         )
 
     found = shared.merged(
-        pairs.select("term").distinct().mapInArrow(marked, shared.CHUNK_ROWS), "u1", np.bitwise_or
+        allowed.select("term", "most").mapInArrow(marked, shared.CHUNK_ROWS), "<i8", np.maximum
     )
-    # FILTER_BITS bits, whatever the corpus; a full filter only sends more words than needed.
-    whole = found.get(0, np.zeros(FILTER_BITS // 8, np.uint8))
-    held = spark.sparkContext.broadcast(whole.tobytes())
+    # A number for each cell, whatever the corpus; a full table only sends more rows on.
+    held = spark.sparkContext.broadcast(found.get(0, np.zeros(CELLS, np.int64)))
 
     def holding(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(held.value, np.uint8)).view(bool)
+        """(term, text_key); a term that stands in too many texts of a task is one null key."""
+        most = held.value
+        over = np.empty(0, np.int64)
+        pairs, count = np.empty((0, 2), np.int64), 0
+        waiting: list[np.ndarray] = []
+
+        def settled() -> np.ndarray:
+            nonlocal over
+            both = np.unique(np.concatenate([pairs, *waiting]), axis=0)
+            terms, n = np.unique(both[:, 0], return_counts=True)
+            over = np.union1d(over, terms[n > most[_cell(terms)]])
+            return both[~np.isin(both[:, 0], over)]
+
         for batch in rows:
             keys, values = batch.column(0).to_numpy(), batch.column(1).to_pylist()
             for of in batches(values):
@@ -173,26 +190,39 @@ def disclosing_terms(
                     (t or "").encode("utf-8", "surrogatepass") for t in values[of.start : of.stop]
                 ]
                 word, doc, _, _ = hashed_words(coded, _GAP)
-                some = bits[_bits(word)]
-                both = np.unique(
-                    np.stack([word[some].view(np.int64), doc[some]], axis=1), axis=0
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(both[:, 0].copy()), pa.array(keys[of.start : of.stop][both[:, 1]])],
-                    ["term", "text_key"],
-                )
+                word = word.view(np.int64)
+                some = most[_cell(word)] > 0
+                word, doc = word[some], doc[some]
+                new = ~np.isin(word, over)
+                both = np.stack([word[new], keys[of.start : of.stop][doc[new]]], axis=1)
+                waiting.append(np.unique(both, axis=0))
+                count += len(waiting[-1])
+                if count > 1 << 19:
+                    pairs, waiting, count = settled(), [], 0
+        pairs = settled()
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate([pairs[:, 0], over])),
+                pa.array([*pairs[:, 1].tolist(), *[None] * len(over)], pa.int64()),
+            ],
+            ["term", "text_key"],
+        )
 
-    candidates = pairs.select("term").distinct()
+    # A term over the limit in one task is over it in all texts, so leaving it out is exact.
     holds = shared.staged(
         texts.mapInArrow(holding, "term long, text_key long")
         .distinct()
-        .join(candidates, "term", "left_semi"),
+        .join(allowed.select("term"), "term", "left_semi"),
         "holds",
     )
-    frequency = holds.groupBy("term").agg(F.count("*").alias("n_term"))
-    total = texts.select("text_key").distinct().count()
-    content = F.log(F.lit(float(total)) / F.col("n_entity"))
-    shared_ = F.log(F.col("n_both") * float(total) / (F.col("n_term") * F.col("n_entity")))
+    frequency = (
+        holds.groupBy("term")
+        .agg(F.count("*").alias("n_term"), F.count_if(F.col("text_key").isNull()).alias("over"))
+        .where("over = 0")
+        .drop("over")
+    )
+    content = F.log(F.lit(total) / F.col("n_entity"))
+    shared_ = F.log(F.col("n_both") * total / (F.col("n_term") * F.col("n_entity")))
     told = (
         pairs.join(counts, "entity")
         .join(frequency, "term")
@@ -203,7 +233,7 @@ def disclosing_terms(
         .select("term", F.when(F.col("told") >= removed, ADDED[0]).otherwise(ADDED[1]).alias("kind"))
     )
     return shared.staged(
-        holds.join(told, "term")
+        holds.where("text_key is not null").join(told, "term")
         .groupBy("text_key")
         .agg(F.collect_list(F.struct("term", "kind")).alias("terms")),
         "disclosing",

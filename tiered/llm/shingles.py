@@ -40,7 +40,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
-def batches(texts: list[str | None], size: int = 1 << 21) -> Iterator[range]:
+def batches(texts: list[str | None], size: int = 1 << 20) -> Iterator[range]:
     """Row ranges of about `size` characters; a longer text is a range of its own."""
     first = total = 0
     for k, text in enumerate(texts):
