@@ -90,9 +90,37 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
+# crc32 over the hexadecimal bytes of a text; the table of 256 remainders comes from its rule.
+_STEP = "xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)"
+SHARDS = f"""
+WITH RECURSIVE t(k, b, c) AS (
+  SELECT 0, n, CAST(n AS BIGINT) FROM range(256) AS r(n)
+  UNION ALL SELECT k + 1, b, {_STEP} FROM t WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY b) AS t FROM t WHERE k = 8),
+d AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, hex(encode(coalesce(text, ''))) AS h
+  FROM documents),
+c AS (
+  SELECT doc_id, size, xor(list_reduce(
+    list_prepend(4294967295, list_transform(range(1, size),
+      lambda i: CAST('0x' || substr(h, 2 * i - 1, 2) AS BIGINT))),
+    lambda a, b: xor(a >> 8, crc_table.t[1 + (xor(a, b) & 255)])), 4294967295) AS text_crc32
+  FROM d, crc_table),
+p AS (
+  SELECT *, CAST(sum(size) OVER (ORDER BY doc_id) AS BIGINT) - size AS start,
+    CAST(sum(size) OVER () AS BIGINT) AS total FROM c),
+s AS (
+  SELECT *, CAST(((2 * start + size) * 16) // (2 * total) AS INT) AS shard FROM p)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot,
+  CAST(NULL AS INT) AS grown_shard
+FROM s
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": DECONTAMINATION,
     "op2_embedding_links": EMBEDDINGS,
     "op3_jaccard_join": JACCARD,
     "op8_archives": ARCHIVES,
+    "op9_byte_shards": SHARDS,
 }
