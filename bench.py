@@ -1,7 +1,7 @@
 """Headline timings; prints one JSON line.
 
-Every query runs once to warm up and then BENCH_RUNS times; the median counts.
-T1 writes the silver tables from landed records to Parquet, the others are drained
+Every query runs once to warm up and then BENCH_RUNS times; the median counts and
+the fastest and slowest run stand beside it. T1 writes the silver tables from landed records to Parquet, the others are drained
 without a sink. The number of Spark jobs of one run stands beside each time.
 """
 
@@ -35,7 +35,7 @@ DRAINED = (
     "null_profile", "quality_waterfall", "dedup_by_key", "frequency_mart",
     "severity_mart", "trend_mart", "impact_summary", "join_incidents_weather",
     "describe_numeric", "error_box", "confusion_matrix", "apply_changes",
-    "top_n_sorted", "geo_features",
+    "top_n_sorted", "geo_features", "label_encode", "mart_summary",
 )
 
 
@@ -71,7 +71,8 @@ def measure(spark: SparkSession, name: str, run, runs: int, warm: int = 1):
         seconds.append(time.perf_counter() - start)
         count = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
     spark.sparkContext.setJobGroup("", "")
-    return round(statistics.median(seconds), 3), count
+    span = [round(min(seconds), 3), round(max(seconds), 3)]
+    return round(statistics.median(seconds), 3), count, span
 
 
 def main() -> None:
@@ -88,10 +89,14 @@ def main() -> None:
     )
     times: dict[str, float] = {}
     counts: dict[str, int] = {}
+    spans: dict[str, list[float]] = {}
 
     def take(name, run, runs=RUNS, warm=1):
-        times[name], counts[name] = measure(spark, name, run, runs, warm)
+        times[name], counts[name], spans[name] = measure(spark, name, run, runs, warm)
 
+    source = f"{base}/raw.csv"
+    raw.write.option("header", True).csv(source)
+    take("land_snapshot", lambda: jobs.land_snapshot(spark, source, f"{base}/landed", DATE))
     take(
         "T1_build_silver",
         lambda: jobs.build_silver(spark, bronze, silver, DATE, views.TIES),
@@ -100,14 +105,26 @@ def main() -> None:
     for name in DRAINED:
         take(name, lambda n=name: drain(QUERIES[n](spark, SF_DIR)))
 
-    def regressors():
+    ready: list[models.Prepared] = []
+    fitted: dict[str, models.Trained] = {}
+
+    def prepare():
         rows = jobs.load_accidents(spark, silver, DATE)
-        ready = models.prepare(sampling.train_val_test(rows))
-        for algorithm in ("random_forest", "gradient_boosting", "ridge"):
-            fitted = models.train(ready, algorithm)
-            models.regression_metrics(fitted.score(ready.table)).collect()
+        ready.append(models.prepare(sampling.train_val_test(rows)))
+
+    def regressor(algorithm):
+        fitted[algorithm] = models.train(ready[-1], algorithm)
+        models.regression_metrics(fitted[algorithm].score(ready[-1].table)).collect()
 
-    take("T5_three_regressors", regressors, runs=1, warm=0)
+    take("T5_prepare", prepare, runs=1, warm=0)
+    for algorithm in ("random_forest", "gradient_boosting", "ridge"):
+        take(f"T5_{algorithm}", lambda a=algorithm: regressor(a), runs=1, warm=0)
+    take(
+        "score_confidence",
+        lambda: drain(models.score_confidence(fitted["random_forest"], ready[-1].table)),
+        runs=1, warm=0,
+    )
+    take("cv_mae_ridge", lambda: drain(models.cv_mae(ready[-1], "ridge")), runs=1, warm=0)
     spark.stop()
     print(
         json.dumps(
@@ -117,6 +134,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": times,
                 "jobs": counts,
+                "fastest_slowest": spans,
                 "sf": os.path.basename(SF_DIR).removeprefix("sf"),
                 "cpus": int(CPUS),
             }

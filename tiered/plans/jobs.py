@@ -7,6 +7,7 @@ for the same date and leaves the same tables; a date without rows is left empty.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -161,7 +162,7 @@ def register(
             len(trained.features.columns), trained.train_rows,
             val.get("samples", 0), val.get("mae"), val.get("mse"), val.get("rmse"),
             val.get("r2"), path, weights,
-            {k: str(v) for k, v in trained.params.items()}, True,
+            {k: json.dumps(v) for k, v in trained.params.items()}, True,
         )
     ]
     fields = (
