@@ -22,7 +22,8 @@ CLUSTERS = 20
 TOP_CITIES = 50
 SEED = 42
 
-# Columns that never become features: identity, text, target and what is
+# Columns that never become features, encoded columns and their
+# labels of a missing value. Never features: identity, text, target and what is
 # derived from the target.
 EXCLUDED = (
     "ID", "Source", "Start_Time", "End_Time", "State", "City", "County",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +23,25 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_OWNED: list[list[str]] = []
+
+
+@contextmanager
+def owned_tables(spark: SparkSession) -> Iterator[None]:
+    """Drops, at the end, the tables that ``cut_lineage`` wrote inside.
+
+    For jobs whose results are stored elsewhere by then. Outside of it tables
+    stay until the shared folder is cleared.
+    """
+    _OWNED.append([])
+    try:
+        yield
+    finally:
+        for path in _OWNED.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write a frame that several jobs read as a table in the shared folder.
 
@@ -29,6 +50,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    if _OWNED:
+        _OWNED[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -25,6 +25,7 @@ from tiered.operators import (
     sampling,
     subjects,
 )
+from tiered.operators.lineage import owned_tables
 from tiered.sources import files, tables
 
 STAGED = "staged"
@@ -145,6 +146,39 @@ def model_id(name: str, version: str) -> str:
     return f"{name}:{version}"
 
 
+METRICS = "ml_metrics"
+
+
+def convergence(trained: models.Trained) -> tuple[int | None, float | None]:
+    """Rounds and final objective of a learner that works by rounds."""
+    if not getattr(trained.model, "hasSummary", False):
+        return None, None
+    summary = trained.model.summary
+    history = list(summary.objectiveHistory)
+    return summary.totalIterations, float(history[-1]) if history else None
+
+
+def save_metrics(
+    spark: SparkSession, base: str, ident: str, trained: models.Trained, cv: DataFrame | None
+) -> None:
+    """One row a split, and the cross-validated error and convergence, per model."""
+    rounds, objective = convergence(trained)
+    folds = cv.first() if cv is not None else None
+    rows = [
+        (
+            ident, split, m["samples"], m["mae"], m["mse"], m["rmse"], m["r2"],
+            folds and folds.cv_mae_mean, folds and folds.cv_mae_std, rounds, objective,
+        )
+        for split, m in sorted(trained.metrics.items())
+    ]
+    fields = (
+        "model_id string, split string, samples bigint, mae double, mse double, rmse double, "
+        "r2 double, cv_mae_mean double, cv_mae_std double, iterations int, objective double"
+    )
+    table = spark.createDataFrame(rows, fields).repartition(1)
+    tables.replace_slices(table, f"{base}/{METRICS}", "model_id")
+
+
 def register(
     spark: SparkSession, base: str, trained: models.Trained, name: str, version: str,
     importance: DataFrame,
@@ -214,9 +248,9 @@ def _save_features(
 
 def fit_and_register(
     spark: SparkSession, base: str, prepared: models.Prepared,
-    name: str, version: str, algorithm: str, tuned: bool = False,
+    name: str, version: str, algorithm: str, tuned: bool = False, cross_validate: bool = True,
 ) -> tuple[str, models.Trained]:
-    """Train (or tune), measure on every split, save, register."""
+    """Train (or tune), measure on every split and by folds, save, register."""
     if tuned:
         trained, _ = models.tune(prepared, algorithm)
     else:
@@ -226,6 +260,9 @@ def fit_and_register(
     importance = models.importance_table(trained)
     ident = register(spark, base, trained, name, version, importance)
     _save_features(spark, base, ident, prepared, importance)
+    params = {k: v for k, v in trained.params.items() if v != models.PARAMS[algorithm].get(k)}
+    cv = models.cv_mae(prepared, algorithm, **params) if cross_validate else None
+    save_metrics(spark, base, ident, trained, cv)
     return ident, trained
 
 
@@ -239,14 +276,27 @@ MODEL_NAMES = {
 def run_severity_models(
     spark: SparkSession, silver: str, base: str, date: str, batch: str,
     version: str = "1.0", algorithms: Sequence[str] = tuple(MODEL_NAMES),
-    sample: int | None = None, score_rows: int | None = None,
+    sample: int | None = None, score_rows: int | None = None, cross_validate: bool = True,
 ) -> dict[str, float]:
     """Train the regressors of a date, pick the best, score the test split.
 
     All algorithms train on one feature table, of ``sample`` rows if that is
     given. All test rows are scored unless ``score_rows`` asks for a sample of
-    them. Returns the validation MAE per model; the best comes first.
+    them. Returns the validation MAE per model; the best comes first. Metrics of
+    all splits and of the folds are in the table METRICS. Intermediate tables
+    are dropped at the end.
     """
+    with owned_tables(spark):
+        return _run_severity_models(
+            spark, silver, base, date, batch, version, algorithms, sample, score_rows,
+            cross_validate,
+        )
+
+
+def _run_severity_models(
+    spark: SparkSession, silver: str, base: str, date: str, batch: str, version: str,
+    algorithms: Sequence[str], sample: int | None, score_rows: int | None, cross_validate: bool,
+) -> dict[str, float]:
     rows = load_accidents(spark, silver, date)
     if sample is not None:
         rows = sampling.sample_n(rows, sample)
@@ -256,7 +306,7 @@ def run_severity_models(
     for algorithm in algorithms:
         name = MODEL_NAMES.get(algorithm, f"accident_severity_{algorithm}")
         ident, trained = fit_and_register(
-            spark, base, prepared, name, version, algorithm
+            spark, base, prepared, name, version, algorithm, cross_validate=cross_validate
         )
         fitted[ident] = trained
     mae = {i: t.metrics.get("validation", {}).get("mae", float("inf"))
@@ -287,10 +337,11 @@ def train_model(
     algorithm: str = "random_forest", tuned: bool = False,
 ) -> str:
     rows = source if "split" in source.columns else sampling.train_val_test(source)
-    prepared = models.prepare(rows)
-    ident, _ = fit_and_register(
-        spark, base, prepared, name, version, algorithm, tuned
-    )
+    with owned_tables(spark):
+        prepared = models.prepare(rows)
+        ident, _ = fit_and_register(
+            spark, base, prepared, name, version, algorithm, tuned
+        )
     return ident
 
 

@@ -157,7 +157,7 @@ TREND_UP, TREND_DOWN = "1.2", "0.8"
 SEVERITY_BANDS = ((3, "Low"), (7, "Medium"))
 SEVERITY_BAND_TOP = "High"
 
-# Feature catalogue: first keyword hit decides.
+# Feature catalogue (first keyword hit decides) and descriptions.
 FEATURE_TYPES = (
     (("lat", "lng", "coord", "state", "city"), "geographic", "geographic"),
     (
@@ -188,7 +188,7 @@ SNAPSHOT_DATES = ("2025-01-01", "2025-01-02", "2025-01-03")
 SNAPSHOT_CUTS = (33, 66, 100)  # cumulative percent of keys per date
 
 # ---------------------------------------------------------------------------
-# Marts and registry.
+# Names, types and keys of the stored marts and registry tables.
 
 
 def _fields(*cols: tuple[str, T.DataType, bool]) -> T.StructType:
@@ -322,7 +322,7 @@ PREDICTIONS = TableSpec(
 MART_ROUTES = {"frequency": FREQUENCY, "severity": SEVERITY, "weather": TRENDS}
 MODEL_ROUTES = {"models": MODELS, "features": FEATURES, "predictions": PREDICTIONS}
 
-# Row rules of the marts: (rule name, SQL condition a good row meets).
+# Row rules of the marts (rule name, SQL condition a good row meets).
 # A null passes where the column is nullable, as in the conditions below.
 FREQUENCY_RULES = {
     "weather_category_length": "length(weather_category) <= 50",

@@ -479,7 +479,9 @@ FROM freq
 )
 
 
-def _severity(name: str, snow: str, rain: str, fog: str) -> None:
+def _severity(
+    name: str, snow: str, rain: str, fog: str, score: str = "any_value(score)", more: str = ""
+) -> None:
     sql(
         name,
         f"""
@@ -495,7 +497,7 @@ SELECT "Weather_Category" AS weather_category, "Severity" AS severity_level,
   count(*) AS accident_count,
   CAST((CAST(sum(round("Duration_Hours" * 3600)) AS BIGINT) * 200 + count(*) * 3600)
     // (count(*) * 7200) AS DOUBLE) / 100 AS avg_duration_hours,
-  any_value(score) AS correlation_score
+  {score} AS correlation_score{more}
 FROM sc JOIN pw ON wc = "Weather_Category" GROUP BY 1, 2
 """,
     )
@@ -503,6 +505,20 @@ FROM sc JOIN pw ON wc = "Weather_Category" GROUP BY 1, 2
 
 _severity("severity_mart", "Snow", "Rain", "Fog")
 _severity("severity_mart_fixed", "Snow/Ice", "Rainy", "Fog/Mist")
+_severity(
+    "mart_conform_severity", "Snow", "Rain", "Fog",
+    "CAST(CAST(any_value(score) AS DECIMAL(5, 3)) AS DOUBLE)",
+    ", '2025-01-03' AS analysis_date",
+)
+sql(
+    "mart_conform_frequency",
+    """
+SELECT weather_category, temperature_category, accident_count, total_accidents,
+  CAST((accident_count * 20000 + total_accidents) // (2 * total_accidents) AS DOUBLE) / 100 AS frequency_percentage,
+  '2025-01-03' AS analysis_date
+FROM freq
+""",
+)
 sql(
     "severity_corr",
     """

@@ -383,7 +383,8 @@ def distinct_values(spark, d):
 
 @query
 def join_incidents_weather(spark, d):
-    rows = clean(spark, d)
+    """From stored rows: the cleaning and its shuffle run once for both sides."""
+    rows = features.cut_lineage(clean(spark, d))
     return subjects.join_subjects(
         subjects.accidents_table(rows), subjects.weather_table(rows)
     )
@@ -421,6 +422,20 @@ def mart_conform(spark, d):
     return stored_trends(spark, d).drop("created_at")
 
 
+@query
+def mart_conform_frequency(spark, d):
+    mart = marts.frequency_mart(measures(spark, d))
+    stored = tables.conform(mart, specs.FREQUENCY, analysis_date=ANALYSIS_DATE)
+    return stored.drop("created_at")
+
+
+@query
+def mart_conform_severity(spark, d):
+    mart = marts.severity_mart(measures(spark, d))
+    stored = tables.conform(mart, specs.SEVERITY, analysis_date=ANALYSIS_DATE)
+    return stored.drop("created_at")
+
+
 # ---------------------------------------------------------------------------
 # Reports
 
