@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -244,9 +245,8 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, base in zip(*(c.to_pylist() for c in batch.columns)):
-                found = list(Reader(path).documents())
-                for at in range(0, len(found), 10_000):
-                    doc, start, count, crc = zip(*found[at : at + 10_000])
+                for found in batched(Reader(path).documents(), 10_000):
+                    doc, start, count, crc = zip(*found)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(doc, pa.int64()),
