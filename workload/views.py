@@ -9,6 +9,7 @@ FEATURES and CHANGES stand in for the model tables.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -182,4 +183,6 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, sf_dir, CHANGES, "part")
+    """Changes; ``sets`` lists the fields a change sets, null for those not null."""
+    rows = _view(spark, sf_dir, CHANGES, "part")
+    return rows.withColumn("sets", F.split("sets", ","))
