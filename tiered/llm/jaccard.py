@@ -129,22 +129,43 @@ def _best(i: np.ndarray, j: np.ndarray, bound: np.ndarray, most: int) -> np.ndar
     return keep
 
 
-def _pairs_of_units(percent: int, first_round: bool):
+def _best_of_classes(i: np.ndarray, j: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Of the pairs between the same two classes, the number of the one with the highest bound."""
+    low, high = np.minimum(i, j), np.maximum(i, j)
+    order = np.lexsort((-bound, high, low))
+    new = np.ones(len(order), bool)
+    low, high = low[order], high[order]
+    new[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+    return order[new]
+
+
+#: What a round emits: a few best pairs of each leaf, one pair of each two classes, all pairs.
+LEAVES, CLASSES, ALL = "leaves", "classes", "all"
+
+
+def _pairs_of_units(percent: int, emits: str):
     """Kernel over rows (unit, side, rep, root, n, point) sorted by unit: possible pairs."""
 
-    def small(rep, root, n, points, starts, sizes) -> pa.RecordBatch:
-        i, j = _small_pairs(starts, sizes)
-        fits = (root[i] != root[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
-        i, j = i[fits], j[fits]
+    def bounds(points: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         bound = np.empty(len(i), np.int64)
         for at in range(0, len(i), 1 << 14):
             part = slice(at, at + (1 << 14))
             bound[part] = np.minimum(points[i[part]], points[j[part]]).sum(axis=1, dtype=np.int64)
+        return bound
+
+    def small(rep, root, n, points, starts, sizes) -> pa.RecordBatch:
+        i, j = _small_pairs(starts, sizes)
+        fits = (root[i] != root[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+        i, j = i[fits], j[fits]
+        bound = bounds(points, i, j)
         keep = possible(n[i], n[j], bound, percent)
         i, j, bound = i[keep], j[keep], bound[keep]
-        if first_round:
+        if emits == LEAVES:
             best = _best(i, j, bound, 2)
             i, j = i[best], j[best]
+        elif emits == CLASSES:
+            best = _best_of_classes(root[i], root[j], bound)
+            i, j = i[best], j[best]
         return emit(rep[i], rep[j])
 
     def emit(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -161,7 +182,11 @@ def _pairs_of_units(percent: int, first_round: bool):
         i, j = tree_join(a, b, not len(right), percent)
         i, j = left[i], right[j] if len(right) else left[j]
         apart = root[i] != root[j]
-        return emit(rep[i[apart]], rep[j[apart]])
+        i, j = i[apart], j[apart]
+        if emits == CLASSES:
+            best = _best_of_classes(root[i], root[j], bounds(points, i, j))
+            i, j = i[best], j[best]
+        return emit(rep[i], rep[j])
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
@@ -175,7 +200,7 @@ def _pairs_of_units(percent: int, first_round: bool):
             sizes = np.diff(np.r_[new, len(unit)])
             points = _vectors(table.column(7).to_pylist())
             tiny = sizes <= LEAF
-            if first_round:
+            if emits == LEAVES:
                 starts, lengths = [new[tiny]], [sizes[tiny]]
                 order = np.arange(len(unit))
                 for at, size in zip(new[~tiny], sizes[~tiny]):
@@ -419,7 +444,7 @@ class Join:
         ).withColumn("root", F.col("rep"))
         return member.join(self.points, "rep").select(UNIT)
 
-    def second_units(self, roots: DataFrame) -> DataFrame:
+    def later_units(self, roots: DataFrame) -> DataFrame:
         """Lists, or pairs of parts of long lists, whose sets are not all one class yet."""
         member = (
             self.lists.select("list", "part", "several", F.explode("members").alias("rep"))
@@ -453,9 +478,9 @@ class Join:
         columns = ["list", "part", "other", "side", "rep", "root"]
         return own.select(columns).union(across.select(columns)).join(self.points, "rep").select(UNIT)
 
-    def links(self, units: DataFrame, first_round: bool) -> DataFrame:
+    def links(self, units: DataFrame, emits: str) -> DataFrame:
         """Pairs of similar sets among the units, each compared in full."""
-        kernel = _pairs_of_units(self.percent, first_round)
+        kernel = _pairs_of_units(self.percent, emits)
         ordered = shared.spread(units, "list", "part", "other").sortWithinPartitions(
             "list", "part", "other", "side", "rep"
         )
@@ -596,8 +621,9 @@ def link_documents(
 
     Two documents link when 100 * shared shingles >= percent * all shingles of both. Copies
     of one text are one set. A sixteenth of the lists gives the first links, a few for each
-    set; their classes then leave, in all lists, only sets of different classes to compare,
-    so a large group of near copies costs no comparison of all its pairs. No pair of sets in
+    set. In all lists, then, only sets of different classes are compared: first the likeliest
+    pair of each two classes, and after those have joined all pairs between classes. So a
+    large group of near copies costs no comparison of all its pairs, and no pair of sets in
     different classes is left out: what the bound does not exclude is compared in full.
 
     Documents without text or words have no shingles and link with nothing. Texts of fewer
@@ -605,8 +631,11 @@ def link_documents(
     name no class that has a known id. An empty table gives no rows. Other columns are not read.
     """
     join = Join(docs, words, percent, key, text)
-    first = join.links(join.first_units(), True)
-    roots = shared.staged(components(first), "classes")
-    second = join.links(join.second_units(roots), False)
+    links = join.links(join.first_units(), LEAVES)
+    roots = shared.staged(components(links), "classes")
+    for emits in (CLASSES, ALL):
+        links = join.links(join.later_units(roots), emits)
+        known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = shared.staged(components(known.union(links)), "classes")
     shared.dropped(join.lists)
-    return join.answer(components(first.union(second)))
+    return join.answer(roots)
