@@ -271,6 +271,8 @@ class Join:
             .withColumn("rep", F.monotonically_increasing_id()),
             "texts",
         )
+        #: Pairs of earlier rounds, which no later round compares again.
+        self.compared: list[DataFrame] = []
         self._sign()
         self._list()
 
@@ -484,9 +486,11 @@ class Join:
         ordered = shared.spread(units, "list", "part", "other").sortWithinPartitions(
             "list", "part", "other", "side", "rep"
         )
-        pairs = shared.staged(
-            ordered.mapInArrow(kernel, "a long, b long").distinct(), "possible"
-        )
+        found = ordered.mapInArrow(kernel, "a long, b long").distinct()
+        for done in self.compared:
+            found = found.join(done, ["a", "b"], "left_anti")
+        pairs = shared.staged(found, "possible")
+        self.compared.append(pairs)
         sets = self._sets(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")))
 
         def compared(pairs: DataFrame, column: str, kernel: Callable, name: str) -> DataFrame:
@@ -499,7 +503,7 @@ class Join:
         # Fine points are an eighth of the sets and leave hardly a pair that is not similar.
         likely = compared(pairs, "fine", _finer(self.percent), "likely")
         similar = compared(likely, "shingles", _verify(self.percent), "similar")
-        for table in (pairs, likely, sets):
+        for table in (likely, sets):
             shared.dropped(table)
         return similar
 
@@ -637,5 +641,6 @@ def link_documents(
         links = join.links(join.later_units(roots), emits)
         known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots = shared.staged(components(known.union(links)), "classes")
-    shared.dropped(join.lists)
+    for table in (join.lists, *join.compared):
+        shared.dropped(table)
     return join.answer(roots)
