@@ -409,6 +409,76 @@ def test_disclosing_terms(spark):
     assert got[100]["key"] == "kept"
 
 
+def test_terms_of_single_texts_disclose(spark):
+    rng = np.random.default_rng(7)
+    common = [f"usual{chr(97 + k)}" for k in range(20)]
+    line = lambda: " ".join(rng.choice(common, 40))
+    rows = [(k, line()) for k in range(1200)]
+    # One text with an address, and its word far from it.
+    rows.append((2000, f"zanzibar {line()} agent@example.com {line()}"))
+    # Two texts with a number, and a third that only holds their word.
+    rows += [(2001 + k, f"call +1 (212) 555-0199 {line()} quillfeather") for k in range(2)]
+    rows.append((2003, f"quillfeather {line()}"))
+    # Four addresses of one domain: no value comes twice, the domain does.
+    rows += [(2010 + k, f"corvus {line()} staff{k}@raven.example") for k in range(4)]
+    rows += [(2020, f"corvus {line()}"), (2000, rows[1200][1])]
+    docs = edges.documents(spark, rows)
+    by_id = dict(rows)
+    got = {
+        r.doc_id: {by_id[r.doc_id][s.start : s.end] for s in r.pii_spans if s.kind in personal.ADDED}
+        for r in personal.sanitise(docs).collect()
+    }
+    assert got[2000] == {"zanzibar"}
+    assert got[2001] == got[2002] and "quillfeather" in got[2001]
+    assert got[2003] == {"quillfeather"}
+    assert all("corvus" in got[2010 + k] for k in range(4)) and got[2020] == {"corvus"}
+    assert not set().union(*got.values()) & set(common)
+    assert all(not got[k] for k in range(1200))
+
+
+def test_disclosing_terms_equal_a_plain_version(spark):
+    rng = np.random.default_rng(11)
+    words = [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(400)]
+    odds = 1 / np.arange(1, 401)
+    rows = []
+    for k in range(500):
+        text = " ".join(rng.choice(words, 30, p=odds / odds.sum()))
+        if k % 40 == 0:
+            text += f" a{k // 80}@mail{k % 3}.example 10.2.{k % 7}.1 code{k // 80} of{k}"
+        rows.append((k, text))
+    texts = sorted({t for _, t in rows})
+    total, general, removed, prior, chance = len(texts), 0.9, 0.98, 0.25, 0.01
+    held, named = {}, {}
+    for n, text in enumerate(texts):
+        spans = personal.base_spans(text)
+        word, start, end = personal.words_of(text)
+        free = personal._free(start, end, spans)
+        for w in word.tolist():
+            held.setdefault(w, set()).add(n)
+        for e in set().union(*(personal.entities(text, s) for s in spans)):
+            named.setdefault(e, (set(), set()))[0].add(n)
+            named[e][1].update((n, w) for w in word[free].tolist())
+    told: dict[int, float] = {}
+    for own, beside in named.values():
+        p = len(own) / total
+        for w in {w for _, w in beside}:
+            both, of = sum((n, w) in beside for n in own), len(held[w])
+            rate = both / of
+            apart = (1 - rate) * np.log((1 - rate) / (1 - p)) if rate < 1 else 0
+            if rate > p and np.exp(-of * (rate * np.log(rate / p) + apart)) <= chance:
+                q = (both + prior * p) / (of + prior)
+                told[w] = max(told.get(w, 0), np.log(q / p) / -np.log(p))
+    want = {w: "removed" if v >= removed else "general" for w, v in told.items() if v >= general}
+    assert want
+    got = personal.sanitise(edges.documents(spark, rows)).collect()
+    by_id = dict(rows)
+    for r in got:
+        mine = {w: k for w, k in want.items() if w in personal.words_of(by_id[r.doc_id])[0].tolist()}
+        expected = personal.all_spans(by_id[r.doc_id], mine)
+        kinds = (*personal.KINDS, *personal.ADDED)
+        assert [(s.start, kinds.index(s.kind), s.end) for s in r.pii_spans] == expected
+
+
 def test_personal_edges(spark):
     docs = edges.documents(spark)
     got = personal.sanitise(docs)

@@ -2,17 +2,21 @@
 
 A term discloses a protected entity when seeing it tells nearly as much as the entity would:
 the pointwise mutual information of the two, over the information content of the entity,
-exceeds a threshold. Both are estimated from all distinct texts of the corpus.
+exceeds a threshold. Both are estimated from all distinct texts of the corpus, over whole
+texts. An entity is the value of an identifier, a coarser part of it (mail domain, first
+digits) or its kind. A term in a single text can disclose: the share is shrunk towards
+chance by a fraction of a text, and what chance alone would bring about is left out.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,9 +26,16 @@ from tiered.llm.shingles import batches, hashed_words, mixed
 KINDS = ("email", "ip", "card", "phone")
 #: Kinds of the spans that the method adds, after the ones above.
 ADDED = ("removed", "general")
+#: Rows of one pass over the texts: counts of terms, entities of texts, words beside them.
+TERM, ENTITY, HELD = range(3)
 SPANS = "array<struct<kind:string,start:long,end:long>>"
-#: Cells of the table of candidate words.
-CELLS = 1 << 20
+#: Bits of a filter of keys: 16 a key up to the most, beyond which more rows pass.
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27
+PROBES = 4
+#: Words of texts that a task holds before it counts them and hands them on.
+PAIRS = 1 << 20
+#: Texts handled together.
+SOME_ROWS = 256
 _SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -77,10 +88,22 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def entity(text: str, span: tuple[int, int, int]) -> int:
-    """A number for the kind and value of a span."""
-    value = f"{span[1]}:{text[span[0] : span[2]].lower()}".encode("utf-8", "surrogatepass")
-    return int.from_bytes(hashlib.blake2b(value, digest_size=8).digest(), "little", signed=True)
+def _number(name: str) -> int:
+    coded = name.encode("utf-8", "surrogatepass")
+    return int.from_bytes(hashlib.blake2b(coded, digest_size=8).digest(), "little", signed=True)
+
+
+def entities(text: str, span: tuple[int, int, int]) -> set[int]:
+    """Numbers for the value of a span, for a coarser part of it and for its kind."""
+    value = text[span[0] : span[2]].lower()
+    if span[1] == 0:
+        part = value.rpartition("@")[2]
+    elif span[1] == 1:
+        part = ".".join(value.split(".")[:2])
+    else:
+        value = "".join(_DIGIT.findall(value))
+        part = value[:6] if span[1] == 2 else value[:-7]
+    return {_number(f"{span[1]}:{name}") for name in (f"value:{value}", f"part:{part}", "kind")}
 
 
 def words_of(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,139 +124,203 @@ def _free(start: np.ndarray, end: np.ndarray, spans: list[tuple[int, int, int]])
     return free
 
 
-def contexts(text: str, around: int) -> set[tuple[int, int]]:
-    """(entity, word) for the words within `around` words of each identifier of a text."""
-    spans = base_spans(text)
-    if not spans:
-        return set()
-    word, start, end = words_of(text)
-    free = _free(start, end, spans)
-    word, start = word[free], start[free]
-    found: set[tuple[int, int]] = set()
-    for span in spans:
-        at = int(np.searchsorted(start, span[0]))
-        name = entity(text, span)
-        found |= {(name, w) for w in word[max(0, at - around) : at + around].tolist()}
-    return found
+def _places(keys: np.ndarray, bits: int) -> list[np.ndarray]:
+    """Places of each key in a filter."""
+    whole = mixed(keys.view(np.uint64))
+    step = mixed(whole) | np.uint64(1)
+    with np.errstate(over="ignore"):
+        return [
+            ((whole + np.uint64(k) * step) % np.uint64(bits)).astype(np.int64)
+            for k in range(PROBES)
+        ]
 
 
-def _cell(terms: np.ndarray) -> np.ndarray:
-    return (mixed(terms.view(np.uint64)) % np.uint64(CELLS)).astype(np.int64)
+def _passes(keys: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Which keys a filter may hold; those that it holds are always among them."""
+    passed = np.ones(len(keys), bool)
+    for place in _places(keys, 64 * len(held)):
+        passed &= (held[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
+    return passed
 
 
-def disclosing_terms(
-    texts: DataFrame, around: int, support: int, general: float, removed: float
-) -> DataFrame:
-    """(text_key, terms) of the texts with a disclosing term; terms are (term, kind) pairs.
+def _filter(keys: DataFrame) -> Broadcast:
+    """A filter of the keys in the only column: bounded, whatever their number."""
+    spark = keys.sparkSession
+    bits = LEAST_BITS
+    wanted = 16 * keys.count()
+    while bits < min(wanted, MOST_BITS):
+        bits *= 2
 
-    `texts` has text_key and text; rows with one key are one text, however often it stands.
-    """
-    spark = texts.sparkSession
-
-    def near(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def places(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            out = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                out += [(e, w, key) for e, w in contexts(text.as_py() or "", around)]
-            columns = list(zip(*out)) or [()] * 3
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], ["entity", "term", "text_key"]
-            )
-
-    seen = shared.staged(
-        texts.mapInArrow(near, "entity long, term long, text_key long").distinct(), "contexts"
-    )
-    pairs = seen.groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    pairs = shared.staged(pairs.where(F.col("n_both") >= support), "pairs")
-    counts = seen.select("entity", "text_key").distinct().groupBy("entity").agg(
-        F.count("*").alias("n_entity")
-    )
-    total = float(texts.select("text_key").distinct().count())
-    # The most texts a term may stand in and still tell the share `general` of an entity.
-    most = F.floor(F.col("n_both") * F.pow(F.lit(total) / F.col("n_entity"), 1 - general) + 1e-9)
-    allowed = shared.staged(
-        pairs.join(counts, "entity").groupBy("term").agg(F.max(most).alias("most")), "allowed"
+            every = np.unique(np.concatenate(_places(batch.column(0).to_numpy(), bits)))
+            ones = np.left_shift(np.uint64(1), (every & 63).astype(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(every >> 6), pa.array(ones)], ["at", "ones"])
+
+    # At most one short row for 64 bits.
+    found = (
+        keys.mapInArrow(places, "at long, ones long")
+        .groupBy("at").agg(F.bit_or("ones").alias("ones")).toArrow()
     )
+    held = np.zeros(bits // 64, np.uint64)
+    held[found.column("at").to_numpy()] = found.column("ones").to_numpy().view(np.uint64)
+    return spark.sparkContext.broadcast(held)
+
+
+Rows = Iterator[pa.RecordBatch]
+
+
+def _that(place: int, held: Broadcast, wanted: bool) -> Callable[[Rows], Rows]:
+    """Keeps the rows whose key a filter may hold, or the others, in batches of few rows."""
 
-    def marked(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(CELLS, np.int64)
+    def chosen(rows: Rows) -> Rows:
         for batch in rows:
-            np.maximum.at(cells, _cell(batch.column(0).to_numpy()), batch.column(1).to_numpy())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([0], pa.int32()), pa.array([cells.tobytes()])], ["chunk", "cells"]
-        )
+            own = pa.array(_passes(batch.column(place).to_numpy(), held.value) == wanted)
+            for at in range(0, batch.num_rows, SOME_ROWS):
+                yield batch.slice(at, SOME_ROWS).filter(own.slice(at, SOME_ROWS))
+
+    return chosen
+
 
-    found = shared.merged(
-        allowed.select("term", "most").mapInArrow(marked, shared.CHUNK_ROWS), "<i8", np.maximum
+def _once(texts: DataFrame, keys: DataFrame, run: Callable[[Rows], Rows], schema: str) -> DataFrame:
+    """`run` over each distinct text once; only texts that may have copies are shuffled."""
+    held = _filter(keys.where("n > 1").select("text_key"))
+    single, copied = _that(0, held, False), _that(0, held, True)
+    again = texts.mapInArrow(copied, texts.schema).dropDuplicates(["text_key"])
+    return texts.mapInArrow(lambda rows: run(single(rows)), schema).unionByName(
+        again.mapInArrow(run, schema)
     )
-    # A number for each cell, whatever the corpus; a full table only sends more rows on.
-    held = spark.sparkContext.broadcast(found.get(0, np.zeros(CELLS, np.int64)))
 
-    def holding(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(term, text_key); a term that stands in too many texts of a task is one null key."""
-        most = held.value
-        over = np.empty(0, np.int64)
-        pairs, count = np.empty((0, 2), np.int64), 0
-        waiting: list[np.ndarray] = []
-
-        def settled() -> np.ndarray:
-            nonlocal over
-            both = np.unique(np.concatenate([pairs, *waiting]), axis=0)
-            terms, n = np.unique(both[:, 0], return_counts=True)
-            over = np.union1d(over, terms[n > most[_cell(terms)]])
-            return both[~np.isin(both[:, 0], over)]
 
-        for batch in rows:
-            keys, values = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-            for of in batches(values):
-                coded = [
-                    (t or "").encode("utf-8", "surrogatepass") for t in values[of.start : of.stop]
-                ]
-                word, doc, _, _ = hashed_words(coded, _GAP)
-                word = word.view(np.int64)
-                some = most[_cell(word)] > 0
-                word, doc = word[some], doc[some]
-                new = ~np.isin(word, over)
-                both = np.stack([word[new], keys[of.start : of.stop][doc[new]]], axis=1)
-                waiting.append(np.unique(both, axis=0))
-                count += len(waiting[-1])
-                if count > 1 << 19:
-                    pairs, waiting, count = settled(), [], 0
-        pairs = settled()
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([pairs[:, 0], over])),
-                pa.array([*pairs[:, 1].tolist(), *[None] * len(over)], pa.int64()),
-            ],
-            ["term", "text_key"],
+def _coded(values: list[str | None]) -> Iterator[tuple[range, np.ndarray, np.ndarray]]:
+    """Ranges of texts, and the hash and text number in the range of each of their words."""
+    for of in batches(values):
+        coded = [(t or "").encode("utf-8", "surrogatepass") for t in values[of.start : of.stop]]
+        word, doc, _, _ = hashed_words(coded, _GAP)
+        yield of, word.view(np.int64), doc
+
+
+def _seen(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of distinct texts: (TERM, term, texts), (ENTITY, entity, text), (HELD, term, text)."""
+
+    def out(what: int, key: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
+        kind = pa.array(np.full(len(key), what, np.int8))
+        return pa.RecordBatch.from_arrays(
+            [kind, pa.array(key), pa.array(value)], ["what", "key", "value"]
         )
 
-    # A term over the limit in one task is over it in all texts, so leaving it out is exact.
-    holds = shared.staged(
-        texts.mapInArrow(holding, "term long, text_key long")
-        .distinct()
-        .join(allowed.select("term"), "term", "left_semi"),
-        "holds",
+    waiting: list[np.ndarray] = []
+    count = 0
+    for batch in rows:
+        keys, values = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+        named = []
+        for key, text in zip(keys.tolist(), values):
+            spans = base_spans(text)
+            if spans:
+                named += [(e, key) for e in set().union(*(entities(text, s) for s in spans))]
+                word, start, end = words_of(text)
+                free = np.unique(word[_free(start, end, spans)])
+                yield out(HELD, free, np.full(len(free), key))
+        if named:
+            yield out(ENTITY, *np.array(named, np.int64).T)
+        for _, word, doc in _coded(values):
+            order = np.lexsort((doc, word))
+            word, doc = word[order], doc[order]
+            new = np.ones(len(word), bool)
+            new[1:] = (word[1:] != word[:-1]) | (doc[1:] != doc[:-1])
+            waiting.append(word[new])
+            count += len(waiting[-1])
+            if count > PAIRS:
+                yield out(TERM, *np.unique(np.concatenate(waiting), return_counts=True))
+                waiting, count = [], 0
+    if waiting:
+        yield out(TERM, *np.unique(np.concatenate(waiting), return_counts=True))
+
+
+def disclosing_terms(
+    texts: DataFrame, general: float, removed: float, prior: float, chance: float
+) -> DataFrame:
+    """(text_key, terms) of the texts with a disclosing term; terms are (term, kind) pairs.
+
+    `texts` has text_key and text; rows with one key are one text, however often it stands.
+    """
+    keys = shared.staged(
+        texts.groupBy("text_key").agg(F.count("*").alias("n")), "text_keys"
     )
+    total = float(keys.count())
+    seen = shared.staged(_once(texts, keys, _seen, "what byte, key long, value long"), "seen")
     frequency = (
-        holds.groupBy("term")
-        .agg(F.count("*").alias("n_term"), F.count_if(F.col("text_key").isNull()).alias("over"))
-        .where("over = 0")
-        .drop("over")
+        seen.where(F.col("what") == TERM).groupBy(F.col("key").alias("term"))
+        .agg(F.sum("value").alias("n_term"))
+    )
+    # Entities of the very same texts tell the same: a list of many addresses is one group.
+    occurs = seen.where(F.col("what") == ENTITY).select(
+        F.col("key").alias("entity"), F.col("value").alias("text_key")
     )
-    content = F.log(F.lit(total) / F.col("n_entity"))
-    shared_ = F.log(F.col("n_both") * total / (F.col("n_term") * F.col("n_entity")))
-    told = (
-        pairs.join(counts, "entity")
-        .join(frequency, "term")
-        .where(content > 0)
+    mark = F.xxhash64(F.lit(1), "text_key")
+    groups = occurs.groupBy("entity").agg(
+        F.count("*").alias("n_entity"), F.bit_xor("text_key").alias("a"), F.bit_xor(mark).alias("b")
+    )
+    share = F.col("n_entity") / total
+    # The most texts a term may stand in and still tell the share `general` of an entity.
+    most = (F.col("n_entity") + prior * share) * F.pow(share, general - 1) - prior + 1e-9
+    groups = groups.where(F.col("n_entity") < total).select(
+        "entity", F.xxhash64("n_entity", "a", "b").alias("group"), "n_entity", most.alias("most")
+    )
+    protected = shared.staged(
+        occurs.join(groups, "entity").select("group", "n_entity", "most", "text_key").distinct(),
+        "protected",
+    )
+    limit = protected.agg(F.max("most")).first()[0]
+    if limit is None:
+        return protected.selectExpr(
+            "text_key", "cast(null as array<struct<term:long,kind:string>>) as terms"
+        ).limit(0)
+    held = seen.where(F.col("what") == HELD).select(
+        F.col("key").alias("term"), F.col("value").alias("text_key")
+    )
+    pairs = (
+        held.join(frequency.where(F.col("n_term") <= limit), "term")
+        .join(protected, "text_key")
+        .where("n_term <= most")
+        .groupBy("group", "n_entity", "term", "n_term")
+        .agg(F.count("*").alias("n_both"))
+    )
+    content = -F.log(share)
+    # How often the term comes with the entity, shrunk by `prior` texts as chance has them.
+    often = (F.col("n_both") + prior * share) / (F.col("n_term") + prior)
+    rate = F.col("n_both") / F.col("n_term")
+    apart = F.when(rate < 1, (1 - rate) * F.log((1 - rate) / (1 - share))).otherwise(0.0)
+    # Bounds the logarithm of the chance that unrelated ones meet so often (Chernoff).
+    unlikely = -F.col("n_term") * (rate * F.log(rate / share) + apart)
+    told = shared.staged(
+        pairs.where((rate > share) & (unlikely <= float(np.log(chance)) + 1e-9))
         .groupBy("term")
-        .agg(F.max(shared_ / content).alias("told"))
+        .agg(F.max(1 + F.log(often) / content).alias("told"))
         .where(F.col("told") >= general)
-        .select("term", F.when(F.col("told") >= removed, ADDED[0]).otherwise(ADDED[1]).alias("kind"))
+        .select("term", F.when(F.col("told") >= removed, ADDED[0]).otherwise(ADDED[1]).alias("kind")),
+        "told",
     )
+    # What the filter lets through by mistake does not meet a term in the join below.
+    wanted = _filter(told.select("term"))
+
+    def holding(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            for at in range(0, batch.num_rows, SOME_ROWS):
+                few = batch.slice(at, SOME_ROWS)
+                keys = few.column(0).to_numpy()
+                for of, word, doc in _coded(few.column(1).to_pylist()):
+                    some = _passes(word, wanted.value)
+                    both = np.stack([word[some], keys[of.start : of.stop][doc[some]]], axis=1)
+                    both = np.unique(both, axis=0)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(both[:, 0]), pa.array(both[:, 1])], ["term", "text_key"]
+                    )
+
     return shared.staged(
-        holds.where("text_key is not null").join(told, "term")
+        texts.mapInArrow(holding, "term long, text_key long")
+        .distinct()
+        .join(told, "term")
         .groupBy("text_key")
         .agg(F.collect_list(F.struct("term", "kind")).alias("terms")),
         "disclosing",
@@ -267,18 +354,20 @@ def cleaned(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def sanitise(
-    docs: DataFrame, around: int = 8, support: int = 3, general: float = 0.9,
-    removed: float = 0.98, text: str = "text",
+    docs: DataFrame, general: float = 0.9, removed: float = 0.98, prior: float = 0.25,
+    chance: float = 0.01, text: str = "text",
 ) -> DataFrame:
     """All columns of `docs` with the text sanitised, and the column pii_spans.
 
     Direct identifiers (email, ip, card, phone) are found by pattern in each whole text. A
-    word that stands within `around` words of one identifier's value in at least `support`
-    distinct texts, and whose mutual information with it reaches the share `general` of the
-    identifier's information content, is generalised wherever it occurs, and removed from
-    the share `removed` on. Copies of a text count once. Spans are code points of the
-    original text, end exclusive, by start and then kind; identifiers become their kind in
-    brackets, generalised words [GENERAL], removed words nothing.
+    word anywhere in a text with an identifier is generalised wherever it occurs if its mutual
+    information with the identifier's value, coarser part or kind reaches the share `general`
+    of that entity's information content, and removed from the share `removed` on. The share
+    counts `prior` more texts in which the two meet as chance has it, and what chance alone
+    brings about with probability above `chance` is left out. One text is enough if texts
+    with the entity are rarer than `chance`. Copies of a text count once. Spans are code
+    points of the original text, end exclusive, by start and then kind; identifiers become
+    their kind in brackets, generalised words [GENERAL], removed words nothing.
 
     A null text stays null and has no spans; an empty one stays empty. Repeated rows get the
     same answer; an empty table gives no rows; a column named pii_spans is replaced.
@@ -288,19 +377,23 @@ def sanitise(
     texts = keyed.where(F.col(text).isNotNull()).select(
         F.col("__text_key").alias("text_key"), F.col(text).alias("text")
     )
-    told = disclosing_terms(texts, around, support, general, removed)
-    # Spark broadcasts the few texts with such words if their table is small, else both
-    # sides meet by text, and a text with very many copies is split.
-    rows = keyed.join(
+    told = disclosing_terms(texts, general, removed, prior, chance)
+    # Only texts that may hold such a word are shuffled; one with very many copies is split.
+    held = _filter(told.select("text_key"))
+    place = keyed.columns.index("__text_key")
+    without, within = _that(place, held, False), _that(place, held, True)
+    some = keyed.mapInArrow(within, keyed.schema).join(
         told.select(F.col("text_key").alias("__text_key"), F.col("terms").alias("__terms")),
         "__text_key", "left",
     ).select(*kept, "__terms")
 
     def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = kept.index(text)
+        at = kept.index(text)
         for batch in batches_:
             texts_, found = [], []
-            for value, terms in zip(batch.column(place), batch.column(len(kept))):
+            last = batch.column(len(kept))
+            disclosing = last if pa.types.is_list(last.type) else [pa.scalar(None)] * len(last)
+            for value, terms in zip(batch.column(at), disclosing):
                 value, terms = value.as_py(), terms.as_py()
                 named = {t["term"]: t["kind"] for t in terms or ()}
                 spans = all_spans(value, named) if value else []
@@ -312,10 +405,12 @@ def sanitise(
                     ]
                 )
             columns = list(batch.columns[: len(kept)])
-            columns[place] = pa.array(texts_, pa.string())
+            columns[at] = pa.array(texts_, pa.string())
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(found, _SPAN)], [*kept, "pii_spans"]
             )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
-    return rows.mapInArrow(run, f"{schema}, pii_spans {SPANS}")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in some.schema[:-1])
+    schema = f"{schema}, pii_spans {SPANS}"
+    plain = keyed.mapInArrow(lambda rows: run(without(rows)), schema)
+    return plain.unionByName(some.mapInArrow(run, schema))
