@@ -31,11 +31,38 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near duplicates the document with the smallest id."""
-    linked = jaccard.link_documents(docs)
+    """Keeps one row of each group of near duplicates: the smallest id, then the first row.
+
+    Rows are linked and dropped by a number of their own where ids are null or repeated. Known
+    ids go before null ones, repeated rows are copies, and different texts of one id are
+    different documents. Rows without words stay.
+    """
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    if ids.where("n > 1 or doc_id is null").isEmpty():
+        linked = jaccard.link_documents(docs)
+        dropped = linked.where("doc_id <> component_id").select("doc_id")
+        return _without(docs, dropped, "doc_id").select(*docs.columns)
+    # Written once, so that a row has the same number in every pass.
+    numbered = shared.staged(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    linked = shared.staged(
+        jaccard.link_documents(numbered, key="__row").select(
+            F.col("doc_id").alias("__row"), "component_id"
+        ),
+        "linked",
+    )
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "__row")
+    first = (
+        linked.join(numbered.select("__row", "doc_id"), "__row")
+        .groupBy("component_id").agg(F.min(order).alias("first"))
+        .select(F.col("first.__row").alias("__row"))
+    )
+    dropped = linked.select("__row").join(first, "__row", "left_anti")
+    return _without(numbered, dropped, "__row").select(*docs.columns)
+
+
+def _without(docs: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
     # Few against all documents, so Spark can send this side where the documents are.
-    dropped = shared.staged(linked.where("doc_id <> component_id").select("doc_id"), "dropped")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(shared.staged(dropped, "dropped"), key, "left_anti")
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -99,3 +99,22 @@ def test_stages_take_edge_rows(spark, small):
         assert out.columns == docs.columns, name
         assert stage(spark, docs.limit(0), small).count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, small).count() > len(edges.ROWS)
+
+
+def test_null_and_repeated_ids_lose_no_document(spark, small):
+    one, two, three, four = (" ".join(f"{w}{k}" for k in range(30)) for w in "abcd")
+    rows = [
+        (None, one), (None, one), (None, one + " more"),
+        (5, two), (5, two), (5, two + " more"), (None, two),
+        (1, three), (9, three), (9, four), (2, None), (2, None), (3, ""), (None, None),
+    ]
+    got = corpus_pipeline.keep_distinct(spark, edges.documents(spark, rows), small).collect()
+    left = [(r.doc_id, r.text) for r in got]
+    near = [r for r in left if r[0] is None and r[1]]
+    assert len(near) == 1 and near[0][1].startswith(one)
+    known = [r for r in left if r[0] == 5]
+    assert len(known) == 1 and known[0][1].startswith(two)
+    rest = [r for r in left if r not in near + known]
+    assert sorted(rest, key=repr) == sorted(
+        [(1, three), (9, four), (2, None), (2, None), (3, ""), (None, None)], key=repr
+    )
