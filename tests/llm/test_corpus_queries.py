@@ -17,7 +17,7 @@ from tiered.llm import packing, tokens
 from tiered.llm.oracles import ORACLES
 from tiered.llm.queries import QUERIES
 
-TABLES = ("documents", "embeddings", "pages", "benchmark", "labels")
+TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 @pytest.fixture(scope="module")

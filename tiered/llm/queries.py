@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiered.llm import archives, decontaminate, embeddings, jaccard, language, packing, personal, quality, sharding, shared, token_files, tokens
+from tiered.llm import (
+    archives, decontaminate, embeddings, jaccard, language, merkle, packing, personal,
+    prefix_trie, quality, sharding, shared, token_files, tokens, toxicity,
+)
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +94,34 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(rows, model).drop("text")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = shared.table(spark, sf_dir, "conversations")
+    kept = shared.fold(F.col("conv_id"), 4)
+    return prefix_trie.trie(prefix_trie.rebuilt(turns, 20, kept, 3))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = shared.table(spark, sf_dir, "documents")
+    # A null id has no decimal form, so its row is left alone.
+    hit = F.col("doc_id").isNotNull() & (shared.fold(F.col("doc_id"), 7) == 0)
+    more = F.when(hit, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    proofs = merkle.manifest(docs, {"n_chars": more})
+    return proofs.select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root",
+        F.sha2(F.array_join("siblings", "").cast("binary"), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = shared.table(spark, sf_dir, "documents")
+    held_out = shared.fold(F.col("doc_id"), 5) == 0
+    labels = shared.table(spark, sf_dir, "labels").where(~held_out)
+    model = toxicity.fit(docs, labels)
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return toxicity.score(rows, model).drop("text", "language")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_embedding_links": op2_embedding_links,
@@ -102,4 +133,7 @@ QUERIES = {
     "op8_archives": op8_archives,
     "op9_byte_shards": op9_byte_shards,
     "op10_quality": op10_quality,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_toxicity": op13_toxicity,
 }

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 CHUNK_ROWS = "chunk int, cells binary"
@@ -83,3 +83,37 @@ def merged(parts: DataFrame, kind: str, combine: np.ufunc) -> dict[int, np.ndarr
 
     done = spread(parts, "chunk").mapInArrow(fold, CHUNK_ROWS).collect()
     return {r["chunk"]: np.frombuffer(r["cells"], kind) for r in done}
+
+
+def placed(rows: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """`rows` with place (from 0, in the order of `order` within its group) and n (group size).
+
+    Rows are dealt by range of group and order to tasks, so one group may span many of them;
+    a row's place is its number in its part plus the sizes of the group's parts before it.
+    Groups must not be null; nulls of `order` come first. Equal rows are interchangeable: a
+    running number deals them to several tasks. The dealt rows are one table in the shared
+    folder. `part`, `place`, `n` and `tie` must not be names of `rows`.
+    """
+    count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*group, *order, "tie"]
+    dealt = staged(
+        rows.withColumn("tie", F.monotonically_increasing_id())
+        .repartitionByRange(count, *keys)
+        .withColumn("part", F.spark_partition_id()),
+        name,
+    )
+    whole = Window.partitionBy(*group)
+    before = F.sum("size").over(whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    # One row for each part that a group meets.
+    sizes = (
+        dealt.groupBy(*group, "part").agg(F.count("*").alias("size"))
+        .withColumn("before", F.coalesce(before, F.lit(0)))
+        .withColumn("n", F.sum("size").over(whole))
+        .drop("size")
+    )
+    here = Window.partitionBy(*group, "part").orderBy(*order, "tie")
+    return (
+        dealt.join(sizes, [*group, "part"])
+        .withColumn("place", F.row_number().over(here) - 1 + F.col("before"))
+        .drop("before", "tie")
+    )
