@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import csv
+import os
 import random
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +12,7 @@ from pyspark.sql import functions as F
 from tiered import specs
 from tiered.operators import cleaning, sampling
 from tiered.plans import jobs
-from tiered.sources import files, tables
+from tiered.sources import files, slices, tables
 
 DAY1, DAY2, DAY3 = specs.SNAPSHOT_DATES
 
@@ -101,7 +104,7 @@ def test_rerun_leaves_the_same_tables(spark, lake):
     def state():
         out = []
         for n in ("accidents_clean", "quality_waterfall", "null_profile"):
-            df = spark.read.parquet(f"{lake['silver']}/{n}")
+            df = tables.read_slices(spark, f"{lake['silver']}/{n}")
             out.append(sorted(map(str, df.collect())))
         for spec in specs.MART_ROUTES.values():
             df = tables.read_table(spark, lake["marts"], spec).drop("created_at")
@@ -193,13 +196,98 @@ def test_an_empty_slice_clears_its_date_alone(spark, tmp_path):
         rows = spark.range(3).withColumn("day", F.lit(date).cast("date"))
         tables.replace_slice(rows, path, {"day": date})
     tables.replace_slice(rows.limit(0), path, {"day": "2025-01-02"})
-    left = [(r.id, str(r.day)) for r in spark.read.parquet(path).collect()]
+    left = [(r.id, str(r.day)) for r in tables.read_slices(spark, path).collect()]
     assert sorted(left) == [(k, "2025-01-01") for k in range(3)]
     assert files.slice_rows(spark, path, "2025-01-02", "day") == 0
     with pytest.raises(Exception, match="row outside"):
         tables.replace_slice(rows, path, {"day": "2025-01-03"})
 
 
+def test_a_failed_rerun_keeps_the_old_slice(spark, tmp_path):
+    path = str(tmp_path / "t")
+    day = F.lit("2025-01-01").cast("date")
+    tables.replace_slice(spark.range(5).withColumn("day", day), path, {"day": "2025-01-01"})
+    # Fails in a task, after other tasks have written files.
+    bad = spark.range(0, 4000, 1, 8).withColumn("day", day).withColumn(
+        "id", F.when(F.col("id") == 3999, F.raise_error(F.lit("boom")).cast("long")).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="boom"):
+        tables.replace_slice(bad, path, {"day": "2025-01-01"})
+    assert files.slice_rows(spark, path, "2025-01-01", "day") == 5
+    other = spark.range(9).withColumn("day", F.lit("2025-01-02").cast("date"))
+    with pytest.raises(Exception, match="row outside"):
+        tables.replace_slice(other, path, {"day": "2025-01-01"})
+    assert sorted(r.id for r in tables.read_slices(spark, path).collect()) == list(range(5))
+    assert len([d for d in os.listdir(path) if d.startswith("commit=")]) == 1
+
+
+def test_a_reader_sees_old_rows_or_new_ones(spark, tmp_path):
+    """Readers run while a slice is replaced over and over, each time by rows of one kind."""
+    path = str(tmp_path / "t")
+
+    def write(kind):
+        rows = spark.range(200, numPartitions=4).select(F.lit(kind).alias("kind"), F.lit("a").alias("part"))
+        tables.replace_slices(rows, path, "part")
+
+    write(0)
+    seen, done = [], threading.Event()
+
+    def look():
+        while not done.is_set():
+            seen.append([(r.kind, r["count"]) for r in
+                         tables.read_slices(spark, path).groupBy("kind").count().collect()])
+
+    reader = threading.Thread(target=look)
+    reader.start()
+    for kind in range(1, 5):
+        write(kind)
+    done.set()
+    reader.join()
+    assert seen and all(len(s) == 1 and s[0][1] == 200 for s in seen)
+    assert [s[0][0] for s in seen] == sorted(s[0][0] for s in seen)
+
+
+def test_writers_of_different_slices_keep_each_others_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: tables.replace_slice(
+            spark.range(k + 1).withColumn("part", F.lit(f"p:{k}/x")), path, {"part": f"p:{k}/x"}), range(6)))
+    got = {(r.part, r["count"]) for r in tables.read_slices(spark, path).groupBy("part").count().collect()}
+    assert got == {(f"p:{k}/x", k + 1) for k in range(6)}
+
+
+def test_replaced_files_go_later(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in (3, 5):
+        rows = spark.range(n).select("id", (F.col("id") % 2).cast("string").alias("part"))
+        tables.replace_slices(rows, path, "part")
+    tables.replace_slice(spark.range(2).select("id", F.lit("1").alias("part")), path, {"part": "1"})
+    old = tables.read_slices(spark, path)
+    assert slices.clean(spark, path) == 0
+    want = {(0, "0"), (2, "0"), (4, "0"), (0, "1"), (1, "1")}
+    assert {tuple(r) for r in old.collect()} == want
+    (tmp_path / "t" / "commit=000000009-lost").mkdir()
+    assert slices.clean(spark, path, older_than_hours=-1) == 3
+    assert {tuple(r) for r in tables.read_slices(spark, path).collect()} == want
+    tables.replace_slice(spark.range(0).select("id", F.lit("0").alias("part")), path, {"part": "0"})
+    slices.clean(spark, path, older_than_hours=-1)
+    assert {tuple(r) for r in tables.read_slices(spark, path).collect()} == {(0, "1"), (1, "1")}
+
+
+def test_slices_of_null_and_odd_values(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame(
+        [(1, None, "a b"), (2, "x=y", "007"), (3, "ü/%", "a b")], "id long, p string, q string")
+    tables.replace_slices(rows, path, "p", "q")
+    assert {tuple(r) for r in tables.read_slices(spark, path).collect()} == {
+        tuple(r) for r in rows.collect()}
+    tables.replace_slices(rows.limit(0), path, "p", "q", only=[{"q": "007", "p": "x=y"}])
+    assert {r.id for r in tables.read_slices(spark, path).collect()} == {1, 3}
+    with pytest.raises(ValueError):
+        tables.replace_slices(rows, path, "p", "q", only=[{"p": "x=y"}])
+    with pytest.raises(FileNotFoundError):
+        tables.read_slices(spark, str(tmp_path / "none"))
+
+
 def test_predictions_of_two_models_stay_in_a_batch(spark, tmp_path):
     def scored(model, n):
         return spark.range(n).select(
@@ -215,6 +303,33 @@ def test_predictions_of_two_models_stay_in_a_batch(spark, tmp_path):
     assert {(r.model_id, r["count"]) for r in stored.groupBy("model_id").count().collect()} == {
         ("A:1", 3), ("B:1", 2)
     }
+    # An empty run of a pair clears that pair and no other.
+    pair = {"model_id": "A:1", "prediction_batch": "b1"}
+    tables.write_model_output(scored("A:1", 0), "predictions", str(tmp_path), [pair])
+    stored = tables.read_table(spark, str(tmp_path), specs.PREDICTIONS)
+    assert {(r.model_id, r["count"]) for r in stored.groupBy("model_id").count().collect()} == {("B:1", 2)}
+
+
+def test_models_that_register_at_once_are_both_kept(spark, tmp_path):
+    def row(k):
+        given = {f.name: F.lit(None) for f in specs.MODELS.schema}
+        given |= {f.name: F.lit("0") for f in specs.MODELS.schema if not f.nullable}
+        given["training_date"] = F.current_timestamp()
+        given["model_id"] = F.lit(f"m:{k}")
+        return spark.range(1).select(*[c.alias(n) for n, c in given.items()])
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: tables.write_model_output(row(k), "models", str(tmp_path)), range(4)))
+    assert {r.model_id for r in jobs.registry(spark, str(tmp_path)).collect()} == {
+        f"m:{k}" for k in range(4)}
+
+
+def test_versions_written_at_once_have_numbers_of_their_own(spark, tmp_path):
+    v = str(tmp_path / "v")
+    with ThreadPoolExecutor(4) as pool:
+        numbers = list(pool.map(lambda n: tables.write_version(spark.range(n), v), range(1, 7)))
+    assert sorted(numbers) == list(range(1, 7))
+    assert tables.read_latest(spark, v, spark.range(1).schema).count() == numbers.index(6) + 1
 
 
 def test_inventory_of_absent_layers(spark, tmp_path):

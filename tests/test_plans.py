@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tiered import specs
 from tiered.operators import cleaning, features, listing, marts, sampling, subjects
-from tiered.sources import files
+from tiered.sources import files, tables
 from workload import views
 from workload.oracles import ORACLES
 from workload.queries import QUERIES
@@ -93,7 +93,7 @@ def test_date_prunes_and_required_columns_push_down(spark, dated):
 
 
 def test_subject_tables_from_staged_do_not_shuffle(spark, dated):
-    staged = spark.read.parquet(dated).withColumn("rejected_by", F.lit(None).cast("string"))
+    staged = tables.read_slices(spark, dated).withColumn("rejected_by", F.lit(None).cast("string"))
     clean = cleaning.standardize_staged(staged)
     for build in subjects.SUBJECTS.values():
         assert "Exchange" not in plan(build(clean))
@@ -105,7 +105,7 @@ def test_null_profile_is_one_scan(spark, dated):
 
 
 def test_patterns_run_once_per_row(spark, dated):
-    staged = spark.read.parquet(dated).withColumn("rejected_by", F.lit(None).cast("string"))
+    staged = tables.read_slices(spark, dated).withColumn("rejected_by", F.lit(None).cast("string"))
     text = plan(subjects.weather_table(cleaning.standardize_staged(staged)))
     assert text.count("overcast") == 1
 

@@ -176,7 +176,7 @@ def save_metrics(
         "r2 double, cv_mae_mean double, cv_mae_std double, iterations int, objective double"
     )
     table = spark.createDataFrame(rows, fields).repartition(1)
-    tables.replace_slices(table, f"{base}/{METRICS}", "model_id")
+    tables.replace_slices(table, f"{base}/{METRICS}", "model_id", only=[{"model_id": ident}])
 
 
 def register(
@@ -210,21 +210,12 @@ def register(
     new = spark.createDataFrame(row, fields).withColumn(
         "training_date", F.current_timestamp()
     )
-    new = tables.conform(new, specs.MODELS)
-    table = f"{base}/{specs.MODELS.name}"
-    old = tables.read_latest(spark, table, specs.MODELS.schema)
-    if old is not None:
-        change = new.withColumns({"seq": F.lit(1), "op": F.lit("create")})
-        new = listing.apply_changes(old, change, "model_id")
-    tables.write_version(new.repartition(1), table)
+    tables.write_model_output(new.repartition(1), "models", base, [{"model_id": ident}])
     return ident
 
 
 def registry(spark: SparkSession, base: str) -> DataFrame:
-    table = tables.read_latest(spark, f"{base}/{specs.MODELS.name}", specs.MODELS.schema)
-    if table is None:
-        raise FileNotFoundError(f"no models under {base}")
-    return table
+    return tables.read_table(spark, base, specs.MODELS)
 
 
 def _metrics(trained: models.Trained, scored: DataFrame) -> dict:
@@ -243,7 +234,7 @@ def _save_features(
         .join(prepared.features.stats, "feature_name", "left")
         .withColumn("model_id", F.lit(ident))
     )
-    tables.write_model_output(rows.repartition(1), "features", base)
+    tables.write_model_output(rows.repartition(1), "features", base, [{"model_id": ident}])
 
 
 def fit_and_register(
@@ -319,7 +310,8 @@ def _run_severity_models(
     scored = models.prediction_rows(
         fitted[best], test, best, batch, F.current_timestamp()
     )
-    tables.write_model_output(scored, "predictions", base)
+    pair = {"prediction_batch": batch, "model_id": best}
+    tables.write_model_output(scored, "predictions", base, [pair])
     return {i: mae[i] for i in ranked}
 
 
@@ -375,7 +367,8 @@ def predict(
         files.write_parquet(scored, output)
         scored = files.read_parquet(spark, output)
     if batch:
-        tables.write_model_output(scored, "predictions", base)
+        pair = {"prediction_batch": batch, "model_id": ident}
+        tables.write_model_output(scored, "predictions", base, [pair])
     return scored
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiered import specs
+from tiered.sources import slices
 from tiered.sources.tables import exists, replace_slice, replace_slices
 
 DATE = "ingestion_date"
@@ -49,9 +50,14 @@ def read_folder(
 ) -> DataFrame:
     """Every Parquet file below a folder; hidden files are passed over.
 
+    A table that is written by slices is read through its pointers, so that
+    replaced rows do not come back.
+
     With ``skip_unreadable`` give the schema as well: it is otherwise taken
     from one file, which may be a broken one.
     """
+    if slices.is_table(spark, path):
+        return slices.read(spark, path)
     reader = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
@@ -88,10 +94,9 @@ def write_dated(
 def read_dated(spark: SparkSession, path: str, date: str, column: str = DATE) -> DataFrame:
     """One date of a dated table; a missing date is an error.
 
-    The filter is on the partition column, so only that folder is listed and
-    read.
+    The filter is on the partition column, so only that slice is read.
     """
-    df = spark.read.parquet(path).withColumn(column, F.col(column).cast("date"))
+    df = slices.read(spark, path).withColumn(column, F.col(column).cast("date"))
     part = df.filter(F.col(column) == F.lit(date).cast("date"))
     if part.isEmpty():
         raise FileNotFoundError(f"{path} has no rows for {date}")
@@ -100,17 +105,13 @@ def read_dated(spark: SparkSession, path: str, date: str, column: str = DATE) ->
 
 def read_slice(spark: SparkSession, path: str, date: str, column: str = DATE) -> DataFrame:
     """One date of a dated table that a job has just written, which may be empty."""
-    rows = spark.read.parquet(f"{path}/{column}={date}")
-    return rows.withColumn(column, F.lit(date).cast("date"))
+    rows = slices.read(spark, path, only={column: date})
+    return rows.withColumn(column, F.col(column).cast("date"))
 
 
 def slice_rows(spark: SparkSession, path: str, date: str, column: str = DATE) -> int:
     """Rows stored for a date; answered from the file footers."""
-    return (
-        spark.read.parquet(path)
-        .filter(F.col(column) == F.lit(date).cast("date"))
-        .count()
-    )
+    return slices.read(spark, path, only={column: date}).count()
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -132,13 +133,17 @@ def layer_report(
     )
     found = spark.createDataFrame([], "layer string, date string, length bigint")
     for name, path in layers.items():
-        if not exists(spark, path):
+        if slices.is_table(spark, path):
+            held = slices.folders(spark, path)
+        else:
+            held = [path] if exists(spark, path) else []
+        if not held:
             continue
         files = (
             spark.read.format("binaryFile")
             .option("pathGlobFilter", "*.parquet")
             .option("recursiveFileLookup", True)
-            .load(path)
+            .load(held)
             .select(
                 F.lit(name).alias("layer"),
                 F.regexp_extract("path", f"{DATE}=([0-9-]+)", 1).alias("date"),

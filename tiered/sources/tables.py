@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiered import specs
 from tiered.operators.cleaning import cast_strict
+from tiered.sources import slices
 
 
 def conform(df: DataFrame, spec: specs.TableSpec, **constants) -> DataFrame:
@@ -33,17 +35,16 @@ def conform(df: DataFrame, spec: specs.TableSpec, **constants) -> DataFrame:
     return cast_strict(df, spec.schema)
 
 
-def replace_slices(df: DataFrame, path: str, *partition_by: str) -> None:
-    """Replace the partitions present in the frame, leave the others alone.
+def replace_slices(
+    df: DataFrame, path: str, *partition_by: str,
+    only: Sequence[Mapping[str, object]] | None = None,
+) -> None:
+    """Replace the slices present in the frame, or exactly those named, in one commit.
 
-    One job; the old slice stays readable until the new one is committed.
+    The old slices stay readable until the new ones are committed, and stay for
+    good where the write fails. See ``slices``.
     """
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    slices.replace(df, path, partition_by, only)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -51,33 +52,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
-def replace_slice(df: DataFrame, path: str, values: Mapping[str, str]) -> None:
-    """Replace one partition, named by its column values, with the frame's rows.
+def replace_slice(df: DataFrame, path: str, values: Mapping[str, object]) -> None:
+    """Replace one slice, named by its column values, with the frame's rows.
 
-    An empty frame leaves an empty partition: a date whose rows are all
-    rejected does not keep those of an earlier run. Rows of another partition
-    are an error.
+    An empty frame leaves an empty slice: a date whose rows are all rejected
+    does not keep those of an earlier run. Rows of another slice are an error,
+    and leave the old rows as they are.
     """
-    here = F.lit(True)
-    for name, value in values.items():
-        here = here & F.col(name).eqNullSafe(F.lit(value).cast(df.schema[name].dataType))
-    checked = df.withColumn(
-        next(iter(values)),
-        F.when(here, F.col(next(iter(values)))).otherwise(
-            F.raise_error(F.lit(f"row outside {dict(values)}")).cast(
-                df.schema[next(iter(values))].dataType
-            )
-        ),
-    )
-    folder = "/".join([path, *[f"{k}={_escaped(df.sparkSession, v)}" for k, v in values.items()]])
-    # The check must run, so the checked column is dropped by way of a filter.
-    kept = checked.filter(F.col(next(iter(values))).isNotNull()).drop(*values)
-    kept.write.mode("overwrite").parquet(folder)
-
-
-def _escaped(spark: SparkSession, value: str) -> str:
-    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    return utils.escapePathName(value)
+    slices.replace(df, path, list(values), [values])
+
+
+def read_slices(spark: SparkSession, path: str) -> DataFrame:
+    """All live rows of a table that is written by slices."""
+    return slices.read(spark, path)
 
 
 def write_mart(df: DataFrame, name: str, base: str, analysis_date: str) -> str:
@@ -91,18 +78,19 @@ def write_mart(df: DataFrame, name: str, base: str, analysis_date: str) -> str:
     return path
 
 
-def write_model_output(df: DataFrame, name: str, base: str) -> str:
-    """Route features and predictions by short name and replace their slices.
+def write_model_output(
+    df: DataFrame, name: str, base: str, only: Sequence[Mapping[str, object]] | None = None
+) -> str:
+    """Route models, features and predictions by short name and replace their slices.
 
     Predictions are a slice for each batch and model: models of one batch stay
-    side by side, and the same pair written again replaces itself.
+    side by side, and the same pair written again replaces itself. With ``only``
+    the write is exactly those slices, so a pair without rows is cleared. Each
+    registered model is a slice, so two that register at once are both kept.
     """
     spec = _route(specs.MODEL_ROUTES, name)
     path = f"{base}/{spec.name}"
-    if spec.partition_by:
-        replace_slices(conform(df, spec), path, *spec.partition_by.split(","))
-    else:
-        write_version(conform(df, spec), path)
+    replace_slices(conform(df, spec), path, *spec.partition_by.split(","), only=only)
     return path
 
 
@@ -113,7 +101,7 @@ def _route(routes: dict[str, specs.TableSpec], name: str) -> specs.TableSpec:
 
 
 def read_table(spark: SparkSession, base: str, spec: specs.TableSpec) -> DataFrame:
-    return spark.read.schema(spec.schema).parquet(f"{base}/{spec.name}")
+    return slices.read(spark, f"{base}/{spec.name}", spec.schema)
 
 
 # ---------------------------------------------------------------------------
@@ -137,13 +125,39 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
 
 
 def write_version(df: DataFrame, path: str) -> int:
-    """Write the frame as the next version; readers see it once it is complete."""
+    """Write the frame as the next version; readers see it once it is complete.
+
+    Its number is claimed first, so two writers never share a folder.
+    """
     versions = _versions(df.sparkSession, path)
     n = versions[-1] + 1 if versions else 1
+    while not _claim(df.sparkSession, f"{path}/_claims/{n}"):
+        n += 1
     df.write.mode("overwrite").parquet(f"{path}/version={n}")
     return n
 
 
+def _claim(spark: SparkSession, path: str) -> bool:
+    """Creates an empty file; False where there is one already."""
+    jvm = spark._jvm
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    fs = file.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(file.getParent())
+    try:
+        if fs.getUri().getScheme() == "file":
+            # Hadoop's local file system looks first and creates then, in two steps.
+            local = jvm.java.nio.file.Paths.get(fs.makeQualified(file).toUri())
+            jvm.java.nio.file.Files.createFile(local, spark.sparkContext._gateway.new_array(
+                jvm.java.nio.file.attribute.FileAttribute, 0))
+        else:
+            fs.create(file, False).close()
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" in str(error.java_exception.toString()):
+            return False
+        raise
+    return True
+
+
 def read_latest(
     spark: SparkSession, path: str, schema: T.StructType
 ) -> DataFrame | None:

@@ -279,7 +279,7 @@ MODELS = TableSpec(
         ("hyperparameters", T.MapType(_S, _S), True),
         ("is_active", _B, True),
     ),
-    "",
+    "model_id",
     ("model_name", "model_version"),
 )
 FEATURES = TableSpec(
