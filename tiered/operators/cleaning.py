@@ -111,18 +111,18 @@ def filter_domain(
     return df.filter(F.col(column).between(*bounds))
 
 
+def local_timestamp(df: DataFrame, column: str) -> Column:
+    """A column as local timestamp; only text is matched against the pattern."""
+    c = F.col(column)
+    text = isinstance(df.schema[column].dataType, T.StringType)
+    return to_local_timestamp(c) if text else c.cast("timestamp_ntz")
+
+
 def parse_timestamps(
     df: DataFrame, columns: Sequence[str] = ("Start_Time", "End_Time")
 ) -> DataFrame:
     """Text to local timestamps in place; unparseable text becomes null."""
-    types = dict(df.dtypes)
-    return df.withColumns(
-        {
-            c: to_local_timestamp(F.col(c)) if types[c] == "string"
-            else F.col(c).cast("timestamp_ntz")
-            for c in columns
-        }
-    )
+    return df.withColumns({c: local_timestamp(df, c) for c in columns})
 
 
 def duration_hours(start: str = "Start_Time", end: str = "End_Time") -> Column:
@@ -162,10 +162,10 @@ def range_or_default(
 WATERFALL = ("incomplete", "duplicate", "geo", "severity", "duration")
 
 
-def first_broken_rule() -> Column:
-    """The first rule a de-duplicated row breaks, null for a good row."""
+def first_broken_rule(df: DataFrame) -> Column:
+    """The first rule a de-duplicated row of the frame breaks, null for a good row."""
     hours = seconds_between(
-        to_local_timestamp(F.col("Start_Time")), to_local_timestamp(F.col("End_Time"))
+        local_timestamp(df, "Start_Time"), local_timestamp(df, "End_Time")
     ) / F.lit(3600)
     good_hours = F.coalesce(hours.between(0, specs.MAX_DURATION_HOURS), F.lit(False))
     return (
@@ -205,7 +205,7 @@ def quality_waterfall(raw: DataFrame, order: Sequence[str]) -> DataFrame:
     """
     df = fill_defaults(raw)
     complete = _complete(df)
-    label = F.coalesce(first_broken_rule(), F.lit("kept"))
+    label = F.coalesce(first_broken_rule(df), F.lit("kept"))
     per_key = (
         df.select(
             F.when(complete, F.col(specs.KEY)).alias("k"),
@@ -239,7 +239,7 @@ def stage(raw: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
     de-duplicating shuffle then runs a single time.
     """
     rows = dedup_by_key(fill_defaults(drop_incomplete(raw)), order=order)
-    return rows.withColumn("rejected_by", first_broken_rule())
+    return rows.withColumn("rejected_by", first_broken_rule(rows))
 
 
 def standardize_staged(staged: DataFrame) -> DataFrame:

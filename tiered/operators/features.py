@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tiered import specs
 from tiered.functions.exprs import is_missing, ratio_half_up
 from tiered.operators.lineage import cut_lineage
-from tiered.operators.quantiles import exact_quantiles
+from tiered.operators.quantiles import column_summary
 
 CLUSTERS = 20
 TOP_CITIES = 50
@@ -194,8 +194,7 @@ def with_city_features(df: DataFrame, cities: DataFrame) -> DataFrame:
 
 def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Exact median per column; one value per column comes back."""
-    rows = exact_quantiles(df, columns, [0.5]).collect()
-    return {r.column_name: r.value for r in rows}
+    return {c: stats[0.5] for c, stats in column_summary(df, columns, [0.5]).items()}
 
 
 def median_impute(df: DataFrame, columns: Sequence[str]) -> DataFrame:

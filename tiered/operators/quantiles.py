@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,19 +17,6 @@ RANKS = 4
 STEPS = 14
 
 
-def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One (column_name, value) row per present numeric value."""
-    cells = [
-        F.struct(
-            F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("value")
-        )
-        for c in columns
-    ]
-    return df.select(F.inline(F.array(*cells))).filter(
-        F.col("value").isNotNull() & ~F.isnan("value")
-    )
-
-
 def bracket_aggs(probs: Sequence[float]) -> list[Column]:
     """Aggregates that bracket each quantile: a sketch answer on either side.
 
@@ -127,10 +115,136 @@ def refine(values: DataFrame, brackets: DataFrame, probs: Sequence[float]) -> Da
     )
 
 
+#: A bracket with no more values than this is sorted; larger ones are narrowed first.
+LIMIT = 4096
+# Margins around a quantile that a sketch is asked at; the first fitting one counts.
+_MARGINS = (MARGIN, RANKS / LIMIT)
+
+
+def _present(column: str) -> Column:
+    """A column as double, null where it is NaN."""
+    x = F.col(f"`{column}`").cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def _asked(p: float, margin: float) -> list[float]:
+    return [max(p - margin, 0.0), min(p + margin, 1.0)]
+
+
+def _row(df: DataFrame, aggregates: dict[object, Column]) -> dict:
+    """One row-wise aggregate of many columns, by key."""
+    if not aggregates:
+        return {}
+    row = df.agg(*[c.alias(f"a{k}") for k, c in enumerate(aggregates.values())]).first()
+    return dict(zip(aggregates, row))
+
+
+def column_summary(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float]
+) -> dict[str, dict]:
+    """n, mean, std, min, max and the exact quantiles (by p) of columns that have values.
+
+    Passes over the rows are aggregates of all columns side by side; no cell becomes a row
+    and nothing is shuffled but partial results. The first one sketches, which brackets each
+    rank. The next counts what is below, on and between the ends of each bracket. A bracket
+    with more than LIMIT values between its ends is narrowed by a sketch of these alone, as
+    often as it takes; then at most LIMIT values a bracket are sorted. Quantiles are linear
+    between neighbours; null and NaN are left out.
+    """
+    asks = [q for p in probs for m in _MARGINS for q in _asked(p, m)]
+    first = {}
+    for c in columns:
+        x = _present(c)
+        first |= {
+            (c, "n"): F.count(x), (c, "mean"): F.avg(x), (c, "std"): F.stddev(x),
+            (c, "min"): F.min(x), (c, "max"): F.max(x),
+            (c, "cuts"): F.percentile_approx(x, asks, ACCURACY),
+        }
+    seen = _row(df, first)
+    out, open_ = {}, {}
+    for c in columns:
+        if not seen[c, "n"]:
+            continue
+        out[c] = {k: seen[c, k] for k in ("n", "mean", "std", "min", "max")}
+        for i, p in enumerate(probs):
+            for rank in {math.floor((out[c]["n"] - 1) * p), math.ceil((out[c]["n"] - 1) * p)}:
+                open_[c, rank] = _first_bracket(out[c], seen[c, "cuts"], i, p)
+    values = _ranked(df, out, open_)
+    for c, stats in out.items():
+        for p in probs:
+            position = (stats["n"] - 1) * p
+            low = values[c, math.floor(position)]
+            high = values[c, math.ceil(position)]
+            stats[p] = low + (high - low) * (position - math.floor(position)) if high > low else low
+    return out
+
+
+def _first_bracket(stats: dict, cuts: list[float], i: int, p: float) -> tuple[float, float]:
+    for k, margin in enumerate(_MARGINS):
+        if margin * stats["n"] >= RANKS:
+            low, high = cuts[2 * (i * len(_MARGINS) + k) :][:2]
+            return (
+                stats["min"] if p <= margin else low, stats["max"] if p >= 1 - margin else high
+            )
+    return stats["min"], stats["max"]
+
+
+def _ranked(
+    df: DataFrame, stats: dict[str, dict], open_: dict[tuple[str, int], tuple[float, float]]
+) -> dict[tuple[str, int], float]:
+    """The value at each (column, rank), from the bracket that it is thought to be in."""
+    found: dict[tuple[str, int], float] = {}
+    while open_:
+        brackets = {(c, *bounds) for (c, _), bounds in open_.items()}
+        counted = {}
+        for c, low, high in brackets:
+            x = _present(c)
+            counted |= {
+                (c, low, high, "below"): F.count_if(x < low),
+                (c, low, high, "low"): F.count_if(x == low),
+                (c, low, high, "mid"): F.count_if((x > low) & (x < high)),
+                (c, low, high, "high"): F.count_if((x == high) & (x > low)),
+            }
+        counts = _row(df, counted)
+        sort, narrow, following = {}, {}, {}
+        for (c, rank), (low, high) in open_.items():
+            below, on, mid, top = (counts[c, low, high, k] for k in ("below", "low", "mid", "high"))
+            inside = rank - below - on
+            between = (_present(c) > low) & (_present(c) < high)
+            kept = F.when(between, _present(c))
+            if rank < below:
+                following[c, rank] = (stats[c]["min"], low)
+            elif inside < 0:
+                found[c, rank] = low
+            elif inside < mid and mid <= LIMIT:
+                sort[c, low, high] = F.sort_array(F.collect_list(kept))
+                found[c, rank] = inside
+            elif inside < mid:
+                margin = max(MARGIN, RANKS / mid)
+                asks = _asked((inside + 0.5) / mid, margin)
+                narrow[c, rank] = F.percentile_approx(kept, asks, ACCURACY)
+            elif inside < mid + top:
+                found[c, rank] = high
+            else:
+                following[c, rank] = (high, stats[c]["max"])
+        lists = _row(df, sort)
+        for (c, rank), bounds in open_.items():
+            if (c, rank) in found and (c, *bounds) in sort:
+                inside = rank - counts[c, *bounds, "below"] - counts[c, *bounds, "low"]
+                if 0 <= inside < counts[c, *bounds, "mid"]:
+                    found[c, rank] = lists[c, *bounds][inside]
+        following |= {k: tuple(cuts) for k, cuts in _row(df, narrow).items()}
+        open_ = following
+    return found
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float]
 ) -> DataFrame:
-    """Rows (column_name, p, value); two scans, no column gathered anywhere."""
-    values = long_values(df, columns)
-    brackets = values.groupBy("column_name").agg(*bracket_aggs(probs))
-    return refine(values, brackets, probs).drop("stats")
+    """Rows (column_name, p, value), one a column that has values and a probability."""
+    rows = [
+        (c, float(p), float(stats[p]))
+        for c, stats in column_summary(df, columns, probs).items()
+        for p in probs
+    ]
+    return df.sparkSession.createDataFrame(rows, "column_name string, p double, value double")

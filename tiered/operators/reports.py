@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tiered import specs
 from tiered.functions.exprs import below_cuts, is_missing, numeric_columns
-from tiered.operators.quantiles import bracket_aggs, long_values, refine
+from tiered.operators.quantiles import bracket_aggs, column_summary, refine
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -373,25 +373,14 @@ def model_scores(scored: DataFrame) -> DataFrame:
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, mean, std, min, quartiles, max per numeric column; NaN is missing."""
     columns = list(columns) if columns is not None else numeric_columns(df)
-    values = long_values(df, columns)
-    stats = values.groupBy("column_name").agg(
-        F.avg("value").alias("mean"),
-        F.stddev("value").alias("std"),
-        *bracket_aggs(QUARTILES),
-    )
-    return (
-        refine(values, stats, QUARTILES)
-        .groupBy("column_name", "stats")
-        .agg(
-            *[
-                F.max(F.when(F.col("p") == p, F.col("value"))).alias(name)
-                for p, name in zip(QUARTILES, ("q25", "q50", "q75"))
-            ]
-        )
-        .select(
-            "column_name", F.col("stats.n").alias("count"), "stats.mean", "stats.std",
-            "stats.min", "q25", "q50", "q75", "stats.max",
-        )
+    rows = [
+        (c, x["n"], x["mean"], x["std"], x["min"], *[x[p] for p in QUARTILES], x["max"])
+        for c, x in column_summary(df, columns, QUARTILES).items()
+    ]
+    return df.sparkSession.createDataFrame(
+        rows,
+        "column_name string, count bigint, mean double, std double, min double, q25 double, "
+        "q50 double, q75 double, max double",
     )
 
 

@@ -384,10 +384,13 @@ def distinct_values(spark, d):
 @query
 def join_incidents_weather(spark, d):
     """From stored rows: the cleaning and its shuffle run once for both sides."""
-    rows = features.cut_lineage(clean(spark, d))
-    return subjects.join_subjects(
-        subjects.accidents_table(rows), subjects.weather_table(rows)
+    rows = features.cut_lineage(
+        clean(spark, d).select(
+            "ID", "Severity", "Start_Time", "Duration_Hours", "Temperature_F", "Humidity_Pct",
+            "Wind_Speed_Mph", "Pressure_In", "Weather_Condition",
+        )
     )
+    return subjects.join_subjects(rows, subjects.observations(rows))
 
 
 @query
