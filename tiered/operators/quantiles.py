@@ -121,22 +121,40 @@ LIMIT = 4096
 _MARGINS = (MARGIN, RANKS / LIMIT)
 
 
-def _present(column: str) -> Column:
+def _present(column: str) -> str:
     """A column as double, null where it is NaN."""
-    x = F.col(f"`{column}`").cast("double")
-    return F.when(~F.isnan(x), x)
+    name = column.replace("`", "``")
+    return f"nanvl(CAST(`{name}` AS DOUBLE), NULL)"
+
+
+def _number(value: float) -> str:
+    return f"CAST('{float(value)!r}' AS DOUBLE)"
+
+
+def _sketch(values: str, asks: Sequence[float]) -> str:
+    asked = ", ".join(map(_number, asks))
+    return f"percentile_approx({values}, array({asked}), {ACCURACY})"
 
 
 def _asked(p: float, margin: float) -> list[float]:
     return [max(p - margin, 0.0), min(p + margin, 1.0)]
 
 
-def _row(df: DataFrame, aggregates: dict[object, Column]) -> dict:
-    """One row-wise aggregate of many columns, by key."""
-    if not aggregates:
-        return {}
-    row = df.agg(*[c.alias(f"a{k}") for k, c in enumerate(aggregates.values())]).first()
-    return dict(zip(aggregates, row))
+#: Aggregates of one pass. Beyond spark.sql.codegen.maxFields (100) Spark compiles none.
+FIELDS = 80
+
+
+def _row(df: DataFrame, aggregates: dict[object, str]) -> dict:
+    """Row-wise aggregates by key, so many a pass as are compiled; a pass reads its columns.
+
+    They are written as text, as there are thousands of terms for a wide table.
+    """
+    keys, out = list(aggregates), {}
+    for a in range(0, len(keys), FIELDS):
+        some = keys[a : a + FIELDS]
+        row = df.selectExpr(*[f"{aggregates[k]} AS a{i}" for i, k in enumerate(some)]).first()
+        out |= dict(zip(some, row))
+    return out
 
 
 def column_summary(
@@ -144,23 +162,24 @@ def column_summary(
 ) -> dict[str, dict]:
     """n, mean, std, min, max and the exact quantiles (by p) of columns that have values.
 
-    Passes over the rows are aggregates of all columns side by side; no cell becomes a row
-    and nothing is shuffled but partial results. The first one sketches, which brackets each
-    rank. The next counts what is below, on and between the ends of each bracket. A bracket
+    Passes over the rows are aggregates of many columns side by side; no cell becomes a row
+    and nothing is shuffled but partial results. The first ones sketch, which brackets each
+    rank. The next count what is below, on and between the ends of each bracket. A bracket
     with more than LIMIT values between its ends is narrowed by a sketch of these alone, as
     often as it takes; then at most LIMIT values a bracket are sorted. Quantiles are linear
     between neighbours; null and NaN are left out.
     """
     asks = [q for p in probs for m in _MARGINS for q in _asked(p, m)]
-    first = {}
+    plain, sketches = {}, {}
     for c in columns:
         x = _present(c)
-        first |= {
-            (c, "n"): F.count(x), (c, "mean"): F.avg(x), (c, "std"): F.stddev(x),
-            (c, "min"): F.min(x), (c, "max"): F.max(x),
-            (c, "cuts"): F.percentile_approx(x, asks, ACCURACY),
+        plain |= {
+            (c, "n"): f"count({x})", (c, "mean"): f"avg({x})", (c, "std"): f"stddev({x})",
+            (c, "min"): f"min({x})", (c, "max"): f"max({x})",
         }
-    seen = _row(df, first)
+        sketches[c, "cuts"] = _sketch(x, asks)
+    # Apart, because a sketch among them would keep the plain ones from being compiled.
+    seen = _row(df, plain) | _row(df, sketches)
     out, open_ = {}, {}
     for c in columns:
         if not seen[c, "n"]:
@@ -198,31 +217,31 @@ def _ranked(
         brackets = {(c, *bounds) for (c, _), bounds in open_.items()}
         counted = {}
         for c, low, high in brackets:
-            x = _present(c)
+            x, a, b = _present(c), _number(low), _number(high)
             counted |= {
-                (c, low, high, "below"): F.count_if(x < low),
-                (c, low, high, "low"): F.count_if(x == low),
-                (c, low, high, "mid"): F.count_if((x > low) & (x < high)),
-                (c, low, high, "high"): F.count_if((x == high) & (x > low)),
+                (c, low, high, "below"): f"count_if({x} < {a})",
+                (c, low, high, "low"): f"count_if({x} = {a})",
+                (c, low, high, "mid"): f"count_if({x} > {a} AND {x} < {b})",
+                (c, low, high, "high"): f"count_if({x} = {b} AND {x} > {a})",
             }
         counts = _row(df, counted)
         sort, narrow, following = {}, {}, {}
         for (c, rank), (low, high) in open_.items():
             below, on, mid, top = (counts[c, low, high, k] for k in ("below", "low", "mid", "high"))
             inside = rank - below - on
-            between = (_present(c) > low) & (_present(c) < high)
-            kept = F.when(between, _present(c))
+            x = _present(c)
+            kept = f"CASE WHEN {x} > {_number(low)} AND {x} < {_number(high)} THEN {x} END"
             if rank < below:
                 following[c, rank] = (stats[c]["min"], low)
             elif inside < 0:
                 found[c, rank] = low
             elif inside < mid and mid <= LIMIT:
-                sort[c, low, high] = F.sort_array(F.collect_list(kept))
+                sort[c, low, high] = f"sort_array(collect_list({kept}))"
                 found[c, rank] = inside
             elif inside < mid:
                 margin = max(MARGIN, RANKS / mid)
                 asks = _asked((inside + 0.5) / mid, margin)
-                narrow[c, rank] = F.percentile_approx(kept, asks, ACCURACY)
+                narrow[c, rank] = _sketch(kept, asks)
             elif inside < mid + top:
                 found[c, rank] = high
             else:
