@@ -15,6 +15,8 @@ _ADJACENT = re.compile(r"\s\s")
 
 #: Characters below this one have been letters or not for as long as tables of them exist.
 _SETTLED = "\u0250"
+#: Signs that never join a letter before them.
+_STOPS = ".,;:!?"
 #: Byte-level alphabets write each byte as a printable character: itself where it has one,
 #: else the next free character from 256 on.
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -33,7 +35,7 @@ class Encoder(dict):
     pieces are kept, so memory does not grow with the corpus.
     """
 
-    def __init__(self, path: str, remember: int = 400_000) -> None:
+    def __init__(self, path: str, remember: int = 800_000) -> None:
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -52,6 +54,10 @@ class Encoder(dict):
             # One word, with its space or without: the model takes it as it is.
             plain = piece.encode().decode("latin-1").translate(_ALPHABET)
             ids = array("I", [t.id for t in self.model.tokenize(plain)]).tobytes()
+        elif (stem := word.rstrip(_STOPS)) != word and stem.isalpha() and max(stem) < _SETTLED:
+            # A run of stops after a word is a token run of its own.
+            at = len(piece) - len(word) + len(stem)
+            ids = self[piece[:at]] + self[piece[at:]]
         else:
             ids = self.whole(piece)
         self[piece] = ids
