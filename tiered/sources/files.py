@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiered import specs
-from tiered.sources import slices
+from tiered.sources import records, slices
 from tiered.sources.tables import exists, replace_slice, replace_slices
 
 DATE = "ingestion_date"
@@ -17,27 +17,36 @@ def read_csv(
     spark: SparkSession,
     path: str,
     schema: T.StructType = specs.RAW_SCHEMA,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     corrupt_column: str | None = None,
     **options,
 ) -> DataFrame:
     """CSV with a header; declared types, no inference pass over the data.
 
     The header is read first and known columns get their declared type by
-    name, so extra or reordered columns do no harm; only columns that are used
-    are parsed. Malformed values become null. Files are split over tasks; with
-    ``multi_line=True``, for values that hold line breaks, Spark cannot split
-    a file, and each is one task.
+    name, so extra or reordered columns do no harm. Malformed values become
+    null. Files are split over tasks, also where quoted values hold line
+    breaks: a pass over the quotes tells where records begin (``records``).
+    ``multi_line=False`` spares that pass where no value holds a line break;
+    ``multi_line=True`` has Spark read each file in one task, which an escape
+    other than the doubled quote needs.
     """
-    base = {"header": True, "multiLine": multi_line, "escape": '"', **options}
-    header = spark.read.options(**base).csv(path).columns
+    base = {"header": True, "escape": '"', **options}
+    whole = {**base, "multiLine": multi_line is not False}
+    header = spark.read.options(**whole).csv(path).columns
     known = {f.name: f.dataType for f in schema}
     fields = [T.StructField(c, known.get(c, T.StringType())) for c in header]
-    reader = spark.read.options(mode="PERMISSIVE", **base)
     if corrupt_column:
         fields.append(T.StructField(corrupt_column, T.StringType()))
-        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    return reader.schema(T.StructType(fields)).csv(path)
+        base["columnNameOfCorruptRecord"] = corrupt_column
+    columns = T.StructType(fields)
+    if multi_line is None and base["escape"] == base.get("quote", '"'):
+        given = {k: v for k, v in base.items() if k != "header"}
+        rows = records.read(spark, path, columns, given)
+        if rows is not None:
+            return rows
+    reader = spark.read.options(mode="PERMISSIVE", **base, multiLine=bool(multi_line))
+    return reader.schema(columns).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
