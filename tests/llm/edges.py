@@ -22,12 +22,13 @@ CLASHES = [
     "key", "row", "rep", "part", "size", "score", "predicted", "n_words", "n_hit", "n_items",
     "items_sha256", "spans", "pii_spans", "lang_pred", "rejected", "text_key", "draw", "kind",
     "digest", "bucket", "chunk", "cells", "sequence_id", "offset", "piece", "start", "length",
+    "a-b", "a b", "__row", "__text_key", "__terms",
 ]
 
 
 def documents(spark, rows=None):
     rows = ROWS if rows is None else rows
-    extra = ", ".join(f"{c} string" for c in CLASHES)
+    extra = ", ".join(f"`{c}` string" for c in CLASHES)
     return spark.createDataFrame(
         [(*r, *["kept"] * len(CLASHES)) for r in rows], f"doc_id long, text string, {extra}"
     )

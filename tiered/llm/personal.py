@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tiered.llm import shared
 from tiered.llm.shingles import batches, hashed_words, mixed
@@ -373,19 +374,20 @@ def sanitise(
     same answer; an empty table gives no rows; a column named pii_spans is replaced.
     """
     kept = [c for c in docs.columns if c != "pii_spans"]
-    keyed = docs.select(*kept).withColumn("__text_key", F.xxhash64(F.col(text)))
+    key, found_terms = shared.free("__text_key", kept), shared.free("__terms", kept)
+    keyed = docs.select(*kept).withColumn(key, F.xxhash64(F.col(text)))
     texts = keyed.where(F.col(text).isNotNull()).select(
-        F.col("__text_key").alias("text_key"), F.col(text).alias("text")
+        F.col(key).alias("text_key"), F.col(text).alias("text")
     )
     told = disclosing_terms(texts, general, removed, prior, chance)
     # Only texts that may hold such a word are shuffled; one with very many copies is split.
     held = _filter(told.select("text_key"))
-    place = keyed.columns.index("__text_key")
+    place = keyed.columns.index(key)
     without, within = _that(place, held, False), _that(place, held, True)
     some = keyed.mapInArrow(within, keyed.schema).join(
-        told.select(F.col("text_key").alias("__text_key"), F.col("terms").alias("__terms")),
-        "__text_key", "left",
-    ).select(*kept, "__terms")
+        told.select(F.col("text_key").alias(key), F.col("terms").alias(found_terms)),
+        key, "left",
+    ).select(*kept, found_terms)
 
     def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = kept.index(text)
@@ -410,7 +412,6 @@ def sanitise(
                 [*columns, pa.array(found, _SPAN)], [*kept, "pii_spans"]
             )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in some.schema[:-1])
-    schema = f"{schema}, pii_spans {SPANS}"
+    schema = StructType([*some.schema[:-1], *StructType.fromDDL(f"pii_spans {SPANS}")])
     plain = keyed.mapInArrow(lambda rows: run(without(rows)), schema)
     return plain.unionByName(some.mapInArrow(run, schema))

@@ -39,6 +39,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{scratch(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
 
+def free(name: str, taken: list[str]) -> str:
+    """`name`, made longer until no column has it."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Writes `df` once to the shared folder and reads it back: lineage ends there."""
     path = new_folder(df.sparkSession, name)
