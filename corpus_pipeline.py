@@ -18,8 +18,21 @@ SEQUENCE = 2048
 
 
 def _beside(docs: DataFrame) -> DataFrame:
-    """Rows in one column beside id and text, so no added column meets a name of theirs."""
-    return docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+    """Rows in one column beside id and text, so no added column meets a name of theirs.
+
+    Their fields are numbered: names may hold blanks or signs that a schema's text cannot.
+    """
+    fields = [c.alias(f"c{k}") for k, c in enumerate(_all(docs))]
+    return docs.select(F.struct(*fields).alias("row"), "doc_id", "text")
+
+
+def _rows(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of `docs` again, from rows that went beside."""
+    return found.select(*[F.col(f"row.c{k}").alias(c) for k, c in enumerate(docs.columns)])
+
+
+def _all(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +40,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = shared.table(spark, sf_dir, "labels")
     learned = labels.where(shared.fold(F.col("doc_id"), 4) != 2)
     model = quality.fit(docs, learned)
-    return quality.score(_beside(docs), model).where("predicted = 1").select("row.*")
+    return _rows(quality.score(_beside(docs), model).where("predicted = 1"), docs)
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,23 +54,24 @@ def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     if ids.where("n > 1 or doc_id is null").isEmpty():
         linked = jaccard.link_documents(docs)
         dropped = linked.where("doc_id <> component_id").select("doc_id")
-        return _without(docs, dropped, "doc_id").select(*docs.columns)
+        return _without(docs, dropped, "doc_id").select(*_all(docs))
     # Written once, so that a row has the same number in every pass.
-    numbered = shared.staged(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    row = shared.free("__row", docs.columns)
+    numbered = shared.staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     linked = shared.staged(
-        jaccard.link_documents(numbered, key="__row").select(
-            F.col("doc_id").alias("__row"), "component_id"
+        jaccard.link_documents(numbered.select(row, "text"), key=row).select(
+            F.col("doc_id").alias(row), "component_id"
         ),
         "linked",
     )
-    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "__row")
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", row)
     first = (
-        linked.join(numbered.select("__row", "doc_id"), "__row")
+        linked.join(numbered.select(row, "doc_id"), row)
         .groupBy("component_id").agg(F.min(order).alias("first"))
-        .select(F.col("first.__row").alias("__row"))
+        .select(F.col(f"first.{row}").alias(row))
     )
-    dropped = linked.select("__row").join(first, "__row", "left_anti")
-    return _without(numbered, dropped, "__row").select(*docs.columns)
+    dropped = linked.select(row).join(first, row, "left_anti")
+    return _without(numbered, dropped, row).select(*_all(docs))
 
 
 def _without(docs: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
@@ -68,7 +82,7 @@ def _without(docs: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a window of a benchmark item."""
     items = shared.table(spark, sf_dir, "benchmark")
-    return decontaminate.decontaminate(_beside(docs), items).where("n_hit = 0").select("row.*")
+    return _rows(decontaminate.decontaminate(_beside(docs), items).where("n_hit = 0"), docs)
 
 
 def hide_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,8 +91,10 @@ def hide_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     changed = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        changed["n_chars"] = F.when(F.size("pii_spans") > 0, length).otherwise(F.col("row.n_chars"))
-    return found.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+        was = F.col(f"row.c{docs.columns.index('n_chars')}")
+        changed["n_chars"] = F.when(F.size("pii_spans") > 0, length).otherwise(was)
+    kept = {c: F.col(f"row.c{k}") for k, c in enumerate(docs.columns)} | changed
+    return found.select(*[kept[c].alias(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
