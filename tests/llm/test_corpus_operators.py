@@ -209,6 +209,28 @@ def test_jaccard_with_small_parts(spark, monkeypatch):
     assert edges.table(got, "doc_id", "n_shingles", "component_id") == plain_join(rows)
 
 
+def test_jaccard_with_common_shingles(spark, monkeypatch):
+    """Whatever the order knows of common shingles, no link is lost or added."""
+    rows = variants(5, 6, 20, 0.012)
+    docs = edges.documents(spark, rows).repartition(3)
+    for told, common, counted in [(1 << 15, 1 << 20, 50), (7, 1 << 20, 50), (1 << 15, 4, 1 << 21)]:
+        monkeypatch.setattr(jaccard, "TOLD", told)
+        monkeypatch.setattr(jaccard, "COMMON", common)
+        monkeypatch.setattr(jaccard, "COUNTED", counted)
+        got = jaccard.link_documents(docs)
+        assert edges.table(got, "doc_id", "n_shingles", "component_id") == plain_join(rows)
+
+
+def test_common_shingles_rank_last():
+    cells = np.zeros(jaccard.CELLS, np.uint64)
+    hashes = np.arange(1, 9, dtype=np.uint64) << np.uint64(20)
+    cells[0] = 7 + 40 + 3
+    order = jaccard.Order(cells, hashes[[5, 2]], np.array([40, 3]))
+    assert np.argsort(order.ranked(hashes), kind="stable").tolist() == [0, 1, 3, 4, 6, 7, 2, 5]
+    none = jaccard.Order(cells, hashes[:0], np.zeros(0, np.int64))
+    assert np.argsort(none.ranked(hashes), kind="stable").tolist() == list(range(8))
+
+
 def test_jaccard_of_nothing(spark):
     assert jaccard.link_documents(edges.documents(spark, [])).count() == 0
 

@@ -31,6 +31,11 @@ PART = 2048
 CELLS = 1 << 18
 CELL_CHUNK = 1 << 14
 HEAVY = 1 << 20
+#: Shingles counted together before the repeated ones among them are told, the most of them
+#: told, and the most that the order knows one by one. They decide about speed alone.
+COUNTED = 1 << 21
+TOLD = 1 << 15
+COMMON = 1 << 20
 #: Bits of the filter of wanted sets; when it fills up, more sets are sent than needed.
 FILTER_BITS = 1 << 23
 #: One in so many lists makes the first links, which spare the others most comparisons.
@@ -250,6 +255,44 @@ def _whole_units(rows: Iterator[pa.RecordBatch], least: int = 20_000) -> Iterato
 UNIT = ["list", "part", "other", "side", "rep", "root", "n", "point"]
 
 
+def repeated(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent of the shingles that stand more than once, and their counts."""
+    token, count = np.unique(hashes, return_counts=True)
+    order = np.lexsort((token, -count))[:TOLD]
+    order = order[count[order] > 1]
+    return token[order], count[order]
+
+
+class Order:
+    """How common shingles are: rare ones first, the commonest last.
+
+    Common shingles are known one by one, with the counts that blocks of texts told of them;
+    they rank after all others. The others rank by the count of their cell, less the common
+    shingles in it, so that cells tell rare shingles apart although they also hold common ones.
+    """
+
+    def __init__(self, cells: np.ndarray, token: np.ndarray, count: np.ndarray) -> None:
+        order = np.argsort(token)
+        self.token = token[order]
+        self.rank = 64 + np.frexp(count[order].astype(np.float64))[1].astype(np.uint8)
+        rest = cells.astype(np.int64)
+        np.subtract.at(rest, (token >> np.uint64(46)).astype(np.int64), count)
+        self.cell_rank = np.frexp(np.maximum(rest, 0).astype(np.float64))[1].astype(np.uint8)
+        self.shares = cells // HEAVY + 1
+
+    def ranked(self, hashes: np.ndarray) -> np.ndarray:
+        """One order for all sets: by rank, then by hash."""
+        rank = self.cell_rank[(hashes >> np.uint64(46)).astype(np.int64)]
+        if len(self.token):
+            at = np.minimum(np.searchsorted(self.token, hashes), len(self.token) - 1)
+            rank = np.where(self.token[at] == hashes, self.rank[at], rank)
+        return (rank.astype(np.uint64) << np.uint64(56)) | (hashes >> np.uint64(8))
+
+    def split(self, tokens: np.ndarray) -> np.ndarray:
+        """Over how many shares the list of a shingle is dealt."""
+        return self.shares[(tokens >> np.uint64(46)).astype(np.int64)]
+
+
 class Join:
     """The steps of one join; each leaves a table in the shared folder."""
 
@@ -282,7 +325,21 @@ class Join:
 
         def sign(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = np.zeros(CELLS, np.uint32)
-            names = ["rep", "n", "point"]
+            names = ["rep", "n", "point", "token", "seen"]
+            waiting: list[np.ndarray] = []
+
+            def row(rep: pa.Array, n: pa.Array, point: pa.Array) -> pa.RecordBatch:
+                none = pa.nulls(len(n), pa.int64())
+                return pa.RecordBatch.from_arrays([rep, n, point, none, none], names)
+
+            def told() -> pa.RecordBatch:
+                token, count = repeated(np.concatenate(waiting))
+                waiting.clear()
+                none = [pa.nulls(len(token), t) for t in (pa.int64(), pa.int32(), pa.binary())]
+                return pa.RecordBatch.from_arrays(
+                    [*none, pa.array(token.view(np.int64)), pa.array(count)], names
+                )
+
             for batch in rows:
                 reps, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
                 for of in batches(texts):
@@ -295,32 +352,56 @@ class Join:
                         p.astype(np.uint8 if top < 256 else "<u4").tobytes()
                         for p, top in zip(points, points.max(axis=1))
                     ]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(reps[of.start : of.stop]), pa.array(n, pa.int32()), pa.array(blobs)],
-                        names,
+                    yield row(
+                        pa.array(reps[of.start : of.stop]), pa.array(n, pa.int32()),
+                        pa.array(blobs, pa.binary()),
                     )
+                    waiting.append(hashes)
+                    if sum(map(len, waiting)) >= COUNTED:
+                        yield told()
+            if waiting:
+                yield told()
             chunks = counts.astype("<u8").reshape(-1, CELL_CHUNK)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([None] * len(chunks), pa.int64()),
-                    pa.array(range(len(chunks)), pa.int32()),
-                    pa.array([c.tobytes() for c in chunks]),
-                ],
-                names,
+            yield row(
+                pa.nulls(len(chunks), pa.int64()),
+                pa.array(range(len(chunks)), pa.int32()),
+                pa.array([c.tobytes() for c in chunks]),
             )
 
         signed = shared.staged(
-            self.reps.select("rep", "text").mapInArrow(sign, "rep long, n int, point binary"),
+            self.reps.select("rep", "text").mapInArrow(
+                sign, "rep long, n int, point binary, token long, seen long"
+            ),
             "points",
         )
-        self.points = signed.where("rep is not null")
-        cells = signed.where("rep is null").select(F.col("n").alias("chunk"), F.col("point"))
+        self.points = signed.where("rep is not null").select("rep", "n", "point")
+        cells = signed.where("rep is null and token is null").select(
+            F.col("n").alias("chunk"), F.col("point")
+        )
         found = shared.merged(cells, "<u8", np.add)
         counts = np.zeros((CELLS // CELL_CHUNK, CELL_CHUNK), np.uint64)
         for chunk, part in found.items():
             counts[chunk] = part
-        # A number for each cell, whatever the number of documents.
-        self.common = self.spark.sparkContext.broadcast(counts.ravel())
+        # Levels are bit lengths of counts: as many of the highest as COMMON has room for.
+        seen = shared.staged(
+            signed.where("token is not null").groupBy("token").agg(F.sum("seen").alias("seen"))
+            .withColumn("level", F.length(F.bin("seen"))),
+            "common",
+        )
+        least, room = 64, COMMON
+        levels = {r["level"]: r["count"] for r in seen.groupBy("level").count().collect()}
+        for level in sorted(levels, reverse=True):
+            room -= levels[level]
+            if room < 0:
+                break
+            least = level
+        found = seen.where(F.col("level") >= least).select("token", "seen").toArrow()
+        token, count = (found.column(k).to_numpy() for k in ("token", "seen"))
+        shared.dropped(seen)
+        # A number for each cell and at most COMMON shingles, whatever the number of documents.
+        self.common = self.spark.sparkContext.broadcast(
+            Order(counts.ravel(), token.view(np.uint64), count)
+        )
 
     def _list(self) -> None:
         """Lists of the sets that share one of their leading shingles."""
@@ -330,11 +411,10 @@ class Join:
 
         def salts(tokens: np.ndarray, reps: np.ndarray) -> np.ndarray:
             """Which of a heavy cell's shares a set belongs to; 0 in all other cells."""
-            shares = common.value[(tokens >> np.uint64(46)).astype(np.int64)] // HEAVY + 1
+            shares = common.value.split(tokens)
             return np.where(shares > 1, mixed(reps.astype(np.uint64) ^ tokens) % shares, 0)
 
         def lead(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            rank = np.frexp(common.value.astype(np.float64))[1].astype(np.uint64)
             held: list[tuple[np.ndarray, np.ndarray]] = []
             count = 0
 
@@ -360,10 +440,7 @@ class Join:
                 reps, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
                 for of in batches(texts):
                     hashes, n = shingle_sets(texts[of.start : of.stop], words)
-                    # Rare cells first, then by hash: one order for all sets.
-                    order = (rank[(hashes >> np.uint64(46)).astype(np.int64)] << np.uint64(56)) | (
-                        hashes >> np.uint64(8)
-                    )
+                    order = common.value.ranked(hashes)
                     most = prefix_sizes(n, percent)
                     ends = np.cumsum(n)
                     chosen = [
@@ -401,7 +478,7 @@ class Join:
             new = np.r_[True, (tokens[1:] != tokens[:-1]) | (salt[1:] != salt[:-1])]
             at = np.flatnonzero(new)
             size = np.diff(np.r_[at, len(tokens)])
-            shares = common.value[(tokens[at] >> np.uint64(46)).astype(np.int64)] // HEAVY + 1
+            shares = common.value.split(tokens[at])
             several = (shares > 1) | (size > PART)
             # Lists of the same members have one name, whatever their shingle.
             members = np.add.reduceat(mixed(reps.astype(np.uint64)), at) + size.astype(np.uint64)
