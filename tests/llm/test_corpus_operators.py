@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import edges
 from tiered.llm import (
@@ -569,3 +570,21 @@ def test_shard_edges(spark):
 
 def test_scratch_needs_a_shared_folder(spark):
     assert shared.scratch(spark)
+
+
+def test_archive_files_are_the_same_in_every_run(spark, tmp_path):
+    """Names and bytes of all files, for other tasks, another input order and other settings."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    crowded = pages.withColumn("page_id", F.expr("if(page_id % 3 = 0, null, page_id)"))
+    for case, rows in (("pages", pages), ("crowded", crowded)):
+        found = []
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        for name, dealt, tasks in (("a", rows.coalesce(1), before), ("b", rows.repartition(7), "5")):
+            spark.conf.set("spark.sql.shuffle.partitions", tasks)
+            folder = tmp_path / f"{case}-{name}"
+            manifest = archives.write_archives(dealt, str(folder), roll_bytes=60_000)
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+            assert manifest.agg(F.sum("records")).first()[0] == rows.count()
+            found.append({f.name: f.read_bytes() for f in folder.iterdir() if f.name[0] != "."})
+        assert found[0] == found[1]
+        assert len(found[0]) > 16

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import bisect
 import gzip
 import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiered.llm import shared
@@ -102,61 +104,122 @@ class _File:
             self.system.delete_file(self.temporary)
 
 
+#: Bytes that a record counts besides its payload when records are dealt to parts.
+HEAD_BYTES = 512
+
+
+def _cuts(slim: DataFrame, part_bytes: int, least_parts: int) -> tuple[int, list[tuple]]:
+    """Number of parts and the first (known key, key, digest) of each that is not empty.
+
+    Records, ordered by key and digest, are cut where the running sum of their bytes passes
+    a multiple of the share of a part. The sums are exact, so the cuts depend on the records
+    alone and not on how the tasks that add them up are dealt.
+    """
+    dealt = shared.staged(
+        slim.groupBy("key", "digest").agg(F.sum(F.col("bytes") + HEAD_BYTES).alias("size"))
+        .repartitionByRange("key", "digest")
+        .withColumn("range", F.spark_partition_id()),
+        "ranges",
+    )
+    total = dealt.agg(F.sum("size")).first()[0] or 0
+    parts = max(least_parts, -(-total // part_bytes))
+    share = max(1, -(-total // parts))
+    # One row a task of the sort: ordering them in one task is bounded.
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = dealt.groupBy("range").agg(F.sum("size").alias("bytes")).select(
+        "range", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("base")
+    )
+    inside = Window.partitionBy("range").orderBy("key", "digest")
+    start = F.col("base") + F.sum("size").over(inside) - F.col("size")
+    place = F.struct(
+        F.col("key").isNotNull().alias("known"),
+        F.coalesce("key", F.lit(0).cast("long")).alias("key"), "digest",
+    )
+    # At most `parts` rows: one for each share of the bytes.
+    firsts = (
+        dealt.join(F.broadcast(bases), "range")
+        .withColumn("start", start)
+        .select(F.expr(f"start div {share}").alias("part"), place.alias("place"))
+        .groupBy("part").agg(F.min("place").alias("place"))
+        .collect()
+    )
+    shared.dropped(dealt)
+    return parts, sorted(tuple(r["place"]) for r in firsts)
+
+
 def write_archives(
     pages: DataFrame,
     folder: str,
     roll_bytes: int = 1 << 28,
     least_bytes: int = 100,
+    least_parts: int = 16,
     date: str = "2000-01-01T00:00:00Z",
     key: str = "page_id",
     url: str = "url",
     html: str = "html",
 ) -> DataFrame:
-    """Writes one record a row, range-sorted by key, and returns the manifest.
+    """Writes one record a row, sorted by key, and returns the manifest.
 
     Of records with equal payloads of at least `least_bytes`, the one with the smallest key
     is a response and the others are revisits of it without payload. Digests meet their
-    smallest key in a slim table without pages; the resulting marks are ranged together with
-    the pages, so pages are shuffled once. A task starts a new file when the compressed size
-    reaches `roll_bytes`; files are written under temporary names and renamed when complete,
-    and the manifest (part, file, path, records, bytes) lists those of committed tasks. The
-    names and bytes depend on the rows alone, given the number of parts.
+    smallest key in a slim table without pages; the resulting marks are dealt together with
+    the pages, so pages are shuffled once. Prefix sums of bytes over the sorted keys and
+    digests cut the records into parts of four times `roll_bytes`, at least `least_parts`; a
+    part is written by one task, which starts a new file when the compressed size reaches
+    `roll_bytes`. Files are written under temporary names and renamed when complete, and the
+    manifest (part, file, path, records, bytes) lists those of committed tasks. Names and
+    bytes depend on the rows and these parameters alone: another run, another number of
+    tasks or another order of the input writes the same files.
 
     A null page is an empty payload. Null keys sort first and never win over a known key;
     the record then has no page id. Of repeated rows with one key and payload, one is the
-    response and the others revisit it. Keys are meant to be nearly unique: rows of one key
-    are written by one task. An empty table has an empty manifest. Other columns are not read.
+    response and the others revisit it; they are written by one task, while rows of one key
+    with different payloads may be in several parts. An empty table has an empty manifest.
+    Other columns are not read.
     """
     payload = F.coalesce(F.col(html), F.lit(""))
     rows = pages.select(
         F.col(key).cast("long").alias("key"), F.col(url).alias("url"), payload.alias("html")
     )
-    slim = rows.where(F.octet_length("html") >= least_bytes).select(
-        "key", F.sha2(F.col("html").cast("binary"), 256).alias("digest")
-    )
+    rows = rows.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
+    slim = rows.select("key", "digest", F.octet_length("html").cast("long").alias("bytes"))
+    parts, cuts = _cuts(slim, 4 * roll_bytes, least_parts)
+    large = slim.where(F.col("bytes") >= least_bytes).select("key", "digest")
     firsts = (
-        slim.groupBy("digest")
+        large.groupBy("digest")
         .agg(F.min("key").alias("first"), F.count("*").alias("n"))
         .where("n > 1")
         .drop("n")
     )
-    marks = slim.join(firsts, "digest").where(~F.col("key").eqNullSafe(F.col("first")))
+    marks = large.join(firsts, "digest").where(~F.col("key").eqNullSafe(F.col("first")))
+    none = F.lit(None).cast("string")
     marked = marks.distinct().select(
-        "key", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"),
-        F.lit(None).cast("string").alias("html"), "digest", "first",
+        "key", "digest", F.lit(0).alias("kind"), none.alias("url"), none.alias("html"), "first"
     )
-    nothing = F.lit(None)
     both = marked.unionByName(
         rows.select(
-            "key", F.lit(1).alias("kind"), "url", "html",
-            nothing.cast("string").alias("digest"), nothing.cast("long").alias("first"),
+            "key", "digest", F.lit(1).alias("kind"), "url", "html",
+            F.lit(None).cast("long").alias("first"),
         )
     )
+    # One short row for each part.
+    held = pages.sparkSession.sparkContext.broadcast(cuts)
+
+    @F.pandas_udf("int")
+    def part_of(known: pd.Series, key: pd.Series, digest: pd.Series) -> pd.Series:
+        first = held.value
+        places = zip(known.tolist(), key.tolist(), digest.tolist())
+        return pd.Series([max(0, bisect.bisect_right(first, p) - 1) for p in places], dtype="int32")
+
+    both = both.withColumn(
+        "part",
+        part_of(F.col("key").isNotNull(), F.coalesce("key", F.lit(0).cast("long")), "digest"),
+    )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        part, attempt = context.partitionId(), context.taskAttemptId()
-        files: list[_File] = []
+        attempt = context.taskAttemptId()
+        files: list[tuple[int, int, _File]] = []
         current: object = ()
         refers: dict[str, tuple[int | None]] = {}
         seen: dict[str, int] = {}
@@ -169,33 +232,38 @@ def write_archives(
                         refers[row["digest"]] = (row["first"],)
                         continue
                     data = row["html"].encode("utf-8", "surrogatepass")
-                    digest = hashlib.sha256(data).hexdigest()
+                    digest, part = row["digest"], row["part"]
                     target = refers.get(digest)
                     again = seen.get(digest, 0)
                     seen[digest] = again + 1
                     if target is None and again and len(data) >= least_bytes:
                         target = (row["key"],)
-                    if not files or files[-1].bytes >= roll_bytes:
-                        if files:
-                            files[-1].close()
-                        name = f"pages-{part:06d}-{len(files):04d}.warc.gz"
-                        files.append(_File(folder, name, attempt, date))
-                    files[-1].add(
+                    of, number, file = files[-1] if files else (None, 0, None)
+                    if of != part or file.bytes >= roll_bytes:
+                        if file:
+                            file.close()
+                        number = number + 1 if of == part else 0
+                        name = f"pages-{part:06d}-{number:04d}.warc.gz"
+                        file = _File(folder, name, attempt, date)
+                        files.append((part, number, file))
+                    file.add(
                         _page_record(row["key"], row["url"], data, digest, again, target, date)
                     )
         if files:
-            files[-1].close()
+            files[-1][2].close()
             yield pa.RecordBatch.from_pydict(
                 {
-                    "part": pa.array([part] * len(files), pa.int32()),
-                    "file": pa.array(range(len(files)), pa.int32()),
-                    "path": [f.path for f in files],
-                    "records": pa.array([f.records for f in files], pa.int64()),
-                    "bytes": pa.array([f.bytes for f in files], pa.int64()),
+                    "part": pa.array([p for p, _, _ in files], pa.int32()),
+                    "file": pa.array([n for _, n, _ in files], pa.int32()),
+                    "path": [f.path for _, _, f in files],
+                    "records": pa.array([f.records for _, _, f in files], pa.int64()),
+                    "bytes": pa.array([f.bytes for _, _, f in files], pa.int64()),
                 }
             )
 
-    ordered = both.repartitionByRange("key").sortWithinPartitions("key", "kind", "html", "url")
+    ordered = both.repartitionById(parts, "part").sortWithinPartitions(
+        "part", "key", "digest", "kind", "url"
+    )
     return shared.staged(
         ordered.mapInArrow(write, "part int, file int, path string, records long, bytes long"),
         "archives",
