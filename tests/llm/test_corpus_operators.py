@@ -588,3 +588,36 @@ def test_archive_files_are_the_same_in_every_run(spark, tmp_path):
             found.append({f.name: f.read_bytes() for f in folder.iterdir() if f.name[0] != "."})
         assert found[0] == found[1]
         assert len(found[0]) > 16
+
+
+# --- bounded samples ----------------------------------------------------------------------
+
+
+def test_language_sample_is_bounded_for_hot_and_null_keys(spark):
+    rows = [(None, "en", "the same words")] * 400 + [(7, "en", f"text {k}") for k in range(50)]
+    rows += [(None, "de", "ein Text")] * 3 + [(k, "fr", f"un texte {k}") for k in range(30)]
+    labelled = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(5)
+    draws = labelled.select("lang", "text", F.xxhash64("doc_id", "text").alias("draw"))
+    got = language.drawn(draws, 10, 3)
+    assert {r.lang: r["count"] for r in got.groupBy("lang").count().collect()} == {
+        "en": 10, "de": 3, "fr": 10,
+    }
+    found = edges.table(got, "lang", "text", "rank")
+    assert found == edges.table(language.drawn(draws.repartition(2), 10, 3), "lang", "text", "rank")
+    with pytest.raises(ValueError):
+        language.drawn(draws, 10, 2)
+    assert set(language.fit(labelled, per_language=10).langs) == {"en", "de", "fr"}
+
+
+def test_quality_learns_from_hot_keys(spark):
+    """One id on most rows, labelled again and again, leaves both labels in the sample."""
+    good, bad = "A clear sentence follows another one. ", "buy buy !!! $$$ click "
+    docs = [(1, good * 3)] * 300 + [(k, good * (k % 5 + 1)) for k in range(2, 40)]
+    docs += [(100 + k, bad * (k % 5 + 1)) for k in range(40)]
+    labels = [(1, 1)] * 50 + [(k, 1) for k in range(2, 40)] + [(100 + k, 0) for k in range(40)]
+    model = quality.fit(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(4),
+        spark.createDataFrame(labels, "doc_id long, quality int"), per_class=20, pairs=500,
+    )
+    high, low = model.score(np.array([quality.features(good * 3), quality.features(bad * 3)]))
+    assert high > low

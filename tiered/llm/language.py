@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiered.llm import shared
@@ -120,24 +120,52 @@ class Model:
         return out
 
 
+def drawn(rows: DataFrame, per_language: int, most_languages: int) -> DataFrame:
+    """Of rows (lang, text, draw) the `per_language` of each language with the smallest draws.
+
+    Adds rank, from 1. Draws alone are ranked first, so that of the texts only those up to the
+    last draw of their language are shuffled. Equal draws go by text; equal rows share a draw
+    and are cut at the bound like any others. More languages than `most_languages` raise.
+    """
+    smallest = Window.partitionBy("lang").orderBy("draw")
+    last = (
+        rows.select("lang", "draw")
+        .withColumn("rank", F.row_number().over(smallest))
+        .where(F.col("rank") <= per_language)
+        .groupBy("lang").agg(F.max("draw").alias("last"))
+        .limit(most_languages + 1)
+        .collect()
+    )
+    if len(last) > most_languages:
+        raise ValueError(f"more than {most_languages} languages: fit on fewer, or raise the bound")
+    # At most `most_languages` rows of two values.
+    bounds = rows.sparkSession.createDataFrame(last, "lang string, last long")
+    return (
+        rows.join(F.broadcast(bounds), "lang")
+        .where("draw <= last")
+        .withColumn("rank", F.row_number().over(smallest.orderBy("draw", "text")))
+        .where(F.col("rank") <= per_language)
+        .select("lang", "text", "rank")
+    )
+
+
 def fit(
     labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
     per_language: int = 1000, clusters: int = 4, tail: float = 0.005, most_languages: int = 2000,
 ) -> Model:
     """Learns from rows with a language.
 
-    Document frequencies cover all rows. Centroids are fitted on a sample of about
-    `per_language` whole texts of each language, chosen by hash of the key, one language a
-    task. A centroid's reach is the cosine that all but the share `tail` of its members have.
-    The model has at most `most_languages` x `clusters` centroids; more languages raise.
+    Document frequencies cover all rows. Centroids are fitted on at most `per_language` whole
+    texts of each language, those of the smallest hashes of key and text, one language a
+    task; repeated or null keys and repeated rows cannot make the sample larger. A centroid's reach is the cosine that all but the share `tail` of its members have.
+    The model has at most `most_languages` x `clusters` centroids; more languages raise. Rows
+    without a language or text are left out; without rows the model knows no language.
     """
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"),
-        F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)).alias("draw"),
+        F.xxhash64(F.col(key), F.col(text)).alias("draw"),
     )
-    sizes = rows.groupBy("lang").count().limit(most_languages + 1).collect()
-    if len(sizes) > most_languages:
-        raise ValueError(f"more than {most_languages} languages")
+    sample = drawn(rows, per_language, most_languages)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have = np.zeros(DIMS + 1, np.int64)
@@ -157,7 +185,7 @@ def fit(
     idf = (np.log((1 + have[DIMS]) / (1 + have[:DIMS])) + 1).astype(np.float32)
 
     def cluster(_: tuple, group: pa.Table) -> pa.Table:
-        texts = group.column("text").to_pylist()
+        texts = group.sort_by("rank").column("text").to_pylist()
         x = np.concatenate(
             [vectors(gram_counts(texts[of.start : of.stop]), idf) for of in blocks(texts)]
         )
@@ -176,14 +204,8 @@ def fit(
             }
         )
 
-    share = F.lit(None).cast("double")
-    for row in sizes:
-        share = F.when(F.col("lang") == row["lang"], min(1.0, per_language / row["count"])).otherwise(
-            share
-        )
-    drawn = rows.where(F.col("draw") < share * (1 << 30)).select("lang", "text")
     fitted = sorted(
-        drawn.groupBy("lang")
+        sample.groupBy("lang")
         .applyInArrow(cluster, "lang string, middle binary, reach double")
         .collect(),
         key=lambda r: (r["lang"], r["middle"]),
