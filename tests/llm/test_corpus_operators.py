@@ -481,6 +481,10 @@ def test_disclosing_terms_equal_a_plain_version(spark):
         for e in set().union(*(personal.entities(text, s) for s in spans)):
             named.setdefault(e, (set(), set()))[0].add(n)
             named[e][1].update((n, w) for w in word[free].tolist())
+    groups: dict[frozenset[int], int] = {}
+    for own, beside in named.values():
+        groups[frozenset(own)] = len(beside)
+    tested = sum(groups.values())
     told: dict[int, float] = {}
     for own, beside in named.values():
         p = len(own) / total
@@ -488,7 +492,8 @@ def test_disclosing_terms_equal_a_plain_version(spark):
             both, of = sum((n, w) in beside for n in own), len(held[w])
             rate = both / of
             apart = (1 - rate) * np.log((1 - rate) / (1 - p)) if rate < 1 else 0
-            if rate > p and np.exp(-of * (rate * np.log(rate / p) + apart)) <= chance:
+            by_chance = np.exp(-of * (rate * np.log(rate / p) + apart))
+            if rate > p and by_chance <= (chance / tested if rate < 1 else chance):
                 q = (both + prior * p) / (of + prior)
                 told[w] = max(told.get(w, 0), np.log(q / p) / -np.log(p))
     want = {w: "removed" if v >= removed else "general" for w, v in told.items() if v >= general}
@@ -502,6 +507,34 @@ def test_disclosing_terms_equal_a_plain_version(spark):
         assert [(s.start, kinds.index(s.kind), s.end) for s in r.pii_spans] == expected
 
 
+def test_identifiers_dealt_at_random_leave_other_texts_alone(spark):
+    rng = np.random.default_rng(5)
+    words = [f"w{k // 676:x}{chr(97 + k // 26 % 26)}{chr(97 + k % 26)}" for k in range(5000)]
+    odds = 1 / np.arange(1, 5001)
+    rows = []
+    for k in range(2000):
+        text = " ".join(rng.choice(words, 60, p=odds / odds.sum()))
+        if k % 20 == 0:
+            text += f" person{k}@mail{k % 7}.example"
+        rows.append((k, text))
+    got = personal.sanitise(edges.documents(spark, rows)).collect()
+    altered = [r.doc_id for r in got if r.pii_spans and r.doc_id % 20]
+    assert len(altered) < 0.01 * len(rows)
+    assert sum(r.doc_id % 20 == 0 for r in got if r.pii_spans) == 100
+
+
+def test_words_hash_alike_wherever_they_stand(monkeypatch):
+    from tiered.llm import shingles
+
+    text = "some words, " * 50 + "x" * 300 + " and Words again " * 20
+    want = personal.words_of(text)
+    monkeypatch.setattr(shingles, "SEGMENT", 64)
+    shingles._POWERS.clear()
+    got = personal.words_of(text)
+    assert all((a == b).all() for a, b in zip(want, got))
+    assert len({int(h) for h in got[0]}) == 5
+
+
 def test_personal_edges(spark):
     docs = edges.documents(spark)
     got = personal.sanitise(docs)

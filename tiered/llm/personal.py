@@ -4,8 +4,10 @@ A term discloses a protected entity when seeing it tells nearly as much as the e
 the pointwise mutual information of the two, over the information content of the entity,
 exceeds a threshold. Both are estimated from all distinct texts of the corpus, over whole
 texts. An entity is the value of an identifier, a coarser part of it (mail domain, first
-digits) or its kind. A term in a single text can disclose: the share is shrunk towards
-chance by a fraction of a text, and what chance alone would bring about is left out.
+digits) or its kind. A term that stands nowhere without the entity can disclose it by a
+single text: the share is shrunk towards chance by a fraction of a text, and what chance
+alone would bring about is left out. A term that also stands in other texts, which would be
+altered too, must be beyond what chance brings about in any of all tested pairs.
 """
 
 from __future__ import annotations
@@ -29,6 +31,10 @@ KINDS = ("email", "ip", "card", "phone")
 ADDED = ("removed", "general")
 #: Rows of one pass over the texts: counts of terms, entities of texts, words beside them.
 TERM, ENTITY, HELD = range(3)
+SEEN = "what byte, key long, value long, terms array<long>"
+#: The most common terms that are dropped before a shuffle where they are too common; others
+#: are dropped after it.
+COMMON = 4096
 SPANS = "array<struct<kind:string,start:long,end:long>>"
 #: Bits of a filter of keys: 16 a key up to the most, beyond which more rows pass.
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27
@@ -171,14 +177,21 @@ def _filter(keys: DataFrame) -> Broadcast:
 Rows = Iterator[pa.RecordBatch]
 
 
+def _few(rows: Rows) -> Rows:
+    """The same rows in batches of few, so that a task holds little at once."""
+    for batch in rows:
+        for at in range(0, batch.num_rows, SOME_ROWS):
+            yield batch.slice(at, SOME_ROWS)
+
+
 def _that(place: int, held: Broadcast, wanted: bool) -> Callable[[Rows], Rows]:
     """Keeps the rows whose key a filter may hold, or the others, in batches of few rows."""
 
     def chosen(rows: Rows) -> Rows:
-        for batch in rows:
-            own = pa.array(_passes(batch.column(place).to_numpy(), held.value) == wanted)
-            for at in range(0, batch.num_rows, SOME_ROWS):
-                yield batch.slice(at, SOME_ROWS).filter(own.slice(at, SOME_ROWS))
+        for batch in _few(rows):
+            own = _passes(batch.column(place).to_numpy(), held.value) == wanted
+            if own.any():
+                yield batch.filter(pa.array(own))
 
     return chosen
 
@@ -189,7 +202,7 @@ def _once(texts: DataFrame, keys: DataFrame, run: Callable[[Rows], Rows], schema
     single, copied = _that(0, held, False), _that(0, held, True)
     again = texts.mapInArrow(copied, texts.schema).dropDuplicates(["text_key"])
     return texts.mapInArrow(lambda rows: run(single(rows)), schema).unionByName(
-        again.mapInArrow(run, schema)
+        again.mapInArrow(lambda rows: run(_few(rows)), schema)
     )
 
 
@@ -202,12 +215,15 @@ def _coded(values: list[str | None]) -> Iterator[tuple[range, np.ndarray, np.nda
 
 
 def _seen(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of distinct texts: (TERM, term, texts), (ENTITY, entity, text), (HELD, term, text)."""
+    """Of distinct texts: (TERM, term, texts), (ENTITY, entity, text), (HELD, text, its terms)."""
 
-    def out(what: int, key: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
+    def out(
+        what: int, key: np.ndarray, value: np.ndarray, terms: list[np.ndarray] | None = None
+    ) -> pa.RecordBatch:
         kind = pa.array(np.full(len(key), what, np.int8))
+        lists = pa.array(terms or [None] * len(key), pa.list_(pa.int64()))
         return pa.RecordBatch.from_arrays(
-            [kind, pa.array(key), pa.array(value)], ["what", "key", "value"]
+            [kind, pa.array(key), pa.array(value), lists], ["what", "key", "value", "terms"]
         )
 
     waiting: list[np.ndarray] = []
@@ -221,7 +237,8 @@ def _seen(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 named += [(e, key) for e in set().union(*(entities(text, s) for s in spans))]
                 word, start, end = words_of(text)
                 free = np.unique(word[_free(start, end, spans)])
-                yield out(HELD, free, np.full(len(free), key))
+                one = np.array([key], np.int64)
+                yield out(HELD, one, np.array([len(free)], np.int64), [free])
         if named:
             yield out(ENTITY, *np.array(named, np.int64).T)
         for _, word, doc in _coded(values):
@@ -249,7 +266,7 @@ def disclosing_terms(
         texts.groupBy("text_key").agg(F.count("*").alias("n")), "text_keys"
     )
     total = float(keys.count())
-    seen = shared.staged(_once(texts, keys, _seen, "what byte, key long, value long"), "seen")
+    seen = shared.staged(_once(texts, keys, _seen, SEEN), "seen")
     frequency = (
         seen.where(F.col("what") == TERM).groupBy(F.col("key").alias("term"))
         .agg(F.sum("value").alias("n_term"))
@@ -266,25 +283,33 @@ def disclosing_terms(
     # The most texts a term may stand in and still tell the share `general` of an entity.
     most = (F.col("n_entity") + prior * share) * F.pow(share, general - 1) - prior + 1e-9
     groups = groups.where(F.col("n_entity") < total).select(
-        "entity", F.xxhash64("n_entity", "a", "b").alias("group"), "n_entity", most.alias("most")
+        "entity", F.xxhash64("n_entity", "a", "b").alias("group"), "n_entity"
     )
     protected = shared.staged(
-        occurs.join(groups, "entity").select("group", "n_entity", "most", "text_key").distinct(),
+        occurs.join(groups, "entity").select("group", "n_entity", "text_key").distinct(),
         "protected",
     )
-    limit = protected.agg(F.max("most")).first()[0]
+    limit = protected.agg(F.max(most)).first()[0]
     if limit is None:
         return protected.selectExpr(
             "text_key", "cast(null as array<struct<term:long,kind:string>>) as terms"
         ).limit(0)
     held = seen.where(F.col("what") == HELD).select(
-        F.col("key").alias("term"), F.col("value").alias("text_key")
+        F.col("key").alias("text_key"), F.col("value").alias("n_terms"), "terms"
+    )
+    # As many pairs are tested at most: every term beside every entity of its text.
+    tested = held.join(protected, "text_key").agg(F.sum("n_terms")).first()[0] or 1
+    # Where a third of the texts holds an identifier, so do as many rows hold a common word.
+    common = (
+        frequency.where(F.col("n_term") > limit).orderBy(F.desc("n_term"), "term").limit(COMMON)
     )
     pairs = (
-        held.join(frequency.where(F.col("n_term") <= limit), "term")
-        .join(protected, "text_key")
-        .where("n_term <= most")
-        .groupBy("group", "n_entity", "term", "n_term")
+        held.join(protected, "text_key")
+        .select("group", "n_entity", F.explode("terms").alias("term"))
+        .join(F.broadcast(common.select("term")), "term", "left_anti")
+        .join(frequency.where(F.col("n_term") <= limit), "term")
+        .where(F.col("n_term") <= most)
+        .groupBy("term", "n_term", "group", "n_entity")
         .agg(F.count("*").alias("n_both"))
     )
     content = -F.log(share)
@@ -294,8 +319,9 @@ def disclosing_terms(
     apart = F.when(rate < 1, (1 - rate) * F.log((1 - rate) / (1 - share))).otherwise(0.0)
     # Bounds the logarithm of the chance that unrelated ones meet so often (Chernoff).
     unlikely = -F.col("n_term") * (rate * F.log(rate / share) + apart)
+    sure = F.when(rate < 1, float(np.log(chance / tested))).otherwise(float(np.log(chance)))
     told = shared.staged(
-        pairs.where((rate > share) & (unlikely <= float(np.log(chance)) + 1e-9))
+        pairs.where((rate > share) & (unlikely <= sure + 1e-9))
         .groupBy("term")
         .agg(F.max(1 + F.log(often) / content).alias("told"))
         .where(F.col("told") >= general)
@@ -306,17 +332,15 @@ def disclosing_terms(
     wanted = _filter(told.select("term"))
 
     def holding(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            for at in range(0, batch.num_rows, SOME_ROWS):
-                few = batch.slice(at, SOME_ROWS)
-                keys = few.column(0).to_numpy()
-                for of, word, doc in _coded(few.column(1).to_pylist()):
-                    some = _passes(word, wanted.value)
-                    both = np.stack([word[some], keys[of.start : of.stop][doc[some]]], axis=1)
-                    both = np.unique(both, axis=0)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(both[:, 0]), pa.array(both[:, 1])], ["term", "text_key"]
-                    )
+        for few in _few(rows):
+            keys = few.column(0).to_numpy()
+            for of, word, doc in _coded(few.column(1).to_pylist()):
+                some = _passes(word, wanted.value)
+                both = np.stack([word[some], keys[of.start : of.stop][doc[some]]], axis=1)
+                both = np.unique(both, axis=0)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(both[:, 0]), pa.array(both[:, 1])], ["term", "text_key"]
+                )
 
     return shared.staged(
         texts.mapInArrow(holding, "term long, text_key long")
@@ -366,7 +390,10 @@ def sanitise(
     of that entity's information content, and removed from the share `removed` on. The share
     counts `prior` more texts in which the two meet as chance has it, and what chance alone
     brings about with probability above `chance` is left out. One text is enough if texts
-    with the entity are rarer than `chance`. Copies of a text count once. Spans are code
+    with the entity are rarer than `chance` and the word stands in no text without it. For a
+    word that does, `chance` holds for all tested pairs of words and entities together
+    (Bonferroni), so that texts without identifiers are not altered by accident.
+    Copies of a text count once. Spans are code
     points of the original text, end exclusive, by start and then kind; identifiers become
     their kind in brackets, generalised words [GENERAL], removed words nothing.
 
@@ -414,4 +441,4 @@ def sanitise(
 
     schema = StructType([*some.schema[:-1], *StructType.fromDDL(f"pii_spans {SPANS}")])
     plain = keyed.mapInArrow(lambda rows: run(without(rows)), schema)
-    return plain.unionByName(some.mapInArrow(run, schema))
+    return plain.unionByName(some.mapInArrow(lambda rows: run(_few(rows)), schema))

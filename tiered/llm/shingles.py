@@ -17,6 +17,8 @@ _BYTE = _RANDOM.integers(1, 1 << 64, 256, dtype=np.uint64)
 _PLACE = _RANDOM.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Bytes whose words are hashed together; a longer word is a step of its own.
+SEGMENT = 1 << 17
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -32,11 +34,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     have = len(_POWERS.get("up", ()))
     if have < n:
-        size = max(n, 2 * have, 1 << 20)
-        up, down = np.full(size, _BASE), np.full(size, _INVERSE)
-        up[0] = down[0] = 1
-        _POWERS["up"] = np.multiply.accumulate(up)
-        _POWERS["down"] = np.multiply.accumulate(down)
+        _POWERS.clear()
+        for name, base in (("up", _BASE), ("down", _INVERSE)):
+            powers = np.full(max(n, SEGMENT), base)
+            powers[0] = 1
+            _POWERS[name] = np.multiply.accumulate(powers, out=powers)
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
@@ -65,9 +67,19 @@ def hashed_words(
     edges = np.flatnonzero(between[1:] != between[:-1]) + 1
     starts, ends = edges[::2], edges[1::2]
     doc = np.searchsorted(begins, starts, "right") - 1
-    up, down = _powers(len(data))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[_LOWER[data]] * up)])
-    word = mixed((sums[ends] - sums[starts]) * down[starts])
+    word = np.empty(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        # A hash does not depend on where its word stands, so any run of words can be a step.
+        a = starts[first]
+        last = max(first + 1, int(np.searchsorted(ends, a + SEGMENT, "right")))
+        size = ends[last - 1] - a
+        up, down = _powers(size)
+        sums = np.zeros(size + 1, np.uint64)
+        np.cumsum(_BYTE[_LOWER[data[a : a + size]]] * up, out=sums[1:])
+        begin, end = starts[first:last] - a, ends[first:last] - a
+        word[first:last] = mixed((sums[end] - sums[begin]) * down[begin])
+        first = last
     return word, doc, starts - begins[doc], ends - begins[doc]
 
 
