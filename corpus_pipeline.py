@@ -7,7 +7,8 @@ the packed pieces. A stage's result is written as Parquet and read again for the
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,10 @@ from pyspark.sql import functions as F
 from tiered.llm import decontaminate, jaccard, packing, personal, quality, shared, tokens
 
 SEQUENCE = 2048
+#: Rows that Spark hands to Python at once: whole texts go through every stage, and what a
+#: batch takes outside the heap is not given back between stages.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def _beside(docs: DataFrame) -> DataFrame:
@@ -114,9 +119,22 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 ORACLE_SQL = None
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches of at most BATCH_ROWS rows, fewer where the session says so; set back after."""
+    before = spark.conf.get(_BATCH)
+    rows = int(before)
+    spark.conf.set(_BATCH, str(min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; what each keeps is a table in the shared folder."""
     docs = shared.table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = shared.staged(stage(spark, docs, sf_dir), name)
+    with _small_batches(spark):
+        for name, stage in STAGES[:-1]:
+            docs = shared.staged(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
