@@ -192,3 +192,22 @@ def test_absent_columns_are_skipped(spark):
     row = cleaning.standardize(df).first()
     assert not hasattr(row, "Visibility_Mi")
     assert cleaning.missing(df, specs.RAW_COLUMNS) == ["County", "Visibility(mi)", "Bump"]
+
+
+def test_flags_travel_as_words_and_come_back(spark):
+    """Every value of 70 flags, null too, survives; none is a shuffled column of its own."""
+    names = [f"flag {i}" for i in range(70)]
+    values = (True, False, None)
+    rows = [
+        (f"k{k}", n, *[values[(i + k + n) % 3] for i in range(70)])
+        for k in range(5) for n in range(2)
+    ]
+    schema = "ID string, n int, " + ", ".join(f"`{c}` boolean" for c in names)
+    df = spark.createDataFrame(rows, schema)
+    kept = cleaning.dedup_by_key(df, order=["n"])
+    assert kept.columns == df.columns
+    assert sorted(map(tuple, kept.collect())) == sorted(r for r in rows if r[1] == 0)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    window = next(line for line in plan.splitlines() if "Project" in line and "__flags0" in line
+                  and "AS __flags0" in line)
+    assert window.count(" AS __flags") == 3

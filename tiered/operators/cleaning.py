@@ -89,11 +89,42 @@ def dedup_by_key(
 
     ``row_number() = 1`` plans as WindowGroupLimit, which keeps one row per key
     in every map task before the shuffle, so a key that holds a large share of
-    all rows sends one row per task and no more.
+    all rows sends one row per task and no more. Flags travel as two bits each,
+    where a column of their own would take eight bytes to sort and to shuffle.
     """
     order = list(order) if order is not None else [c for c in df.columns if c != key]
     w = Window.partitionBy(key).orderBy(*[F.col(f"`{c}`") for c in order])
-    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    flags = [
+        f.name for f in df.schema
+        if isinstance(f.dataType, T.BooleanType) and f.name not in (key, *order)
+    ]
+    first = pack_flags(df, flags).withColumn("__rn", F.row_number().over(w)).filter("__rn = 1")
+    out = unpack_flags(flags)
+    return first.select(*[out.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns])
+
+
+FLAGS_PER_WORD = 31
+
+
+def pack_flags(df: DataFrame, flags: Sequence[str]) -> DataFrame:
+    """Flags replaced by words of two bits a flag: 0 false, 1 true, 2 null."""
+    words: dict[int, Column] = {}
+    for i, c in enumerate(flags):
+        word, place = divmod(i, FLAGS_PER_WORD)
+        bits = F.coalesce(F.col(f"`{c}`").cast("bigint"), F.lit(2)) * F.lit(1 << 2 * place)
+        words[word] = words[word] + bits if word in words else bits
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in flags]
+    return df.select(*kept, *[bits.alias(f"__flags{w}") for w, bits in words.items()])
+
+
+def unpack_flags(flags: Sequence[str]) -> dict[str, Column]:
+    """The columns that ``pack_flags`` replaced."""
+    out = {}
+    for i, c in enumerate(flags):
+        word, place = divmod(i, FLAGS_PER_WORD)
+        bits = F.shiftright(f"__flags{word}", 2 * place).bitwiseAND(F.lit(3))
+        out[c] = F.when(bits != 2, bits == 1)
+    return out
 
 
 def geo_valid() -> Column:
