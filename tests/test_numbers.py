@@ -86,3 +86,18 @@ def test_stages_hand_on_few_columns(spark, small):
     assert len(own) > 30
     inputs = features.stage_inputs(ready, own, list(features.ENCODED), ["ID"])
     assert len(inputs.columns) < 10
+
+
+def test_clusters_are_fitted_on_stored_rows(spark, small, monkeypatch):
+    from workload import queries
+
+    seen = []
+    fit = features.fit_clusters
+
+    def spy(df):
+        seen.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return fit(df)
+
+    monkeypatch.setattr(features, "fit_clusters", spy)
+    rows = queries.QUERIES["coord_clusters"](spark, small).collect()
+    assert len(rows) == features.CLUSTERS and "Window" not in seen[0]

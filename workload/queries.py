@@ -867,8 +867,8 @@ def confidence_formula(spark, d):
 
 @query
 def coord_clusters(spark, d):
-    """Incidents per coordinate cluster."""
-    rows = accidents(spark, d).select("ID", "Latitude", "Longitude")
+    """Incidents per coordinate cluster, from stored coordinates: the cleaning runs once."""
+    rows = features.cut_lineage(accidents(spark, d).select("ID", "Latitude", "Longitude"))
     return (
         features.fit_clusters(rows)
         .transform(rows)
