@@ -341,6 +341,26 @@ def test_encoder_equals_whole_encoding(text):
 # --- packing ------------------------------------------------------------------------------
 
 
+def test_pieces_end_at_line_feeds_and_signs():
+    texts = [
+        "one.\ntwo three\n\"x\" y%%%", "\na", "a\n", "\n", "a \nb", "a\n\nb", "it's\n's", "a\x1c\nb",
+        "1\n2 3.\n", "\u00e9t\u00e9&&&\nb***'s", "\u65e5\u672c\n\u8a9e\u3002\nx_y a--b a-' a.' b",
+    ]
+    coder = tokens.Encoder(VOCABULARY)
+    assert coder.cut("one.\ntwo x%%%") == ["one.", "\n", "two", " x%%%"]
+    assert coder.encode(texts) == [coder.whole(t) for t in texts]
+    # Signs are a piece of their own, not one with each word before them.
+    assert "%%%" in coder and "." in coder
+
+
+def test_packed_blocks_of_all_widths():
+    rng = np.random.default_rng(2)
+    for top in (1, 2, 1 << 9, 1 << 16, 1 << 31, (1 << 32) - 1):
+        values = rng.integers(0, top, 9000, dtype=np.uint32)
+        blocks = token_files.pack_blocks(values, 0.95)
+        assert np.array_equal(np.concatenate([token_files.unpack_block(b) for b in blocks]), values)
+
+
 @settings(deadline=None, max_examples=150)
 @given(st.lists(st.integers(1, 20), max_size=12))
 def test_bounds_and_best_fit(lengths):

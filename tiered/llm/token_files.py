@@ -53,9 +53,10 @@ def pack_blocks(values: np.ndarray, percentile: float) -> list[bytes]:
             packed: dict[int, bytes] = {}
             for w in np.unique(width):
                 rows = np.flatnonzero(width == w)
-                bits = (over[rows, :, None] >> np.arange(w, dtype=np.uint32)) & 1
+                some = np.ascontiguousarray(over[rows], "<u4").view(np.uint8)
+                bits = np.unpackbits(some, axis=1, bitorder="little").reshape(len(rows), n, 32)
                 bytes_ = np.packbits(
-                    bits.astype(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little"
+                    bits[:, :, :w].reshape(len(rows), -1), axis=1, bitorder="little"
                 )
                 packed |= {int(r): b.tobytes() for r, b in zip(rows, bytes_)}
             outliers = over >> width[:, None].astype(np.uint32) > 0
