@@ -6,6 +6,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -236,6 +237,27 @@ def test_jaccard_of_nothing(spark):
     assert jaccard.link_documents(edges.documents(spark, [])).count() == 0
 
 
+def test_long_sets_of_one_list_are_refused_by_their_own_groups():
+    """Unrelated long sets that share a list make no pairs; similar ones and odd counts do."""
+    rng = np.random.default_rng(6)
+    sets = [np.sort(rng.integers(0, 1 << 63, 3000, dtype=np.uint64)) for _ in range(40)]
+    sets.append(np.sort(np.r_[sets[7][:2900], sets[8][:100]]))
+    # All shingles of one group: counts that need more than a byte.
+    sets += [np.arange(3000, dtype=np.uint64) << np.uint64(20)] * 2
+    n = np.array([len(x) for x in sets])
+    points = jaccard.group_points(np.concatenate(sets), n)
+    assert [len(p) % 2 for p in points] == [0] * 41 + [1] * 2
+    assert all(jaccard._counts(p).sum() == m for p, m in zip(points, n.tolist()))
+    rep = np.arange(len(sets))
+    zero = np.zeros(len(sets), np.int64)
+    for emits in (jaccard.CLASSES, jaccard.ALL):
+        rows = pa.RecordBatch.from_arrays(
+            [pa.array(zero)] * 4 + [pa.array(rep), pa.array(rep), pa.array(n), pa.array(points)], jaccard.UNIT
+        )
+        got = pa.Table.from_batches(list(jaccard._pairs_of_units(75, emits)(iter([rows]))))
+        assert sorted(zip(got["a"].to_pylist(), got["b"].to_pylist())) == [(7, 40), (41, 42)]
+
+
 def test_tree_join_keeps_every_possible_pair():
     rng = np.random.default_rng(3)
     n = rng.integers(1, 60, 900)

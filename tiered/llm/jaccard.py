@@ -2,10 +2,11 @@
 
 Sets are spread over tasks by an exact rule: sort each set by one order common to all sets;
 two sets that are similar enough share a shingle among their first few. Sets that share such
-a shingle are a list. In a list, each set is a point: its shingles hashed into GROUPS groups
-and counted. Two sets share at most the sum of the smaller counts of each group, and a tree
-node's largest counts bound all sets below it, so an R-tree join of the list leaves only the
-pairs that can reach the threshold, and those are compared shingle by shingle.
+a shingle are a list. In a list, each set is a point: its shingles hashed into groups, the
+more the larger the set, and counted. Two sets share at most the sum of the smaller counts of
+each group, and a tree node's largest counts, folded to GROUPS groups, bound all sets below
+it, so an R-tree join of the list leaves only the pairs that can reach the threshold; the
+unfolded counts refuse most others, and what is left is compared shingle by shingle.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from tiered.llm.components import components
 from tiered.llm.shingles import batches, mixed, shingle_sets
 
 GROUPS = 128
+#: Groups of the largest sets; smaller ones have a power of two, half their size at least.
+MOST_GROUPS = 4096
 LEAF = 32
 FANOUT = 16
 #: Sets of a list that one task compares at a time; longer lists are cut and their parts paired.
@@ -42,11 +45,36 @@ FILTER_BITS = 1 << 23
 FIRST_ROUND = 16
 
 
-def _vectors(blobs: list[bytes]) -> np.ndarray:
-    """Group counts of many sets; counts over 255 are stored wide."""
-    if all(len(b) == GROUPS for b in blobs):
-        return np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, GROUPS)
-    return np.stack([np.frombuffer(b, np.uint8 if len(b) == GROUPS else "<u4") for b in blobs])
+def group_points(hashes: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """Group counts of sets that stand one after another; those over 255 are stored wide, with
+    a byte more, so that both kinds have lengths of their own."""
+    ends = np.cumsum(n)
+    out = []
+    for a, b in zip((ends - n).tolist(), ends.tolist()):
+        groups = min(MOST_GROUPS, max(GROUPS, 1 << max(0, (b - a - 1).bit_length() - 1)))
+        counts = np.bincount((hashes[a:b] & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+        wide = counts.max() > 255
+        out.append(counts.astype("<u4").tobytes() + b"w" if wide else counts.astype(np.uint8).tobytes())
+    return out
+
+
+def _counts(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob[:-1], "<u4") if len(blob) % 2 else np.frombuffer(blob, np.uint8)
+
+
+def _folded(counts: np.ndarray, groups: int) -> np.ndarray:
+    """Counts of fewer groups: both numbers are powers of two."""
+    return counts.reshape(-1, groups).sum(axis=0, dtype=np.uint32)
+
+
+def _vectors(blobs: list[bytes], groups: int = GROUPS) -> np.ndarray:
+    """Counts of many sets in the same number of groups."""
+    if all(len(b) == groups for b in blobs):
+        return np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, groups)
+    out = np.empty((len(blobs), groups), np.uint32)
+    for row, blob in zip(out, blobs):
+        row[:] = _folded(_counts(blob), groups)
+    return out.astype(np.uint16) if out.max(initial=0) < 1 << 16 else out
 
 
 def prefix_sizes(n: np.ndarray, percent: int) -> np.ndarray:
@@ -57,16 +85,22 @@ def prefix_sizes(n: np.ndarray, percent: int) -> np.ndarray:
 class Tree:
     """R-tree over points, packed by size and then by leading counts."""
 
-    def __init__(self, n: np.ndarray, points: np.ndarray) -> None:
+    def __init__(self, n: np.ndarray, points: np.ndarray, root: np.ndarray | None = None) -> None:
         self.order = tree_order(n, points)
         high, low_n, high_n = points[self.order], n[self.order], n[self.order]
+        low_root = high_root = (np.arange(len(n)) if root is None else root)[self.order]
         self.levels = [(high, low_n, high_n, 1)]
+        #: Least and largest class of each node of a level.
+        self.roots = [(low_root, high_root)]
         for width in (LEAF, FANOUT, FANOUT):
             if len(high) == 1:
                 break
             at = np.arange(0, len(high), width)
             high = np.maximum.reduceat(high, at)
             low_n, high_n = np.minimum.reduceat(low_n, at), np.maximum.reduceat(high_n, at)
+            low_root = np.minimum.reduceat(low_root, at)
+            high_root = np.maximum.reduceat(high_root, at)
+            self.roots.append((low_root, high_root))
             self.levels.append((high, low_n, high_n, width))
 
 
@@ -83,7 +117,10 @@ def possible(
 
 
 def tree_join(a: Tree, b: Tree, same: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of entry numbers that the bound does not exclude, level by level from the top."""
+    """Pairs of entry numbers that the bound does not exclude, level by level from the top.
+
+    Nodes whose sets are all of one class are not compared.
+    """
     depth = min(len(a.levels), len(b.levels)) - 1
     i, j = (x.ravel() for x in np.indices((len(a.levels[depth][0]), len(b.levels[depth][0]))))
     if same:
@@ -91,7 +128,9 @@ def tree_join(a: Tree, b: Tree, same: bool, percent: int) -> tuple[np.ndarray, n
     for level in range(depth, -1, -1):
         (high_a, low_a, top_a, _), (high_b, low_b, top_b, _) = a.levels[level], b.levels[level]
         sizes = (100 * top_a[i] >= percent * low_b[j]) & (100 * top_b[j] >= percent * low_a[i])
-        i, j = i[sizes], j[sizes]
+        least = np.minimum(a.roots[level][0][i], b.roots[level][0][j])
+        apart = np.maximum(a.roots[level][1][i], b.roots[level][1][j]) != least
+        i, j = i[sizes & apart], j[sizes & apart]
         keep = np.zeros(len(i), bool)
         for at in range(0, len(i), 1 << 14):
             ii, jj = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
@@ -112,6 +151,30 @@ def tree_join(a: Tree, b: Tree, same: bool, percent: int) -> tuple[np.ndarray, n
     return a.order[i], b.order[j]
 
 
+def finer_pairs(
+    i: np.ndarray, j: np.ndarray, n: np.ndarray, blobs: list[bytes], percent: int
+) -> np.ndarray:
+    """Marks the pairs that all groups of the set with fewer of them do not exclude."""
+    keep = np.ones(len(i), bool)
+    groups = np.array([(len(b) // 4 if len(b) % 2 else len(b)) for b in blobs], np.int64)
+    most = np.minimum(groups[i], groups[j])
+    for level in np.unique(most[most > GROUPS]):
+        # In steps of eight times the groups: most pairs fall at the first.
+        for step in sorted({min(int(level), 8 * GROUPS), int(level)}):
+            left = np.flatnonzero(keep & (most == level))
+            sets, at = np.unique(np.concatenate([i[left], j[left]]), return_inverse=True)
+            counts = _vectors([blobs[k] for k in sets.tolist()], step)
+            of_i, of_j = at[: len(left)], at[len(left) :]
+            some = max(1, (1 << 21) // step)
+            for a in range(0, len(left), some):
+                part = left[a : a + some]
+                bound = np.minimum(counts[of_i[a : a + some]], counts[of_j[a : a + some]]).sum(
+                    axis=1, dtype=np.int64
+                )
+                keep[part] = possible(n[i[part]], n[j[part]], bound, percent)
+    return keep
+
+
 def _small_pairs(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All pairs within runs of at most LEAF entries."""
     left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
@@ -158,13 +221,15 @@ def _pairs_of_units(percent: int, emits: str):
             bound[part] = np.minimum(points[i[part]], points[j[part]]).sum(axis=1, dtype=np.int64)
         return bound
 
-    def small(rep, root, n, points, starts, sizes) -> pa.RecordBatch:
+    def small(rep, root, n, points, blobs, starts, sizes) -> pa.RecordBatch:
         i, j = _small_pairs(starts, sizes)
         fits = (root[i] != root[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
         i, j = i[fits], j[fits]
         bound = bounds(points, i, j)
         keep = possible(n[i], n[j], bound, percent)
         i, j, bound = i[keep], j[keep], bound[keep]
+        keep = finer_pairs(i, j, n, blobs, percent)
+        i, j, bound = i[keep], j[keep], bound[keep]
         if emits == LEAVES:
             best = _best(i, j, bound, 2)
             i, j = i[best], j[best]
@@ -179,15 +244,15 @@ def _pairs_of_units(percent: int, emits: str):
             [pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"]
         )
 
-    def large(rep, root, n, points, side) -> pa.RecordBatch:
+    def large(rep, root, n, points, blobs, side) -> pa.RecordBatch:
         left = np.flatnonzero(side == 0)
         right = np.flatnonzero(side == 1)
-        a = Tree(n[left], points[left])
-        b = Tree(n[right], points[right]) if len(right) else a
+        a = Tree(n[left], points[left], root[left])
+        b = Tree(n[right], points[right], root[right]) if len(right) else a
         i, j = tree_join(a, b, not len(right), percent)
         i, j = left[i], right[j] if len(right) else left[j]
-        apart = root[i] != root[j]
-        i, j = i[apart], j[apart]
+        keep = finer_pairs(i, j, n, blobs, percent)
+        i, j = i[keep], j[keep]
         if emits == CLASSES:
             best = _best_of_classes(root[i], root[j], bounds(points, i, j))
             i, j = i[best], j[best]
@@ -203,7 +268,8 @@ def _pairs_of_units(percent: int, emits: str):
             n = n.astype(np.int64)
             new = np.flatnonzero(np.r_[True, (unit[1:] != unit[:-1]).any(axis=1)])
             sizes = np.diff(np.r_[new, len(unit)])
-            points = _vectors(table.column(7).to_pylist())
+            blobs = table.column(7).to_pylist()
+            points = _vectors(blobs)
             tiny = sizes <= LEAF
             if emits == LEAVES:
                 starts, lengths = [new[tiny]], [sizes[tiny]]
@@ -216,16 +282,16 @@ def _pairs_of_units(percent: int, emits: str):
                     starts.append(cut)
                     lengths.append(np.minimum(LEAF, at + size - cut))
                 yield small(
-                    rep[order], root[order], n[order], points[order],
+                    rep[order], root[order], n[order], points[order], [blobs[k] for k in order],
                     np.concatenate(starts), np.concatenate(lengths),
                 )
                 continue
             # Both sides of a pair of parts are one unit: they are never small.
             tiny &= np.maximum.reduceat(side, new) == 0
-            yield small(rep, root, n, points, new[tiny], sizes[tiny])
+            yield small(rep, root, n, points, blobs, new[tiny], sizes[tiny])
             for at, size in zip(new[~tiny], sizes[~tiny]):
                 of = slice(at, at + size)
-                yield large(rep[of], root[of], n[of], points[of], side[of])
+                yield large(rep[of], root[of], n[of], points[of], blobs[of], side[of])
 
     return run
 
@@ -345,16 +411,9 @@ class Join:
                 for of in batches(texts):
                     hashes, n = shingle_sets(texts[of.start : of.stop], words)
                     np.add.at(counts, hashes >> np.uint64(46), 1)
-                    owner = np.repeat(np.arange(len(n)), n)
-                    group = owner * GROUPS + (hashes % np.uint64(GROUPS)).astype(np.int64)
-                    points = np.bincount(group, minlength=len(n) * GROUPS).reshape(-1, GROUPS)
-                    blobs = [
-                        p.astype(np.uint8 if top < 256 else "<u4").tobytes()
-                        for p, top in zip(points, points.max(axis=1))
-                    ]
                     yield row(
                         pa.array(reps[of.start : of.stop]), pa.array(n, pa.int32()),
-                        pa.array(blobs, pa.binary()),
+                        pa.array(group_points(hashes, n), pa.binary()),
                     )
                     waiting.append(hashes)
                     if sum(map(len, waiting)) >= COUNTED:
@@ -716,6 +775,8 @@ def link_documents(
     roots = shared.staged(components(links), "classes")
     for emits in (CLASSES, ALL):
         links = join.links(join.later_units(roots), emits)
+        if links.isEmpty():
+            continue
         known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots = shared.staged(components(known.union(links)), "classes")
     for table in (join.lists, *join.compared):
