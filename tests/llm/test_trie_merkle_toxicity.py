@@ -287,6 +287,23 @@ def test_fit_is_bounded_and_scores_ignore_the_language(spark):
     assert a == {(r.doc_id, r.score) for r in b}
 
 
+def test_toxicity_learns_from_all_labelled_texts_in_shares(spark, monkeypatch):
+    """Several shares train one net, the same in every run; counts cover every text."""
+    monkeypatch.setattr(toxicity, "SHARE", 60)
+    docs, labels, truth = labelled(spark)
+    model = toxicity.fit(docs, labels.where("doc_id % 5 <> 0"))
+    held = [r for r in toxicity.score(docs, model).collect() if r.doc_id % 5 == 0]
+    assert sum(r.predicted == truth[r.doc_id] for r in held) >= 0.9 * len(held)
+    assert toxicity.fit(docs, labels.where("doc_id % 5 <> 0")).written() == model.written()
+    texts = docs.join(labels, "doc_id").selectExpr("0L share", "toxic y", "text", "lang spoken")
+    seen, words = toxicity._counts(texts.repartition(3), ["one", "two"])
+    plain = np.zeros((2, toxicity.ROWS), int)
+    for r in texts.collect():
+        plain[r.y, np.unique(toxicity.Words([r.text]).pieces[1:])] += 1
+    assert np.abs(seen - plain).max() <= 1 and (seen.sum(), words.sum()) != (0, 0)
+    assert words.sum() == 240 * 40
+
+
 @pytest.mark.parametrize("labels, score", [([], 0.0), ([(1, 1)], 1.0), ([(2, 0), (8, 0)], 0.0)])
 def test_toxicity_without_two_labels(spark, labels, score):
     docs = edges.documents(spark).withColumn("lang", F.lit("en")).withColumn("a b", F.lit(1)).withColumn("a-b", F.lit(2))
