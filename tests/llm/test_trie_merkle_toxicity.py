@@ -304,6 +304,31 @@ def test_toxicity_learns_from_all_labelled_texts_in_shares(spark, monkeypatch):
     assert words.sum() == 240 * 40
 
 
+def test_toxicity_shuffles_labelled_texts_once(spark, monkeypatch):
+    """Texts without a label stay where they are; labels meet the others in the shares."""
+    docs, labels, _ = labelled(spark)
+    dealt, plans = [], {}
+    spread, staged = shared.spread, shared.staged
+
+    def spreading(df, *keys):
+        if keys == ("share",):
+            dealt.append(df.where("text is not null").count())
+        return spread(df, *keys)
+
+    def staging(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return staged(df, name)
+
+    monkeypatch.setattr(shared, "spread", spreading)
+    monkeypatch.setattr(shared, "staged", staging)
+    monkeypatch.setattr(toxicity, "SHARE", 60)
+    model = toxicity.fit(docs, labels.where("doc_id % 5 = 0"))
+    assert 48 <= dealt[0] <= 60
+    assert "Join" not in plans["labelled"]
+    short = labels.where("doc_id % 5 = 0").selectExpr("cast(doc_id as int) doc_id", "toxic")
+    assert toxicity.fit(docs, short).written() == model.written()
+
+
 @pytest.mark.parametrize("labels, score", [([], 0.0), ([(1, 1)], 1.0), ([(2, 0), (8, 0)], 0.0)])
 def test_toxicity_without_two_labels(spark, labels, score):
     docs = edges.documents(spark).withColumn("lang", F.lit("en")).withColumn("a b", F.lit(1)).withColumn("a-b", F.lit(2))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tiered.llm import shared
-from tiered.llm.shingles import batches, hashed_words, mixed
+from tiered.llm.shingles import batches, hashed_words
 
 KINDS = ("email", "ip", "card", "phone")
 #: Kinds of the spans that the method adds, after the ones above.
@@ -36,9 +36,6 @@ SEEN = "what byte, key long, value long, terms array<long>"
 #: are dropped after it.
 COMMON = 4096
 SPANS = "array<struct<kind:string,start:long,end:long>>"
-#: Bits of a filter of keys: 16 a key up to the most, beyond which more rows pass.
-LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27
-PROBES = 4
 #: Words of texts that a task holds before it counts them and hands them on.
 PAIRS = 1 << 20
 #: Texts handled together.
@@ -131,49 +128,6 @@ def _free(start: np.ndarray, end: np.ndarray, spans: list[tuple[int, int, int]])
     return free
 
 
-def _places(keys: np.ndarray, bits: int) -> list[np.ndarray]:
-    """Places of each key in a filter."""
-    whole = mixed(keys.view(np.uint64))
-    step = mixed(whole) | np.uint64(1)
-    with np.errstate(over="ignore"):
-        return [
-            ((whole + np.uint64(k) * step) % np.uint64(bits)).astype(np.int64)
-            for k in range(PROBES)
-        ]
-
-
-def _passes(keys: np.ndarray, held: np.ndarray) -> np.ndarray:
-    """Which keys a filter may hold; those that it holds are always among them."""
-    passed = np.ones(len(keys), bool)
-    for place in _places(keys, 64 * len(held)):
-        passed &= (held[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
-    return passed
-
-
-def _filter(keys: DataFrame) -> Broadcast:
-    """A filter of the keys in the only column: bounded, whatever their number."""
-    spark = keys.sparkSession
-    bits = LEAST_BITS
-    wanted = 16 * keys.count()
-    while bits < min(wanted, MOST_BITS):
-        bits *= 2
-
-    def places(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            every = np.unique(np.concatenate(_places(batch.column(0).to_numpy(), bits)))
-            ones = np.left_shift(np.uint64(1), (every & 63).astype(np.uint64)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(every >> 6), pa.array(ones)], ["at", "ones"])
-
-    # At most one short row for 64 bits.
-    found = (
-        keys.mapInArrow(places, "at long, ones long")
-        .groupBy("at").agg(F.bit_or("ones").alias("ones")).toArrow()
-    )
-    held = np.zeros(bits // 64, np.uint64)
-    held[found.column("at").to_numpy()] = found.column("ones").to_numpy().view(np.uint64)
-    return spark.sparkContext.broadcast(held)
-
-
 Rows = Iterator[pa.RecordBatch]
 
 
@@ -189,7 +143,7 @@ def _that(place: int, held: Broadcast, wanted: bool) -> Callable[[Rows], Rows]:
 
     def chosen(rows: Rows) -> Rows:
         for batch in _few(rows):
-            own = _passes(batch.column(place).to_numpy(), held.value) == wanted
+            own = shared.passes(batch.column(place).to_numpy(), held.value) == wanted
             if own.any():
                 yield batch.filter(pa.array(own))
 
@@ -198,7 +152,7 @@ def _that(place: int, held: Broadcast, wanted: bool) -> Callable[[Rows], Rows]:
 
 def _once(texts: DataFrame, keys: DataFrame, run: Callable[[Rows], Rows], schema: str) -> DataFrame:
     """`run` over each distinct text once; only texts that may have copies are shuffled."""
-    held = _filter(keys.where("n > 1").select("text_key"))
+    held = shared.key_filter(keys.where("n > 1").select("text_key"))
     single, copied = _that(0, held, False), _that(0, held, True)
     again = texts.mapInArrow(copied, texts.schema).dropDuplicates(["text_key"])
     return texts.mapInArrow(lambda rows: run(single(rows)), schema).unionByName(
@@ -329,13 +283,13 @@ def disclosing_terms(
         "told",
     )
     # What the filter lets through by mistake does not meet a term in the join below.
-    wanted = _filter(told.select("term"))
+    wanted = shared.key_filter(told.select("term"))
 
     def holding(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for few in _few(rows):
             keys = few.column(0).to_numpy()
             for of, word, doc in _coded(few.column(1).to_pylist()):
-                some = _passes(word, wanted.value)
+                some = shared.passes(word, wanted.value)
                 both = np.stack([word[some], keys[of.start : of.stop][doc[some]]], axis=1)
                 both = np.unique(both, axis=0)
                 yield pa.RecordBatch.from_arrays(
@@ -408,7 +362,7 @@ def sanitise(
     )
     told = disclosing_terms(texts, general, removed, prior, chance)
     # Only texts that may hold such a word are shuffled; one with very many copies is split.
-    held = _filter(told.select("text_key"))
+    held = shared.key_filter(told.select("text_key"))
     place = keyed.columns.index(key)
     without, within = _that(place, held, False), _that(place, held, True)
     some = keyed.mapInArrow(within, keyed.schema).join(
