@@ -258,6 +258,49 @@ def test_long_sets_of_one_list_are_refused_by_their_own_groups():
         assert sorted(zip(got["a"].to_pylist(), got["b"].to_pylist())) == [(7, 40), (41, 42)]
 
 
+def test_pairs_come_from_their_first_common_list_alone():
+    """A pair found in many lists is made once, in trees and in short lists."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
+    for size in (jaccard.LEAF - 2, 3 * jaccard.LEAF):
+        sets = [np.sort(np.r_[base[:180], rng.integers(0, 1 << 63, 20, dtype=np.uint64)]) for _ in range(size)]
+        points = jaccard.group_points(np.concatenate(sets), np.full(size, 200))
+        names, rep = np.repeat(np.arange(10, 19), size), np.tile(np.arange(size), 9)
+        zero = np.zeros(len(rep), np.int64)
+        # The last set has no list before 12.
+        first = [[12, 13] if r == size - 1 else list(range(10, 19)) for r in rep.tolist()]
+        own = (rep != size - 1) | (names > 11)
+        for emits in (jaccard.CLASSES, jaccard.ALL):
+            rows = pa.RecordBatch.from_arrays(
+                [
+                    pa.array(names), pa.array(zero), pa.array(zero), pa.array(zero), pa.array(rep),
+                    pa.array(rep), pa.array(zero + 200), pa.array([points[k] for k in rep]),
+                    pa.array(first, pa.list_(pa.int64())),
+                ],
+                [*jaccard.UNIT, "first"],
+            ).filter(pa.array(own))
+            got = pa.Table.from_batches(list(jaccard._pairs_of_units(75, emits)(iter([rows]))))
+            found = list(zip(got["a"].to_pylist(), got["b"].to_pylist()))
+            assert len(found) == len(set(found)) == size * (size - 1) // 2
+
+
+def test_few_links_are_joined_without_a_shuffle(spark, monkeypatch):
+    links = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(50, 60)], "a long, b long")
+    plans = []
+    staged = shared.staged
+
+    def staging(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return staged(df, name)
+
+    monkeypatch.setattr(shared, "staged", staging)
+    want = {(k, 0) for k in range(41)} | {(50, 50), (60, 50)}
+    assert {tuple(r) for r in components(links).collect()} == want
+    assert len(plans) > 2 and not any("Exchange" in p for p in plans[1:])
+    monkeypatch.setattr("tiered.llm.components.FEW", 0)
+    assert {tuple(r) for r in components(links).collect()} == want
+
+
 def test_tree_join_keeps_every_possible_pair():
     rng = np.random.default_rng(3)
     n = rng.integers(1, 60, 900)

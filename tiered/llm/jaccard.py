@@ -43,6 +43,10 @@ COMMON = 1 << 20
 FILTER_BITS = 1 << 23
 #: One in so many lists makes the first links, which spare the others most comparisons.
 FIRST_ROUND = 16
+#: Names of a set's first lists that travel with it, by which a pair found in several lists is
+#: told. With more lists in common than these a pair may come twice, which changes no result.
+FIRST_LISTS = 32
+_NO_LIST = np.iinfo(np.int64).max
 
 
 def group_points(hashes: np.ndarray, n: np.ndarray) -> list[bytes]:
@@ -207,12 +211,42 @@ def _best_of_classes(i: np.ndarray, j: np.ndarray, bound: np.ndarray) -> np.ndar
     return order[new]
 
 
+def listed(names: pa.Array) -> np.ndarray:
+    """Names of each set's first lists, one row a set; rows are filled up with no list's name."""
+    out = np.full((len(names), FIRST_LISTS), _NO_LIST)
+    sizes = names.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    out[row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = names.flatten().to_numpy()
+    return out
+
+
+def met_before(first: np.ndarray, i: np.ndarray, j: np.ndarray, name: np.ndarray) -> np.ndarray:
+    """Marks the pairs whose sets share a list that comes before the one of this name."""
+    before = np.zeros(len(i), bool)
+    for at in range(0, len(i), 1 << 14):
+        left = np.arange(at, min(at + (1 << 14), len(i)))
+        # Sets with many lists in common share one of their very first.
+        for k in range(first.shape[1]):
+            one = first[i[left], k]
+            left, one = left[one < name[left]], one[one < name[left]]
+            if not len(left):
+                break
+            both = (first[j[left]] == one[:, None]).any(axis=1)
+            before[left[both]] = True
+            left = left[~both]
+    return before
+
+
 #: What a round emits: a few best pairs of each leaf, one pair of each two classes, all pairs.
 LEAVES, CLASSES, ALL = "leaves", "classes", "all"
 
 
 def _pairs_of_units(percent: int, emits: str):
-    """Kernel over rows (unit, side, rep, root, n, point) sorted by unit: possible pairs."""
+    """Kernel over rows (unit, side, rep, root, n, point) sorted by unit: possible pairs.
+
+    With a further column, the first lists of each set, a pair comes from the first list alone
+    that its sets share.
+    """
 
     def bounds(points: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         bound = np.empty(len(i), np.int64)
@@ -221,12 +255,14 @@ def _pairs_of_units(percent: int, emits: str):
             bound[part] = np.minimum(points[i[part]], points[j[part]]).sum(axis=1, dtype=np.int64)
         return bound
 
-    def small(rep, root, n, points, blobs, starts, sizes) -> pa.RecordBatch:
+    def small(name, first, rep, root, n, points, blobs, starts, sizes) -> pa.RecordBatch:
         i, j = _small_pairs(starts, sizes)
         fits = (root[i] != root[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
         i, j = i[fits], j[fits]
         bound = bounds(points, i, j)
         keep = possible(n[i], n[j], bound, percent)
+        if first is not None:
+            keep[keep] = ~met_before(first, i[keep], j[keep], name[i[keep]])
         i, j, bound = i[keep], j[keep], bound[keep]
         keep = finer_pairs(i, j, n, blobs, percent)
         i, j, bound = i[keep], j[keep], bound[keep]
@@ -244,13 +280,16 @@ def _pairs_of_units(percent: int, emits: str):
             [pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"]
         )
 
-    def large(rep, root, n, points, blobs, side) -> pa.RecordBatch:
+    def large(name, first, rep, root, n, points, blobs, side) -> pa.RecordBatch:
         left = np.flatnonzero(side == 0)
         right = np.flatnonzero(side == 1)
         a = Tree(n[left], points[left], root[left])
         b = Tree(n[right], points[right], root[right]) if len(right) else a
         i, j = tree_join(a, b, not len(right), percent)
         i, j = left[i], right[j] if len(right) else left[j]
+        if first is not None:
+            keep = ~met_before(first, i, j, name[i])
+            i, j = i[keep], j[keep]
         keep = finer_pairs(i, j, n, blobs, percent)
         i, j = i[keep], j[keep]
         if emits == CLASSES:
@@ -270,6 +309,8 @@ def _pairs_of_units(percent: int, emits: str):
             sizes = np.diff(np.r_[new, len(unit)])
             blobs = table.column(7).to_pylist()
             points = _vectors(blobs)
+            name = unit[:, 0]
+            first = listed(table.column(8).combine_chunks()) if table.num_columns > 8 else None
             tiny = sizes <= LEAF
             if emits == LEAVES:
                 starts, lengths = [new[tiny]], [sizes[tiny]]
@@ -282,16 +323,19 @@ def _pairs_of_units(percent: int, emits: str):
                     starts.append(cut)
                     lengths.append(np.minimum(LEAF, at + size - cut))
                 yield small(
-                    rep[order], root[order], n[order], points[order], [blobs[k] for k in order],
+                    name[order], None, rep[order], root[order], n[order], points[order], [blobs[k] for k in order],
                     np.concatenate(starts), np.concatenate(lengths),
                 )
                 continue
             # Both sides of a pair of parts are one unit: they are never small.
             tiny &= np.maximum.reduceat(side, new) == 0
-            yield small(rep, root, n, points, blobs, new[tiny], sizes[tiny])
+            yield small(name, first, rep, root, n, points, blobs, new[tiny], sizes[tiny])
             for at, size in zip(new[~tiny], sizes[~tiny]):
                 of = slice(at, at + size)
-                yield large(rep[of], root[of], n[of], points[of], blobs[of], side[of])
+                yield large(
+                    name[of], None if first is None else first[of], rep[of], root[of], n[of],
+                    points[of], blobs[of], side[of],
+                )
 
     return run
 
@@ -614,7 +658,13 @@ class Join:
             .withColumn("side", F.lit(1))
         )
         columns = ["list", "part", "other", "side", "rep", "root"]
-        return own.select(columns).union(across.select(columns)).join(self.points, "rep").select(UNIT)
+        rows = shared.staged(own.select(columns).union(across.select(columns)), "units")
+        # Every list that two sets of different classes share is a unit, so one of them is first.
+        first = rows.groupBy("rep").agg(
+            F.slice(F.array_sort(F.collect_set("list")), 1, FIRST_LISTS).alias("first")
+        )
+        sets = self.points.join(first, "rep")
+        return rows.join(sets, "rep").select(*UNIT, "first")
 
     def links(self, units: DataFrame, emits: str) -> DataFrame:
         """Pairs of similar sets among the units, each compared in full."""
