@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 import edges
-from tiered.llm import shared
+from tiered.llm import packing, quality, shared, tokens
 from tiered.llm.shingles import shingle_sets
 
 
@@ -118,3 +120,73 @@ def test_null_and_repeated_ids_lose_no_document(spark, small):
     assert sorted(rest, key=repr) == sorted(
         [(1, three), (9, four), (2, None), (2, None), (3, ""), (None, None)], key=repr
     )
+
+
+def test_stages_hand_small_batches_and_each_text_once(spark, small, monkeypatch):
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = shared.table(spark, small, "documents")
+    before = spark.conf.get(batch)
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            for asked, given in (("10000", "1000"), ("0", "1000"), ("7", "7")):
+                spark.conf.set(batch, asked)
+                stage(spark, docs.limit(0), small)
+                assert spark.conf.get(batch) == given
+        spark.conf.set(batch, "5000")
+        monkeypatch.setattr(corpus_pipeline, "STAGES", [("a", corpus_pipeline.keep_clean)] * 2)
+        assert corpus_pipeline.run(spark, small).columns == docs.columns
+        assert spark.conf.get(batch) == "5000"
+        assert corpus_pipeline.STAGES and spark.conf.get(corpus_pipeline._READ) == "1000"
+    finally:
+        spark.conf.set(batch, before)
+        spark.conf.unset(corpus_pipeline._READ)
+    beside = corpus_pipeline._beside(docs)
+    fields = beside.schema["row"].dataType.fields + beside.schema.fields[1:]
+    assert [f.dataType for f in fields].count(docs.schema["text"].dataType) == sum(
+        f.dataType == docs.schema["text"].dataType for f in docs.schema
+    )
+    assert corpus_pipeline._rows(beside, docs).schema == docs.schema
+
+
+def test_pieces_do_not_depend_on_what_is_remembered(spark, small, monkeypatch):
+    docs = shared.table(spark, small, "documents").limit(100).coalesce(1)
+    path = tokens.default_vocabulary()
+    cut = lambda n: packing.cut_documents(docs, 256, path, remember=n).collect()
+    assert cut(5) == cut(tokens.REMEMBER)
+    monkeypatch.setattr(tokens, "_ENCODERS", {})
+    assert tokens.encoder(path, 5).remember == 5
+    tokens.encoder(path, 5).encode(["some words", "and some other words to know", "end"])
+    assert list(tokens.encoder(path)) == ["end"]
+
+
+def test_pairs_are_fitted_in_blocks(monkeypatch):
+    rng = np.random.default_rng(4)
+    z = rng.normal(size=(50, 6))
+    good, bad = rng.integers(0, 50, (2, 300))
+    whole = quality.bradley_terry(z, good, bad, 2.0)
+    sizes = []
+    monkeypatch.setattr(quality, "BLOCK", 7)
+    clip = np.clip
+    monkeypatch.setattr(np, "clip", lambda x, *a: sizes.append(len(x)) or clip(x, *a))
+    assert np.allclose(quality.bradley_terry(z, good, bad, 2.0), whole, atol=1e-9)
+    assert max(sizes) == 7
+    d = z[good] - z[bad]
+    p = 1 / (1 + np.exp(-d @ whole))
+    assert np.allclose(d.T @ (p - 1) + 2.0 * whole, 0, atol=1e-4)
+
+
+def test_lean_batches_are_the_same_and_let_go():
+    pool = pa.default_memory_pool()
+    before = pool.bytes_allocated()
+    held = []
+
+    def rows():
+        for k in range(4):
+            yield pa.RecordBatch.from_arrays([pa.array([f"{k}" * 1_000_000])], ["text"])
+
+    for batch in shared.lean(rows()):
+        held.append((batch.column(0)[0].as_py()[0], pool.bytes_allocated() - before))
+        del batch
+    assert [h[0] for h in held] == list("0123")
+    # Never more than one batch at a time.
+    assert max(h[1] for h in held) < 2_500_000

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tiered.llm import shared
+
 # Bytes of words after lower-casing A-Z: digits, a-z and all of any other character's bytes.
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 _FOLD = bytes(
@@ -123,7 +125,7 @@ def decontaminate(
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _machine(held, window)
-        for batch in batches:
+        for batch in shared.lean(batches):
             out: list[tuple] = []
             for value in batch.column(kept.index(text)):
                 original = value.as_py()

@@ -450,7 +450,7 @@ class Join:
                     [*none, pa.array(token.view(np.int64)), pa.array(count)], names
                 )
 
-            for batch in rows:
+            for batch in shared.lean(rows):
                 reps, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
                 for of in batches(texts):
                     hashes, n = shingle_sets(texts[of.start : of.stop], words)
@@ -539,7 +539,7 @@ class Join:
                     ["bucket", "tokens", "reps"],
                 )
 
-            for batch in rows:
+            for batch in shared.lean(rows):
                 reps, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
                 for of in batches(texts):
                     hashes, n = shingle_sets(texts[of.start : of.stop], words)
@@ -720,7 +720,7 @@ class Join:
 
         def sets(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bits = np.unpackbits(np.frombuffer(held.value, np.uint8)).view(bool)
-            for batch in rows:
+            for batch in shared.lean(rows):
                 some = batch.filter(pa.array(bits[bits_of(batch.column(0).to_numpy())]))
                 reps, texts = some.column(0).to_numpy(), some.column(1).to_pylist()
                 for of in batches(texts):

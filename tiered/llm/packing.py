@@ -74,19 +74,20 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
 
 def cut_documents(
     docs: DataFrame, capacity: int, vocabulary: str, end_id: int = 0,
-    key: str = "doc_id", text: str = "text",
+    key: str = "doc_id", text: str = "text", remember: int = tokens.REMEMBER,
 ) -> DataFrame:
     """Pieces of at most `capacity` ids of each text with its end id.
 
     A document longer than `capacity` is cut into whole pieces of `capacity`, its first piece
     taking the rest. Each piece has a number `row` of its own, so repeated rows and null keys
-    stay apart. A null text is the end id alone. Text is not shuffled.
+    stay apart. A null text is the end id alone. Text is not shuffled. A worker process keeps
+    the ids of about `remember` words, which changes no result.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = tokens.encoder(vocabulary).encode, np.array([end_id], "<u4").tobytes()
+        encode, end = tokens.encoder(vocabulary, remember).encode, np.array([end_id], "<u4").tobytes()
         row = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in shared.lean(batches):
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             out: list[tuple] = []
             for rows in tokens.slices(texts):
@@ -191,7 +192,7 @@ def pack_pieces(
 
 def pack_documents(
     docs: DataFrame, capacity: int, vocabulary: str, end_id: int = 0,
-    key: str = "doc_id", text: str = "text",
+    key: str = "doc_id", text: str = "text", remember: int = tokens.REMEMBER,
 ) -> DataFrame:
     """Pieces of all documents with their place in sequences: see the two steps above.
 
@@ -200,6 +201,6 @@ def pack_documents(
     rows; other columns are not read.
     """
     pieces = shared.staged(
-        cut_documents(docs, capacity, vocabulary, end_id, key, text), "pieces"
+        cut_documents(docs, capacity, vocabulary, end_id, key, text, remember), "pieces"
     )
     return pack_pieces(pieces, capacity).drop("row")

@@ -133,7 +133,7 @@ Rows = Iterator[pa.RecordBatch]
 
 def _few(rows: Rows) -> Rows:
     """The same rows in batches of few, so that a task holds little at once."""
-    for batch in rows:
+    for batch in shared.lean(rows):
         for at in range(0, batch.num_rows, SOME_ROWS):
             yield batch.slice(at, SOME_ROWS)
 

@@ -26,6 +26,10 @@ _ALPHABET = {b: b for b in _PRINTABLE} | {
 _SPACE = chr(_ALPHABET[0x20])
 
 
+#: Pieces that an encoder remembers unless told otherwise.
+REMEMBER = 800_000
+
+
 class Encoder(dict):
     """Ids of texts as little-endian unsigned 32-bit bytes, equal to encoding whole texts.
 
@@ -37,7 +41,7 @@ class Encoder(dict):
     pieces are kept, so memory does not grow with the corpus.
     """
 
-    def __init__(self, path: str, remember: int = 800_000) -> None:
+    def __init__(self, path: str, remember: int = REMEMBER) -> None:
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -92,10 +96,11 @@ class Encoder(dict):
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remember: int = REMEMBER) -> Encoder:
     """One encoder a worker process: what it remembers serves later tasks too."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+    _ENCODERS[path].remember = remember
     return _ENCODERS[path]
 
 
