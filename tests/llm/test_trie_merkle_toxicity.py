@@ -189,6 +189,35 @@ def test_manifest_of_no_rows(spark):
 # --- toxicity
 
 
+def test_rows_of_words_are_kept_within_a_bound(monkeypatch):
+    made = []
+    plain = toxicity.rows_of
+    monkeypatch.setattr(toxicity, "rows_of", lambda words: made.extend(words) or plain(words))
+    monkeypatch.setattr(toxicity, "REMEMBER", 4)
+    texts = ["Some words, some more", None, "", "words of " + "a" * 100, "more é words"]
+    fresh = {}
+    for text in texts:
+        monkeypatch.setattr(toxicity, "_KNOWN", toxicity.Known())
+        fresh[text] = toxicity.Words([text])
+    monkeypatch.setattr(toxicity, "_KNOWN", toxicity.Known())
+    for text in [*texts, *texts]:
+        words = toxicity.Words([text])
+        for name in ("ids", "count", "first", "pieces", "bucket"):
+            assert getattr(words, name).tolist() == getattr(fresh[text], name).tolist()
+        assert len(toxicity._KNOWN.index) <= 4 and len(toxicity._KNOWN.held[2]) <= 4
+    del made[:]
+    toxicity.Words(["more some words"])
+    assert made == []
+    first, pieces, bucket = plain(["", "words", "of", "a" * 100])
+    held = fresh["words of " + "a" * 100]
+    assert held.pieces.tolist() == pieces.tolist() and held.first.tolist() == first.tolist()
+    table = np.random.default_rng(1).normal(size=(toxicity.ROWS, toxicity.DEPTH)).astype(np.float32)
+    means = [table[pieces[a:b]].astype(float).mean(0) for a, b in zip(first[1:-1], first[2:])]
+    assert np.allclose(held.embedded(table)[1:], means, atol=1e-6)
+    assert not held.embedded(table)[0].any()
+
+
+
 def test_pooling_is_the_plain_maximum():
     texts = ["a bb ccc a", None, "", "word " * 50 + "last", "x", "ünï 日本 " * 7]
     words = toxicity.Words(texts)
