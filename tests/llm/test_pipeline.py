@@ -175,6 +175,41 @@ def test_pairs_are_fitted_in_blocks(monkeypatch):
     assert np.allclose(d.T @ (p - 1) + 2.0 * whole, 0, atol=1e-4)
 
 
+def test_all_pairs_equal_the_plain_fit_of_every_pair(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(90, 3))
+    y = (x[:, 0] + rng.normal(size=90) > 0.4).astype(int)
+    x[0, 1] = 40.0
+    rows = spark.createDataFrame(list(zip(y.tolist(), x.tolist())), "y int, x array<double>")
+    texts = shared.staged(rows.repartition(3), "features")
+    z = quality.design(x, x.mean(0), x.std(0))
+    good, bad = (i.ravel() for i in np.meshgrid(np.flatnonzero(y == 1), np.flatnonzero(y == 0)))
+    # Every pair counts, whatever their number.
+    for weight, l2 in ((1.0, 2.0), (0.1, 0.5)):
+        got = quality.all_pairs(texts, x.mean(0), x.std(0), weight, l2)
+        assert np.allclose(got, quality.bradley_terry(z, good, bad, l2 / weight), atol=1e-6)
+    monkeypatch.setattr(quality, "RUN", 7)
+    assert np.allclose(quality.all_pairs(texts, x.mean(0), x.std(0), weight, l2), got, atol=1e-6)
+
+
+def test_quality_learns_from_every_labelled_text(spark, monkeypatch):
+    """More texts a label than any sample held; each moves the fit, and equal runs are equal."""
+    texts = [(k, "word " * (k % 7 + 1) + f"{k}.") for k in range(7000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 7 > 3 as int) quality")
+    seen = []
+    plain = quality.learned
+    monkeypatch.setattr(quality, "learned", lambda t, *a: seen.append(t.count()) or plain(t, *a))
+    model = quality.fit(docs, labels)
+    assert seen == [7000]
+    x = np.array([quality.features(t) for _, t in texts])
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale, np.where(x.std(0) > 1e-9, x.std(0), 1))
+    again = quality.fit(docs.repartition(5), labels)
+    assert np.allclose(again.weights, model.weights, atol=1e-6)
+    right = (model.score(x) >= 0.7) == (np.arange(7000) % 7 > 3)
+    assert right.mean() > 0.99
+
+
 def test_lean_batches_are_the_same_and_let_go():
     pool = pa.default_memory_pool()
     before = pool.bytes_allocated()
