@@ -333,6 +333,16 @@ def test_toxicity_learns_from_all_labelled_texts_in_shares(spark, monkeypatch):
     assert words.sum() == 240 * 40
 
 
+def test_toxicity_makes_as_many_rounds_over_many_shares_as_over_one(spark, monkeypatch):
+    docs, labels, _ = labelled(spark)
+    made = []
+    monkeypatch.setattr(toxicity, "_trained", lambda texts, net, weights, rounds: made.append(rounds) or net)
+    toxicity.fit(docs, labels)
+    monkeypatch.setattr(toxicity, "SHARE", 60)
+    toxicity.fit(docs, labels)
+    assert made[0] == made[1] >= 5
+
+
 def test_toxicity_shuffles_labelled_texts_once(spark, monkeypatch):
     """Texts without a label stay where they are; labels meet the others in the shares."""
     docs, labels, _ = labelled(spark)
